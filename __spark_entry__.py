@@ -198,7 +198,9 @@ def _synth_sql(profile: str, seed: int = 42) -> str:
         return f"md5('{seed}|{stream}|' || {key})"
 
     def w(col: str, i: int) -> str:
-        return f"CAST(('0x' || substr({col}, {8 * i + 1}, 8)) AS BIGINT)"
+        # word 2j+k of a digest: 52-bit half j (13 hex digits), low/high 26 bits
+        half = f"CAST(('0x' || substr({col}, {13 * (i // 2) + 1}, 13)) AS BIGINT)"
+        return f"({half} >> 26)" if i % 2 else f"({half} & 67108863)"
 
     def uuid(col: str) -> str:
         return (

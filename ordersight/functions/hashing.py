@@ -2,7 +2,8 @@
 
 Every value is a pure function of (seed, stream, key): output does not depend
 on partitioning, task retries or executor count. One md5 yields four
-independent 32-bit words, so a row needs only a handful of digests.
+independent 26-bit words from two hex conversions, so a row needs only a
+handful of digests.
 """
 
 from __future__ import annotations
@@ -16,9 +17,23 @@ def digest(seed: int, stream: str, key: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), key.cast("string")))
 
 
+WORD_BITS = 26
+_MASK = (1 << WORD_BITS) - 1
+
+
+def half(hex_digest: Column, j: int) -> Column:
+    """52 bits of a digest (hex digits 13j+1 .. 13j+13) as BIGINT, j in 0..1."""
+    return F.conv(F.substring(hex_digest, 13 * j + 1, 13), 16, 10).cast("bigint")
+
+
+def split_word(half_value: Column, k: int) -> Column:
+    """Low (k=0) or high (k=1) 26-bit word of a 52-bit half, in [0, 2^26)."""
+    return F.shiftright(half_value, WORD_BITS) if k else half_value.bitwiseAND(F.lit(_MASK))
+
+
 def word(hex_digest: Column, i: int) -> Column:
-    """The i-th (0..3) 32-bit word of a hex digest, as BIGINT in [0, 2^32)."""
-    return F.conv(F.substring(hex_digest, 8 * i + 1, 8), 16, 10).cast("bigint")
+    """The i-th (0..3) 26-bit word of a hex digest: word 2j+k = split_word(half j, k)."""
+    return split_word(half(hex_digest, i // 2), i % 2)
 
 
 def pick(values: tuple[str, ...] | list[str], w: Column) -> Column:

@@ -35,7 +35,8 @@ def cents(col: Column) -> Column:
 
 
 def from_cents(col: Column) -> Column:
-    return (col.cast("decimal(20,0)") / F.lit(100)).cast(MONEY)
+    """Integer cents to DECIMAL(18,2): an exact multiply, no division."""
+    return (col.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
 
 
 def price_components(

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.functions.hashing import digest, pick, uuid_text, word
+from ordersight.functions.hashing import digest, half, pick, split_word, uuid_text, word
 from ordersight.functions.money import from_cents
 
 # ---------------------------------------------------------------------------
@@ -147,102 +147,125 @@ def synthesize(
     ``n_customers`` / ``n_products`` make ids repeat (each customer or product
     has stable attributes); by default every row gets fresh ids, as in the
     reference generator.
+
+    The work is staged in four projections (digests, 32-bit words, values,
+    text). Each stays small enough for the JIT to compile; a single
+    25-column projection of nested hash expressions does not, and runs
+    several times slower.
     """
     p = PROFILES[profile]
     key = F.col(key_col).cast("string")
-    streams = ["id", "a", "b", "c", "d", "e"]
-    hashed = keys.select(key.alias("_k"), *[digest(seed, s, key).alias(f"_h_{s}") for s in streams])
-    w = {s: [word(F.col(f"_h_{s}"), i) for i in range(4)] for s in streams}
-
-    # Customer attributes hang off a customer key so repeated ids agree.
-    if n_customers:
-        cust_key = (w["d"][0] % n_customers).cast("string")
-    else:
-        cust_key = F.col("_k")
-    cust_h = digest(seed, "customer", cust_key)
+    streams = ("id", "a", "b", "c", "d", "e")
 
-    # Product identity decides category and name when products repeat.
-    if n_products:
-        prod_key = (w["a"][0] % n_products).cast("string")
-    else:
-        prod_key = F.col("_k")
-    prod_h = digest(seed, "product", prod_key)
+    # 1. digests: one md5 per stream, plus customer and product identities.
+    with_key = keys.select(key.alias("_k"))
+    cust_key = (word(digest(seed, "d", F.col("_k")), 0) % n_customers).cast("string") if n_customers else F.col("_k")
+    prod_key = (word(digest(seed, "a", F.col("_k")), 0) % n_products).cast("string") if n_products else F.col("_k")
+    hashed = with_key.select(
+        *[digest(seed, s, F.col("_k")).alias(f"_h_{s}") for s in streams],
+        digest(seed, "customer", cust_key).alias("_h_cust"),
+        digest(seed, "product", prod_key).alias("_h_prod"),
+        digest(seed, "customer-id", cust_key).alias("_h_cid"),
+        digest(seed, "product-id", prod_key).alias("_h_pid"),
+    )
 
-    # Digests in their own projection: each is computed once per row, then
-    # sliced into words by the next projection.
-    staged = hashed.select(
-        "_k", *[F.col(f"_h_{s}") for s in streams],
-        cust_h.alias("_h_cust"), prod_h.alias("_h_prod"),
+    # 2. words: every random draw as a BIGINT column (two hex conversions
+    # per digest, each split into two 26-bit words).
+    word_streams = ("a", "b", "c", "d", "e", "cust", "prod")
+    halves = hashed.select(
+        "_h_id", "_h_cid", "_h_pid",
+        *[half(F.col(f"_h_{s}"), j).alias(f"_{s}_{j}") for s in word_streams for j in range(2)],
     )
-    w = {s: [word(F.col(f"_h_{s}"), i) for i in range(4)] for s in streams}
-    cust_w = [word(F.col("_h_cust"), i) for i in range(4)]
-    prod_w = [word(F.col("_h_prod"), i) for i in range(2)]
+    word_names = [f"{s}{i}" for s in word_streams for i in range(4)]
+    words = halves.select(
+        "_h_id", "_h_cid", "_h_pid",
+        *[split_word(F.col(f"_{n[:-1]}_{int(n[-1]) // 2}"), int(n[-1]) % 2).alias(n) for n in word_names],
+    )
+    w = {n: F.col(n) for n in word_names}
 
-    category = pick(p.categories, prod_w[0])
+    # 3. values: picks, integers and amounts in cents.
+    category = pick(p.categories, w["prod0"])
     names_by_category = F.create_map(
         *[x for c in p.categories for x in (F.lit(c), F.array(*[F.lit(n) for n in p.products[c]]))]
     )
-    names = F.element_at(names_by_category, category)
-    product_name = F.element_at(names, (prod_w[1] % F.size(names) + 1).cast("int"))
-
-    quantity = _span(w["a"][2], 1, p.max_quantity)
-    price_cents = _span(w["a"][3], *p.price_cents)
-    total_cents = quantity * price_cents
-    # discount ~ U(0, pct% of total), rounded half up to the cent
-    # Integer operands stay below 2^53, so floor of the double quotient is exact.
-    discount_cents = F.floor(
-        (total_cents * (w["b"][0] % 10001) * p.max_discount_pct + 500000) / F.lit(1000000)
-    ).cast("bigint")
-    tax_cents = F.floor((total_cents * p.tax_pct + 50) / F.lit(100)).cast("bigint")
-    final_cents = total_cents - discount_cents + tax_cents
-
-    first = pick(FIRST_NAMES, cust_w[0])
-    last = pick(LAST_NAMES, cust_w[1])
+    quantity = _span(w["a2"], 1, p.max_quantity)
+    price_cents = _span(w["a3"], *p.price_cents)
     letters = F.concat(
-        *[F.substring(F.lit(LETTERS), ((w["c"][3] / F.lit(52**i)).cast("bigint") % 52 + 1).cast("int"), 1) for i in range(4)]
+        *[F.substring(F.lit(LETTERS), ((w["c3"] / F.lit(52**i)).cast("bigint") % 52 + 1).cast("int"), 1) for i in range(4)]
+    )
+    values = words.select(
+        "*",
+        category.alias("_category"),
+        F.element_at(names_by_category, category).alias("_names"),
+        quantity.alias("_quantity"),
+        (quantity * price_cents).alias("_total_c"),
+        price_cents.alias("_price_c"),
+        pick(FIRST_NAMES, w["cust0"]).alias("_first"),
+        pick(LAST_NAMES, w["cust1"]).alias("_last"),
+        pick(US_STATES, w["e2"]).alias("_state"),
+        pick(CITIES, w["e1"]).alias("_city"),
+        _digits(w["e3"], 5).alias("_zip"),
+        letters.alias("_letters"),
+    )
+    # Integer operands stay below 2^53, so floor of the double quotient is exact.
+    discount_c = F.floor((F.col("_total_c") * (w["b0"] % 10001) * p.max_discount_pct + 500000) / F.lit(1000000))
+    tax_c = F.floor((F.col("_total_c") * p.tax_pct + 50) / F.lit(100))
+    amounts = values.select(
+        "*",
+        discount_c.cast("bigint").alias("_discount_c"),
+        tax_c.cast("bigint").alias("_tax_c"),
     )
-    state = pick(US_STATES, w["e"][2])
-    city = pick(CITIES, w["e"][1])
-    zip_code = _digits(w["e"][3], 5)
-
-    if n_customers:
-        customer_id = uuid_text(F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("customer-id"), cust_key)))
-    else:
-        customer_id = uuid_text(F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("customer-id"), F.col("_k"))))
-    product_id = uuid_text(F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit("product-id"), prod_key)))
 
-    return staged.select(
-        uuid_text(F.col("_h_id")).alias("order_id"),
-        customer_id.alias("customer_id"),
-        F.concat_ws(" ", first, last).alias("customer_name"),
-        F.concat(F.lower(first), F.lit("."), F.lower(last), F.lit("@"), pick(EMAIL_DOMAINS, cust_w[2])).alias("customer_email"),
+    # 4. text columns, then 5. the declared column order (two projections:
+    # one would again exceed the JIT's method size limit).
+    first, last, city, state, zip_code = (F.col(c) for c in ("_first", "_last", "_city", "_state", "_zip"))
+    names = F.col("_names")
+    text = amounts.select(
+        "*",
+        uuid_text(F.col("_h_id")).alias("_order_id"),
+        uuid_text(F.col("_h_cid")).alias("_customer_id"),
+        uuid_text(F.col("_h_pid")).alias("_product_id"),
+        F.concat_ws(" ", first, last).alias("_customer_name"),
+        F.concat(F.lower(first), F.lit("."), F.lower(last), F.lit("@"), pick(EMAIL_DOMAINS, w["cust2"])).alias(
+            "_customer_email"
+        ),
         F.concat(
-            F.lit("("), (F.lit(200) + cust_w[3] % 800).cast("string"), F.lit(") "),
-            _digits(cust_w[2], 3), F.lit("-"), _digits(cust_w[3], 4),
-        ).alias("customer_phone"),
-        F.date_sub(F.lit(end_date), (w["c"][0] % (p.days + 1)).cast("int")).alias("order_date"),
-        product_id.alias("product_id"),
-        product_name.alias("product_name"),
-        category.alias("product_category"),
-        quantity.alias("quantity"),
-        from_cents(price_cents).alias("unit_price"),
-        from_cents(total_cents).alias("total_amount"),
-        from_cents(discount_cents).alias("discount_amount"),
-        from_cents(tax_cents).alias("tax_amount"),
-        from_cents(final_cents).alias("final_amount"),
+            F.lit("("), (F.lit(200) + w["cust3"] % 800).cast("string"), F.lit(") "),
+            _digits(w["cust2"], 3), F.lit("-"), _digits(w["cust3"], 4),
+        ).alias("_customer_phone"),
         F.concat(
-            (F.lit(1) + w["d"][1] % 9999).cast("string"), F.lit(" "), pick(STREET_NAMES, w["d"][2]), F.lit(" "),
-            pick(STREET_SUFFIXES, w["d"][3]), F.lit(", "), city, F.lit(", "), state, F.lit(" "), zip_code,
-        ).alias("shipping_address"),
+            (F.lit(1) + w["d1"] % 9999).cast("string"), F.lit(" "), pick(STREET_NAMES, w["d2"]), F.lit(" "),
+            pick(STREET_SUFFIXES, w["d3"]), F.lit(", "), city, F.lit(", "), state, F.lit(" "), zip_code,
+        ).alias("_shipping_address"),
+    )
+    return text.select(
+        F.col("_order_id").alias("order_id"),
+        F.col("_customer_id").alias("customer_id"),
+        F.col("_customer_name").alias("customer_name"),
+        F.col("_customer_email").alias("customer_email"),
+        F.col("_customer_phone").alias("customer_phone"),
+        F.date_sub(F.lit(end_date), (w["c0"] % (p.days + 1)).cast("int")).alias("order_date"),
+        F.col("_product_id").alias("product_id"),
+        F.element_at(names, (w["prod1"] % F.size(names) + 1).cast("int")).alias("product_name"),
+        F.col("_category").alias("product_category"),
+        F.col("_quantity").alias("quantity"),
+        from_cents(F.col("_price_c")).alias("unit_price"),
+        from_cents(F.col("_total_c")).alias("total_amount"),
+        from_cents(F.col("_discount_c")).alias("discount_amount"),
+        from_cents(F.col("_tax_c")).alias("tax_amount"),
+        from_cents(F.col("_total_c") - F.col("_discount_c") + F.col("_tax_c")).alias("final_amount"),
+        F.col("_shipping_address").alias("shipping_address"),
         city.alias("shipping_city"),
         state.alias("shipping_state"),
         zip_code.alias("shipping_zip"),
-        pick(COUNTRIES, w["e"][0]).alias("shipping_country"),
-        pick(p.statuses, w["b"][1]).alias("order_status"),
-        pick(p.payments, w["b"][2]).alias("payment_method"),
-        _span(w["c"][1], *p.store_range).alias("store_id"),
-        _span(w["c"][2], *p.rep_range).alias("sales_rep_id"),
-        F.when(w["b"][3] % 100 < p.promo_pct, F.concat(F.lit(p.promo_prefix), letters)).alias("promotion_code"),
+        pick(COUNTRIES, w["e0"]).alias("shipping_country"),
+        pick(p.statuses, w["b1"]).alias("order_status"),
+        pick(p.payments, w["b2"]).alias("payment_method"),
+        _span(w["c1"], *p.store_range).alias("store_id"),
+        _span(w["c2"], *p.rep_range).alias("sales_rep_id"),
+        F.when(w["b3"] % 100 < p.promo_pct, F.concat(F.lit(p.promo_prefix), F.col("_letters"))).alias(
+            "promotion_code"
+        ),
     )
 
 
