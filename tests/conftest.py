@@ -7,6 +7,7 @@ import tempfile
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -68,7 +69,8 @@ def make_orders(spark, rows: list[dict]):
             if isinstance(full[k], (int, float, str)):
                 full[k] = Decimal(str(full[k]))
         data.append(tuple(full[c] for c in COLUMN_NAMES))
-    return spark.createDataFrame(data, ORDERS_SCHEMA)
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in ORDERS_SCHEMA])
+    return spark.createDataFrame(data, nullable)
 
 
 @pytest.fixture
