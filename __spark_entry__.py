@@ -299,6 +299,7 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         "orders_by_status": W + by("order_status"),
+        "stream_orders_by_status": W + by("order_status"),
         "category_revenue": W + by("product_category"),
         "monthly_trend": W
         + "SELECT strftime(order_date, '%Y-%m') AS order_month, count(*) AS order_count, "

@@ -1,0 +1,19 @@
+"""Parallelism guard for CPU-heavy work on small inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Hash-repartition ``df`` on ``keys`` only if it has fewer partitions
+    than ``min_partitions`` (default: the cluster's default parallelism).
+
+    A single-file source yields one task, which serialises any heavy per-row
+    work after it. On large inputs (many splits) this is a no-op, so it never
+    adds a shuffle where the data is already spread.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -6,7 +6,9 @@ their size is fixed by the schema, not by the scale factor. Every other join
 is left to the planner, whose broadcast threshold is the size check (AQE
 re-checks it with runtime sizes); beyond it the joins shuffle on their keys.
 Column pruning flows through the joins, so a report that needs three
-columns reads only the source columns behind them.
+columns reads only the source columns behind them. A line item source with
+fewer splits than the cluster's parallelism (one small file) is spread on
+``l_orderkey`` first; a large one is read as is.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordersight.functions.money import money, rate, round_money
+from ordersight.functions.partitioning import spread
 
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -41,7 +44,7 @@ def line_order_id() -> Column:
 
 def orders_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25-column orders table, already in ``ORDERS_SCHEMA`` types."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ordersight.functions.hashing import digest, half, pick, split_word, uuid_text, word
 from ordersight.functions.money import from_cents
+from ordersight.functions.partitioning import spread
 
 # ---------------------------------------------------------------------------
 # Domains that must equal the reference generator's.
@@ -158,7 +159,8 @@ def synthesize(
     streams = ("id", "a", "b", "c", "d", "e")
 
     # 1. digests: one md5 per stream, plus customer and product identities.
-    with_key = keys.select(key.alias("_k"))
+    # Generation is CPU-bound, so a key source with too few splits is spread.
+    with_key = spread(keys.select(key.alias("_k")), "_k")
     cust_key = (word(digest(seed, "d", F.col("_k")), 0) % n_customers).cast("string") if n_customers else F.col("_k")
     prod_key = (word(digest(seed, "a", F.col("_k")), 0) % n_products).cast("string") if n_products else F.col("_k")
     hashed = with_key.select(
