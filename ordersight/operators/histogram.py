@@ -2,13 +2,14 @@
 
 The bounds are one global aggregate used as a scalar subquery: Spark runs it
 once, inlines the two values into the bucketing expression and needs neither
-a join nor a trip through the driver. Counting is a map-side partial count
-per bucket, so at most ``bins`` rows per task are shuffled.
+a join with the data nor a trip through the driver. Counting is a map-side
+partial count per bucket, so at most ``bins`` rows per task are shuffled.
+Two scans of the amount column in all: one for the bounds, one to count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordersight.functions.money import cents
@@ -27,29 +28,41 @@ def amount_histogram(df: DataFrame, bins: int = 50, column: str = "final_amount"
     vals = df.select(cents(F.col(column)).alias("_c")).where(F.col("_c").isNotNull())
     bounds = vals.agg(F.min("_c").alias("lo"), F.max("_c").alias("hi"))
     b = bounds.select(F.struct("lo", "hi")).scalar()
-    lo, hi = b.getField("lo"), b.getField("hi")
+    lo, hi = F.col("_b.lo"), F.col("_b.hi")
     span = hi - lo
-
     bucket = F.when(span == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_c") - lo) * bins / span), F.lit(bins - 1))
     ).cast("bigint")
-    counts = vals.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-
-    def edge(i):
-        return (lo.cast("double") + (span * i).cast("double") / F.lit(bins)) / F.lit(100)
-
-    grid = (
+    # Only the counting branch references the bounds (one subquery, reused
+    # for every use in it); the bounds ride along on the counted rows.
+    counts = (
+        vals.select("_c", b.alias("_b"))
+        .groupBy(bucket.alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(lo).alias("_lo"), F.min(hi).alias("_hi"))
+    )
+    # Dense buckets: a ``bins``-row grid; the window spans those rows only.
+    whole = Window.partitionBy()
+    dense = (
         df.sparkSession.range(bins)
         .select(F.col("id").alias("bucket"))
-        .where(lo.isNotNull())
-    )
-    return (
-        grid.join(counts, "bucket", "left")
+        .join(counts, "bucket", "left")
         .select(
             "bucket",
-            edge(F.col("bucket")).alias("bucket_low"),
-            edge(F.col("bucket") + 1).alias("bucket_high"),
             F.coalesce("n", F.lit(0)).alias("n"),
+            F.max("_lo").over(whole).alias("_lo"),
+            F.max("_hi").over(whole).alias("_hi"),
         )
-        .orderBy("bucket")
+        .where(F.col("_lo").isNotNull())
     )
+
+    def edge(i):
+        return (
+            F.col("_lo").cast("double") + ((F.col("_hi") - F.col("_lo")) * i).cast("double") / F.lit(bins)
+        ) / F.lit(100)
+
+    return dense.select(
+        "bucket",
+        edge(F.col("bucket")).alias("bucket_low"),
+        edge(F.col("bucket") + 1).alias("bucket_high"),
+        "n",
+    ).orderBy("bucket")

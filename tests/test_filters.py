@@ -90,3 +90,15 @@ def test_bounds_and_options(orders):
     opts = {(r["picker"], r["value"]) for r in filter_options(df).collect()}
     assert ("status", "Pending") in opts and ("status", "Shipped") in opts
     assert all(v is not None for _, v in opts)
+
+
+def test_tree_merged_limit_equals_plain(spark):
+    from ordersight.operators.ordering import ordered_limit
+    from ordersight.sources.synth import generate_orders
+
+    df = generate_orders(spark, 5000, partitions=16).select("order_id", "final_amount")
+    plain = ordered_limit(df, 300).collect()
+    tree = ordered_limit(df, 300, tree_merge_rows=0)
+    plan = tree._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "TakeOrderedAndProject" in plan
+    assert tree.collect() == plain
