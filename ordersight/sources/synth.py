@@ -142,6 +142,7 @@ def synthesize(
     end_date: _dt.date = DEFAULT_END_DATE,
     n_customers: int | None = None,
     n_products: int | None = None,
+    spread_keys: bool = True,
 ) -> DataFrame:
     """One synthetic order per row of ``keys`` (keys must be unique).
 
@@ -160,7 +161,9 @@ def synthesize(
 
     # 1. digests: one md5 per stream, plus customer and product identities.
     # Generation is CPU-bound, so a key source with too few splits is spread.
-    with_key = spread(keys.select(key.alias("_k")), "_k")
+    with_key = keys.select(key.alias("_k"))
+    if spread_keys:
+        with_key = spread(with_key, "_k")
     cust_key = (word(digest(seed, "d", F.col("_k")), 0) % n_customers).cast("string") if n_customers else F.col("_k")
     prod_key = (word(digest(seed, "a", F.col("_k")), 0) % n_products).cast("string") if n_products else F.col("_k")
     hashed = with_key.select(
@@ -282,9 +285,10 @@ def generate_orders(
     n_customers: int | None = None,
     n_products: int | None = None,
 ) -> DataFrame:
-    """``n`` synthetic orders keyed 0..n-1; ``partitions`` sets task count only."""
+    """``n`` synthetic orders keyed 0..n-1; ``partitions`` sets the task (and
+    output file) count; the default is the cluster's parallelism."""
     keys = spark.range(0, n, numPartitions=partitions).select(F.col("id").cast("string").alias("key"))
     return synthesize(
         keys, seed=seed, profile=profile, end_date=end_date,
-        n_customers=n_customers, n_products=n_products,
+        n_customers=n_customers, n_products=n_products, spread_keys=False,
     )
