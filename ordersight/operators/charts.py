@@ -25,42 +25,56 @@ def _keyed(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull())
 
 
-def kpis(df: DataFrame, approximate_customers: bool = False) -> DataFrame:
-    """Total orders, revenue, average order value and distinct customers.
+def kpi_parts(df: DataFrame, approximate_customers: bool = False) -> DataFrame:
+    """The one aggregate behind the KPI cards (a single row).
 
     The exact distinct count is a two-level aggregate (de-duplicated per task,
-    then per key after the shuffle); ``approximate_customers`` switches to a
-    HyperLogLog++ sketch with no shuffle of keys at all.
+    then per key after the shuffle), so a customer holding a third of all
+    orders still sends one row per task; ``approximate_customers`` switches to
+    a HyperLogLog++ sketch with no shuffle of keys at all.
     """
     distinct = (
         F.approx_count_distinct("customer_id") if approximate_customers else F.count_distinct("customer_id")
     )
     return df.agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        revenue().alias("total_revenue"),
-        average(F.sum("final_amount"), F.count("final_amount")).alias("avg_order_value"),
-        distinct.alias("unique_customers"),
+        F.count(F.lit(1)).alias("n"),
+        revenue().alias("revenue"),
+        F.count("final_amount").alias("n_amount"),
+        distinct.alias("customers"),
     )
 
 
-def kpi_formatted(df: DataFrame) -> DataFrame:
-    """The KPI cards as text: '1,234', '$1,234.56', '$1234.56', '1,234'."""
-    agg = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        (revenue() * F.lit(100)).cast("decimal(38,0)").alias("cents"),
-        F.count("final_amount").alias("n_amount"),
-        F.count_distinct("customer_id").alias("customers"),
+def kpis_from_parts(parts: DataFrame) -> DataFrame:
+    return parts.select(
+        F.col("n").alias("total_orders"),
+        F.col("revenue").alias("total_revenue"),
+        F.when(F.col("n_amount") > 0, average(F.col("revenue"), F.col("n_amount"))).alias("avg_order_value"),
+        F.col("customers").alias("unique_customers"),
     )
-    return agg.select(
+
+
+def kpi_text_from_parts(parts: DataFrame) -> DataFrame:
+    cents = (F.col("revenue") * F.lit(100)).cast("decimal(38,0)")
+    return parts.select(
         thousands(F.col("n")).alias("total_orders"),
-        dollars(F.col("cents")).alias("total_revenue"),
-        F.when(F.col("n_amount") > 0, plain_dollars(half_even_div(F.col("cents"), F.col("n_amount")))).alias(
+        dollars(cents).alias("total_revenue"),
+        F.when(F.col("n_amount") > 0, plain_dollars(half_even_div(cents, F.col("n_amount")))).alias(
             "avg_order_value"
         ),
         thousands(F.col("customers")).alias("unique_customers"),
     )
 
 
+def kpis(df: DataFrame, approximate_customers: bool = False) -> DataFrame:
+    """Total orders, revenue, average order value and distinct customers."""
+    return kpis_from_parts(kpi_parts(df, approximate_customers))
+
+
+def kpi_formatted(df: DataFrame) -> DataFrame:
+    """The KPI cards as text: '1,234', '$1,234.56', '$1234.56', '1,234'."""
+    return kpi_text_from_parts(kpi_parts(df))
+
+
 def status_share(df: DataFrame) -> DataFrame:
     """Order count per status and its share of all counted orders.
 

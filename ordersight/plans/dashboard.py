@@ -11,6 +11,7 @@ from ordersight.operators.histogram import amount_histogram
 from ordersight.operators.ordering import ordered_limit, sort_by_measure, top_k
 from ordersight.operators.tables import table_view
 from ordersight.plans.shared import grain, grouped_once
+from ordersight.session import checkpoint_root
 
 CHART_GRAINS = ("order_status", "payment_method", "product_category", "product_name", "date", "shipping_state")
 
@@ -74,11 +75,15 @@ def dashboard(
     """
     loaded = ordered_limit(df, load_cap)
     filtered = apply_filter(loaded, filt)
+    parts = charts.kpi_parts(filtered)
+    if materialize:
+        checkpoint_root(df.sparkSession)
+        parts = parts.checkpoint(eager=True)  # one row; both KPI views read it
     out = {
         "bounds": filter_bounds(loaded),
         "options": filter_options(loaded),
-        "kpis": charts.kpis(filtered),
-        "kpi_formatted": charts.kpi_formatted(filtered),
+        "kpis": charts.kpis_from_parts(parts),
+        "kpi_formatted": charts.kpi_text_from_parts(parts),
         "amount_histogram": amount_histogram(filtered),
         "table": table_view(filtered),
     }
