@@ -11,7 +11,9 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
 
     A single-file source yields one task, which serialises any heavy per-row
     work after it. On large inputs (many splits) this is a no-op, so it never
-    adds a shuffle where the data is already spread.
+    adds a shuffle where the data is already spread. Without ``keys`` the
+    spread is round-robin, which cannot be skewed; pass keys only when they
+    are unique (a hot key would land whole in one partition).
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

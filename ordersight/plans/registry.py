@@ -113,7 +113,7 @@ ORDER_QUERIES: dict[str, OrderQuery] = {
 
 
 def _price_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(read_table(spark, sf_dir, "lineitem"), "l_partkey")
+    li = spread(read_table(spark, sf_dir, "lineitem"))
     part = read_table(spark, sf_dir, "part")
     joined = li.join(part, li.l_partkey == part.p_partkey)
     quantity = F.col("l_quantity").cast("bigint")

@@ -7,6 +7,7 @@ import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordersight.operators.ordering import ordered_limit
@@ -61,6 +62,34 @@ def rows_per_file(target_bytes: int, bytes_per_row: float) -> int:
     return max(1, int(target_bytes // max(bytes_per_row, 1.0)))
 
 
+def estimate_bytes_per_row(df: DataFrame, scratch: str, sample_rows: int = 100_000) -> float:
+    """Compressed parquet bytes per row, from a pilot write of a sample.
+
+    Only two numbers (bytes, rows) come back to the driver.
+    """
+    df.limit(sample_rows).write.mode("overwrite").parquet(scratch)
+    spark = df.sparkSession
+    size = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(scratch).agg(
+        F.sum("length").alias("b")
+    ).first()["b"] or 0
+    rows = spark.read.parquet(scratch).count()
+    return size / rows if rows else 0.0
+
+
+def write_target_size(df: DataFrame, path: str, target_file_bytes: int, scratch: str) -> str:
+    """Write parquet files of about ``target_file_bytes`` each.
+
+    Each task cuts its output into files of ``maxRecordsPerFile`` rows, sized
+    from a pilot write; no repartitioning, so no shuffle.
+    """
+    per_row = estimate_bytes_per_row(df, scratch)
+    writer = df.write.mode("overwrite")
+    if per_row > 0:
+        writer = writer.option("maxRecordsPerFile", rows_per_file(target_file_bytes, per_row))
+    writer.parquet(path)
+    return path
+
+
 def write_sized(df: DataFrame, path: str, n_files: int, max_rows_per_file: int | None = None) -> str:
     """Spread rows over ``n_files`` tasks; optionally cap rows per file."""
     writer = df.repartition(n_files).write.mode("overwrite")

@@ -143,3 +143,15 @@ def test_projection_and_schema_frame(spark, orders):
     assert table_view(df, n=5).count() == 5
     sf = schema_frame(df).collect()
     assert len(sf) == 25 and sf[10]["data_type"] == "decimal(18,2)"
+
+
+def test_write_target_size(spark, tmp_dir):
+    from ordersight.sinks.files import estimate_bytes_per_row, write_target_size
+
+    df = generate_orders(spark, 20000, partitions=2)
+    per_row = estimate_bytes_per_row(df, tmp_dir + "/pilot", 5000)
+    assert 20 < per_row < 1000
+    write_target_size(df, tmp_dir + "/sized2", int(per_row * 4000), tmp_dir + "/pilot2")
+    inv = file_inventory(spark, tmp_dir + "/sized2").collect()
+    assert sum(r["n_rows"] for r in inv) == 20000 and len(inv) >= 5
+    assert max(r["n_rows"] for r in inv) <= 6000  # sized from its own 100k-row pilot
