@@ -92,3 +92,30 @@ def test_histogram_bounds_are_a_scalar_subquery(spark, wide_path):
     df = read_orders(spark, wide_path)
     plan = _plan(amount_histogram(df))
     assert "Subquery" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_grouped_queries_pre_aggregate_before_shuffle(spark, wide_path):
+    """Every keyed aggregation combines rows per task before its exchange, so a
+    key holding a third of all rows still sends one row per task."""
+    from ordersight.plans import registry as R
+
+    df = read_orders(spark, wide_path)
+    grouped = [
+        "orders_by_status", "category_revenue", "monthly_trend", "payment_distribution", "top_states",
+        "status_counts", "category_counts", "kpis", "status_share", "payment_counts",
+        "category_revenue_chart", "top_products", "daily_trend", "top_states_orders", "top_states_revenue",
+        "filter_options", "amount_histogram",
+    ]
+    for name in grouped:
+        plan = _plan(R.ORDER_QUERIES[name](df))
+        assert "partial_" in plan or "HashAggregate(keys=[picker" in plan, name
+        assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan, name
+
+
+def test_hot_key_results_are_whole(spark, orders):
+    """One status holding a third of the rows: nothing dropped or capped."""
+    rows = [{"order_status": "Hot", "final_amount": "1.00"} for _ in range(300)]
+    rows += [{"order_status": f"s{i % 20}", "final_amount": "2.00"} for i in range(600)]
+    df = orders(rows).repartition(7)
+    got = {r["order_status"]: (r["order_count"], float(r["total_revenue"])) for r in reports.orders_by_status(df).collect()}
+    assert got["Hot"] == (300, 300.0) and sum(v[0] for v in got.values()) == 900
