@@ -9,7 +9,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordersight.schema import conform
@@ -150,3 +150,33 @@ def file_summary(spark: SparkSession, path: str) -> DataFrame:
         )
         .orderBy("is_total", "file_name")
     )
+
+
+def read_first_rows(spark: SparkSession, path: str, n: int, *, conform_schema: bool = True) -> DataFrame:
+    """The first ``n`` rows of a parquet folder in file order (files sorted
+    by path, rows in stored order) -- "head of the concatenated files".
+
+    No sort of the data: per-file row counts (answered from footers) give
+    each file's starting offset; only files starting before ``n`` are kept
+    (at most ``n`` of them, so that small table is broadcast with a proven
+    bound) and rows are cut by their stored position.
+    """
+    if n < 0:
+        raise ValueError("n must be >= 0")
+    scan = _scan(spark, [path], False)
+    data_cols = scan.columns
+    with_pos = scan.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
+    )
+    counts = with_pos.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    needed = starts.where(F.col("_start") < n)
+    out = (
+        with_pos.join(F.broadcast(needed), "_file")
+        .where(F.col("_start") + F.col("_row") < n)
+        .select(*data_cols)
+    )
+    return conform(out) if conform_schema else out

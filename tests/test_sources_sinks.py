@@ -155,3 +155,16 @@ def test_write_target_size(spark, tmp_dir):
     inv = file_inventory(spark, tmp_dir + "/sized2").collect()
     assert sum(r["n_rows"] for r in inv) == 20000 and len(inv) >= 5
     assert max(r["n_rows"] for r in inv) <= 6000  # sized from its own 100k-row pilot
+
+
+def test_read_first_rows_in_file_order(spark, tmp_dir):
+    import pyarrow.parquet as pq
+
+    from ordersight.sources.parquet import read_first_rows
+
+    generate_orders(spark, 3000, partitions=4).write.parquet(tmp_dir + "/ordered")
+    files = sorted(f for f in os.listdir(tmp_dir + "/ordered") if f.endswith(".parquet"))
+    ids = [i for f in files for i in pq.read_table(f"{tmp_dir}/ordered/{f}").column("order_id").to_pylist()]
+    for n in (0, 1, 749, 750, 751, 2000, 3000, 5000):
+        got = [r[0] for r in read_first_rows(spark, tmp_dir + "/ordered", n).select("order_id").collect()]
+        assert sorted(got) == sorted(ids[:n]), n
