@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def num_partitions(df: DataFrame) -> int | None:
+    """Planned partition count (no job runs); None where the session cannot
+    tell (e.g. Spark Connect has no RDD view)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - any missing RDD API means "unknown"
+        return None
+
+
 def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
     """Hash-repartition ``df`` on ``keys`` only if it has fewer partitions
     than ``min_partitions`` (default: the cluster's default parallelism).
@@ -15,7 +24,11 @@ def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> Data
     spread is round-robin, which cannot be skewed; pass keys only when they
     are unique (a hot key would land whole in one partition).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (Connect): leave as is
+        return df
+    parts = num_partitions(df)
+    if parts is None or parts >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordersight.functions.partitioning import num_partitions
+
 # Above this many rows (input partitions x n) reaching the final merge task,
 # ordered limits switch to a two-level merge.
 TREE_MERGE_ROWS = 10_000_000
@@ -55,7 +57,7 @@ def ordered_limit(
     order = F.asc_nulls_last(key)
     if n > 0:
         group_limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-        parts = df.rdd.getNumPartitions()
+        parts = num_partitions(df) or 1
         if parts * n > tree_merge_rows and n <= group_limit:
             groups = max(2, math.isqrt(parts))
             in_group = Window.partitionBy("_merge_group").orderBy(order)
