@@ -101,7 +101,7 @@ def filter_options(df: DataFrame) -> DataFrame:
     """Distinct non-null values for each picker, as (picker, value) rows.
 
     One scan: each row is expanded into three tagged values, de-duplicated map
-    side, then shuffled. Sort with ``orderBy("picker", "value")`` for display.
+    side, then shuffled; only the few distinct values are sorted.
     """
     cols = [(tag, c) for tag, c in PICKER_COLUMNS if c in df.columns]
     tagged = F.explode(
@@ -112,4 +112,5 @@ def filter_options(df: DataFrame) -> DataFrame:
         .select("o.picker", "o.value")
         .where(F.col("value").isNotNull())
         .distinct()
+        .orderBy("picker", "value")
     )
