@@ -6,11 +6,13 @@ their size is fixed by the schema, not by the scale factor. Every other join
 is left to the planner, whose broadcast threshold is the size check (AQE
 re-checks it with runtime sizes); beyond it the joins shuffle on their keys.
 Column pruning flows through the joins, so a report that needs three
-columns reads only the source columns behind them. A line item source with
-fewer splits than the cluster's parallelism (one small file) is spread
-round-robin first (not on a key: the joins' own shuffles stay eligible for
-AQE's skew-join splitting if one order or part key holds a large share of
-the rows); a large source is read as is.
+columns reads only the source columns behind them. When the inputs
+have fewer splits than the cluster's parallelism (single small files), both
+sides of the order join are spread on the order key, so that join runs
+co-partitioned in parallel whichever side the planner builds (otherwise a
+one-partition side can end up streamed and the whole fixture runs as one
+task). On large inputs this is a no-op, so there the joins' own shuffles
+apply and stay eligible for AQE's skew-join splitting of a hot key.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ def line_order_id() -> Column:
 
 def orders_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25-column orders table, already in ``ORDERS_SCHEMA`` types."""
-    li = spread(read_table(spark, sf_dir, "lineitem"))
+    li = spread(read_table(spark, sf_dir, "lineitem"), "l_orderkey")
     orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
@@ -58,7 +60,7 @@ def orders_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     # scale (on the order key, then the part key), never on the customer key.
     geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
     cust = customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey)
-    order_cust = orders.join(cust, orders.o_custkey == cust.c_custkey)
+    order_cust = spread(orders.join(cust, orders.o_custkey == cust.c_custkey), "o_orderkey")
     wide = li.join(order_cust, li.l_orderkey == order_cust.o_orderkey).join(part, li.l_partkey == part.p_partkey)
 
     total = money(F.col("l_extendedprice"))
