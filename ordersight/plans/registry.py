@@ -113,8 +113,9 @@ ORDER_QUERIES: dict[str, OrderQuery] = {
 
 
 def _price_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(read_table(spark, sf_dir, "lineitem"))
-    part = read_table(spark, sf_dir, "part")
+    # small single-file inputs: co-partition both sides (no-op at scale)
+    li = spread(read_table(spark, sf_dir, "lineitem"), "l_partkey")
+    part = spread(read_table(spark, sf_dir, "part"), "p_partkey")
     joined = li.join(part, li.l_partkey == part.p_partkey)
     quantity = F.col("l_quantity").cast("bigint")
     amounts = price_components(quantity, F.col("p_retailprice"), F.col("l_discount"), "0.08")
