@@ -119,3 +119,28 @@ def test_hot_key_results_are_whole(spark, orders):
     df = orders(rows).repartition(7)
     got = {r["order_status"]: (r["order_count"], float(r["total_revenue"])) for r in reports.orders_by_status(df).collect()}
     assert got["Hot"] == (300, 300.0) and sum(v[0] for v in got.values()) == 900
+
+
+def test_spread_is_a_no_op_on_already_parallel_inputs(spark):
+    from ordersight.functions.partitioning import spread
+
+    wide = spark.range(0, 1000, numPartitions=64)
+    assert spread(wide) is wide
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert "RoundRobinPartitioning" in _plan(spread(narrow, min_partitions=4))
+
+
+def test_fixture_shuffles_line_items_twice_without_broadcasts(spark):
+    """With every table too big to broadcast (the 100 TB case), line-item rows
+    are shuffled on the order key and then the part key only."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = _plan(orders_from_star(spark, SF_SMALL))
+    finally:
+        spark.conf.set(key, old)
+    lineitem_shuffles = [l for l in plan.split("\n") if "Exchange hashpartitioning(l_" in l]
+    assert len(lineitem_shuffles) == 2
+    assert any("l_orderkey" in l for l in lineitem_shuffles) and any("l_partkey" in l for l in lineitem_shuffles)
+    assert "hashpartitioning(o_custkey" in plan  # orders, not line items, meet customers
