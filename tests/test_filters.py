@@ -102,3 +102,64 @@ def test_tree_merged_limit_equals_plain(spark):
     plan = tree._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "TakeOrderedAndProject" in plan
     assert tree.collect() == plain
+
+
+def test_default_filter_is_identity_on_null_free_data(orders):
+    df = orders([{"order_status": s, "payment_method": p, "product_category": c}
+                 for s in ("A", "B") for p in ("X", "Y") for c in ("K", "L")])
+    assert apply_filter(df, OrderFilter()).count() == df.count()
+    every = OrderFilter(
+        statuses=("A", "B"), payment_methods=("X", "Y"), categories=("K", "L"),
+        date_range=("1900-01-01", "2100-12-31"), amount_range=(-1e12, 1e12),
+    )
+    assert _ids(apply_filter(df, every)) == _ids(df)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.fixed_dictionaries(
+    {
+        "order_status": st.sampled_from(["A", "B", "C", None]),
+        "payment_method": st.sampled_from(["X", "Y", None]),
+        "final_amount": st.one_of(st.none(), st.integers(0, 500).map(lambda c: f"{c / 10:.2f}")),
+        "order_date": st.one_of(st.none(), st.dates(dt.date(2024, 1, 1), dt.date(2024, 3, 31))),
+    }
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(_row, min_size=0, max_size=25),
+    statuses=st.lists(st.sampled_from(["A", "B", "C"]), max_size=2, unique=True),
+    pays=st.lists(st.sampled_from(["X", "Y"]), max_size=1, unique=True),
+    lo=st.integers(0, 50),
+    span=st.integers(0, 50),
+    with_dates=st.booleans(),
+)
+def test_filter_matches_python_reference(orders, rows, statuses, pays, lo, span, with_dates):
+    from decimal import Decimal
+
+    d_lo, d_hi = dt.date(2024, 1, 15), dt.date(2024, 2, 20)
+    filt = OrderFilter(
+        statuses=tuple(statuses) or None,
+        payment_methods=tuple(pays) or None,
+        amount_range=(float(lo), float(lo + span)),
+        date_range=(d_lo, d_hi) if with_dates else None,
+    )
+    df = orders(rows)
+
+    def keep(r):
+        if statuses and r["order_status"] not in statuses:
+            return False
+        if pays and r["payment_method"] not in pays:
+            return False
+        a = r["final_amount"]
+        if a is None or not (lo <= Decimal(a) <= lo + span):
+            return False
+        if with_dates and (r["order_date"] is None or not (d_lo <= r["order_date"] <= d_hi)):
+            return False
+        return True
+
+    want = sorted(f"o{i:03d}" for i, r in enumerate(rows) if keep(r))
+    assert _ids(apply_filter(df, filt)) == want
