@@ -89,3 +89,20 @@ def dashboard(
     }
     out.update(chart_pack(filtered, materialize=materialize))
     return out
+
+
+def dashboard_from_path(
+    spark,
+    path: str,
+    filt: OrderFilter = OrderFilter(),
+    *,
+    load_cap: int | None = None,
+    materialize: bool = True,
+) -> dict[str, DataFrame]:
+    """The dashboard over a parquet folder. A load cap takes the first
+    ``load_cap`` rows in file order (the reference's "head" of the
+    concatenated files) from per-file row counts, with no sort."""
+    from ordersight.sources.parquet import read_first_rows, read_orders
+
+    df = read_orders(spark, path) if load_cap is None else read_first_rows(spark, path, load_cap)
+    return dashboard(df, filt, materialize=materialize)

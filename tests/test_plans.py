@@ -144,3 +144,12 @@ def test_fixture_shuffles_line_items_twice_without_broadcasts(spark):
     assert len(lineitem_shuffles) == 2
     assert any("l_orderkey" in l for l in lineitem_shuffles) and any("l_partkey" in l for l in lineitem_shuffles)
     assert "hashpartitioning(o_custkey" in plan  # orders, not line items, meet customers
+
+
+def test_dashboard_from_path_caps_in_file_order(spark, wide_path):
+    from ordersight.plans.dashboard import dashboard_from_path
+
+    out = dashboard_from_path(spark, wide_path, OrderFilter(), load_cap=1234)
+    assert out["kpis"].first()["total_orders"] == 1234
+    full = dashboard_from_path(spark, wide_path)
+    assert full["kpis"].first()["total_orders"] == 6000
