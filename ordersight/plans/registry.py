@@ -53,7 +53,7 @@ DEMO_FILTER = OrderFilter(
 DASHBOARD_LOAD_CAP = 50_000
 DASHBOARD_ROW_LIMIT = 1_000
 SAMPLE_ROWS = 100
-LOAD_CAP = 5_000
+LOAD_CAP = DASHBOARD_LOAD_CAP  # the reference dashboard's own load cap
 PROJECTION = ("order_id", "order_date", "product_category", "final_amount", "order_status")
 UNION_STATUS = "F"
 APPEND_SPLIT_DATE = "1998-01-01"
