@@ -65,17 +65,19 @@ def dashboard(
     *,
     load_cap: int | None = None,
     materialize: bool = True,
+    approximate_customers: bool = False,
 ) -> dict[str, DataFrame]:
     """Everything the dashboard shows, as lazy DataFrames.
 
     Order of operations is the reference's: optional load cap (first
     ``load_cap`` orders by id), bounds and options on the capped data, then
     filters, then the optional row limit, then KPIs, charts and the table.
-    Both caps default to None: the whole table.
+    Both caps default to None: the whole table. ``approximate_customers``
+    counts distinct customers with HyperLogLog++ (no shuffle of customer ids).
     """
     loaded = ordered_limit(df, load_cap)
     filtered = apply_filter(loaded, filt)
-    parts = charts.kpi_parts(filtered)
+    parts = charts.kpi_parts(filtered, approximate_customers)
     if materialize:
         checkpoint_root(df.sparkSession)
         parts = parts.checkpoint(eager=True)  # one row; both KPI views read it
@@ -98,6 +100,7 @@ def dashboard_from_path(
     *,
     load_cap: int | None = None,
     materialize: bool = True,
+    approximate_customers: bool = False,
 ) -> dict[str, DataFrame]:
     """The dashboard over a parquet folder. A load cap takes the first
     ``load_cap`` rows in file order (the reference's "head" of the
@@ -105,4 +108,4 @@ def dashboard_from_path(
     from ordersight.sources.parquet import read_first_rows, read_orders
 
     df = read_orders(spark, path) if load_cap is None else read_first_rows(spark, path, load_cap)
-    return dashboard(df, filt, materialize=materialize)
+    return dashboard(df, filt, materialize=materialize, approximate_customers=approximate_customers)

@@ -153,3 +153,10 @@ def test_dashboard_from_path_caps_in_file_order(spark, wide_path):
     assert out["kpis"].first()["total_orders"] == 1234
     full = dashboard_from_path(spark, wide_path)
     assert full["kpis"].first()["total_orders"] == 6000
+
+
+def test_dashboard_approximate_customers(spark, wide_path):
+    df = read_orders(spark, wide_path)
+    exact = dashboard(df)["kpis"].first()["unique_customers"]
+    approx = dashboard(df, approximate_customers=True)["kpis"].first()["unique_customers"]
+    assert abs(approx - exact) <= 0.05 * exact
