@@ -23,6 +23,16 @@ from ordersight.schema import COLUMN_NAMES, MONEY_COLUMNS, present  # noqa: E402
 from ordersight.sources import synth as S  # noqa: E402
 from ordersight.sources.star import orders_from_star  # noqa: E402
 
+# The training-data package is optional: without it the other queries stand alone.
+try:
+    from ordersight.llm import queries as _llm
+except ImportError:
+    _llm = None
+try:
+    import corpus_pipeline as _pipeline
+except ImportError:
+    _pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -42,6 +52,10 @@ def _table_query(fn) -> Callable[[SparkSession, str], DataFrame]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _order_query(fn) for name, fn in R.ORDER_QUERIES.items()}
     out.update({name: _table_query(fn) for name, fn in R.TABLE_QUERIES.items()})
+    if _llm is not None:
+        out.update(_llm.QUERIES)
+    if _pipeline is not None:
+        out["pipeline"] = _pipeline.run
     return out
 
 
@@ -291,6 +305,15 @@ FROM amounts"""
 
 
 def oracle_sql() -> dict[str, str]:
+    out = _orders_oracle_sql()
+    if _llm is not None:
+        out.update(_llm.ORACLE_SQL)
+    if _pipeline is not None and _pipeline.ORACLE_SQL is not None:
+        out["pipeline"] = _pipeline.ORACLE_SQL
+    return out
+
+
+def _orders_oracle_sql() -> dict[str, str]:
     W = _with()
     ten = COLUMN_NAMES[:10]
     by = lambda key: (
