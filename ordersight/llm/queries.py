@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe
+from ordersight.llm import bpe, fingerprints, packing
 from ordersight.llm.common import table, vocabulary
 
 
@@ -27,8 +27,28 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every text and its half-edited form; compare with that and with the next document."""
+    found = fingerprints.neighbour_fingerprints(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    """Documents tokenized with the lower-case word vocabulary and packed, the ids as their CRC-32."""
+    with open(vocabulary("word_bpe_49k.json"), "rb") as f:
+        pieces = packing.pack_documents(docs, "doc_id", "text", f.read(), end_id=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of at most 4096 tokens."""
+    return packed_pieces(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_packing": op9_packing,
 }
 
 #: DuckDB SQL for those queries that SQL can express.
