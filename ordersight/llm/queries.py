@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe, fingerprints, packing
+from ordersight.llm import bpe, fingerprints, packing, pii, secrets, spans
 from ordersight.llm.common import table, vocabulary
 
 
@@ -27,6 +27,31 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: fixed rules, and what the skip-chain model adds."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_personal_data(docs, "doc_id", "text", pii.fit(docs, "text"))
+    return found.select(
+        "doc_id",
+        *(spans.how_many("base", i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)),
+        F.sha2(spans.rendered("base", pii.KINDS), 256).alias("base_sha256"),
+        spans.rendered("spans", pii.KINDS).alias("spans"),
+    )
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: fixed rules, and owner-specific live-looking words."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return found.select(
+        "doc_id",
+        *(spans.how_many("base", i).alias(f"n_{kind}") for i, kind in enumerate(secrets.KINDS[:3])),
+        F.sha2(spans.rendered("base", secrets.KINDS), 256).alias("base_sha256"),
+        spans.rendered("spans", secrets.KINDS).alias("spans"),
+        "n_live",
+        "n_example",
+    )
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint every text and its half-edited form; compare with that and with the next document."""
     found = fingerprints.neighbour_fingerprints(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -47,6 +72,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_pii": op2_pii,
+    "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
 }
