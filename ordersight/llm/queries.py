@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe, fingerprints, packing, pii, secrets, spans
-from ordersight.llm.common import table, vocabulary
+from ordersight.llm import bpe, fingerprints, packing, pii, quality, secrets, spans, urls, warc
+from ordersight.llm.common import scratch, table, vocabulary
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +39,35 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page as a WARC record, read the archives back by byte ranges."""
+    folder = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder, "page_id", "url", "html")
+    back = warc.read_archives(spark, folder)
+    return back.select(
+        "page_id",
+        F.coalesce(F.octet_length("payload").cast("long"), "http_length").alias("payload_bytes"),
+        F.coalesce(F.sha2("payload", 256), "header_digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every URL: the longest fitting rule, else the n-gram model."""
+    pages = table(spark, sf_dir, "pages")
+    model = urls.train(urls.labelled_urls(pages, "url"))
+    return urls.judge(pages, "page_id", "url", model)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every text by the rule ensemble; labels of held-out rows stay unseen."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "quality")
+    scored = docs.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), model.column(F.col("text")).alias("score"))
+    return scored.select("*", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text: fixed rules, and owner-specific live-looking words."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
@@ -73,6 +102,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
+    "op4_warc": op4_warc,
+    "op5_url_filter": op5_url_filter,
+    "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
