@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe, fingerprints, packing, pii, quality, secrets, spans, urls, warc
+from ordersight.llm import bpe, fingerprints, neardup, packing, pii, quality, secrets, spans, urls, warc
 from ordersight.llm.common import scratch, table, vocabulary
 
 
@@ -39,6 +39,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every page as a WARC record, read the archives back by byte ranges."""
     folder = scratch(spark, "warc")
@@ -102,6 +107,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_warc": op4_warc,
     "op5_url_filter": op5_url_filter,
     "op6_quality": op6_quality,
