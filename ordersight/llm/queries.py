@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe, fingerprints, neardup, packing, pii, quality, secrets, spans, urls, warc
+from ordersight.llm import bpe, covertree, fingerprints, neardup, packing, pii, quality, secrets, spans, urls, warc
 from ordersight.llm.common import scratch, table, vocabulary
 
 
@@ -104,6 +104,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best other vectors of every vector whose id is divisible by 50."""
+    return covertree.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", lambda i: i % 50 == 0, 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
@@ -114,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secrets": op7_secrets,
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
+    "op10_top_k": op10_top_k,
 }
 
 #: DuckDB SQL for those queries that SQL can express.
