@@ -317,9 +317,13 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join(out) + text[at:]
 
 
-def mask_personal_data(df: DataFrame, text_col: str, model: Model, min_probability: float = MIN_PROBABILITY) -> DataFrame:
-    """``df`` with the personal data in ``text_col`` masked; rows, columns and texts without any stay as they are."""
+def mask_personal_data(df: DataFrame, text_col: str, model: Model, length_col: str | None = None, min_probability: float = MIN_PROBABILITY) -> DataFrame:
+    """``df`` with the personal data in ``text_col`` masked; rows, columns and texts without any stay as they are.
+
+    ``length_col`` names an integer column that gets the code points of the texts that changed.
+    """
     at, names = df.columns.index(text_col), df.columns
+    length_at = names.index(length_col) if length_col in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,6 +333,9 @@ def mask_personal_data(df: DataFrame, text_col: str, model: Model, min_probabili
             done = [masked(t, b + m) if b or m else t for t, b, m in zip(texts, base, more)]
             columns = [*batch.columns]
             columns[at] = pa.array(done, batch.schema.field(at).type)
+            if length_at is not None:
+                lengths = [len(t) if b or m else n for t, b, m, n in zip(done, base, more, columns[length_at].to_pylist())]
+                columns[length_at] = pa.array(lengths, batch.schema.field(length_at).type)
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.mapInArrow(run, df.schema)
