@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ordersight.llm.common import stored
+from ordersight.llm.common import hashed_sample, stored
 
 #: Vectors of one block (data, queries), of one leaf, and pivots that seed the blocks.
 BLOCK = 4096
@@ -195,7 +195,7 @@ def _padded(vectors) -> np.ndarray:
 
 def pivots(rows: DataFrame, n: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> np.ndarray:
     """Up to ``n`` far-apart vectors among the ``sample`` with the smallest id hashes."""
-    got = rows.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    got = sorted(hashed_sample(rows, ["id"], sample).collect(), key=lambda r: r["id"])
     points = _padded([r["v"] for r in got]).astype(np.float64)
     if not len(points):
         return points

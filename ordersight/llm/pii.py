@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordersight.llm import spans as S
+from ordersight.llm.common import thinned
 from ordersight.llm.spans import Span
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1
-#: The training sample: documents, and mentions in one of them.
+#: The training sample: documents looked at, those used, and mentions in one of them.
+SAMPLE_LOOKED_AT = 40_000
 SAMPLE_DOCS = 2000
 SAMPLE_MENTIONS = 100
 MIN_PROBABILITY = 0.8
@@ -261,8 +263,11 @@ def added_spans(model: Model, graphs: list[Mentions], min_probability: float = M
 
 
 def training_graphs(df: DataFrame, text_col: str, docs: int = SAMPLE_DOCS, most: int = SAMPLE_MENTIONS) -> list[Mentions]:
-    """Mention graphs of the ``docs`` documents with the smallest text hashes among those in which a
-    fixed rule fired and that have at most ``most`` mentions. Only these graphs reach the driver."""
+    """Mention graphs of at most ``docs`` documents in which a fixed rule fired, with at most ``most`` mentions.
+
+    About SAMPLE_LOOKED_AT documents, picked by the hash of their text, are
+    searched for them. Only the graphs reach the driver.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,7 +280,8 @@ def training_graphs(df: DataFrame, text_col: str, docs: int = SAMPLE_DOCS, most:
                         rows.append((order, pickle.dumps((g.spans, g.features, g.edges))))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["hash", "graph"])
 
-    rows = df.select(F.xxhash64(F.col(text_col).cast("string")).alias("hash"), F.col(text_col).cast("string").alias("text"))
+    texts = thinned(df.select(F.col(text_col).cast("string").alias("text")), ["text"], SAMPLE_LOOKED_AT)
+    rows = texts.select(F.xxhash64("text").alias("hash"), "text")
     picked = rows.mapInArrow(run, "hash long, graph binary").orderBy("hash", "graph").limit(docs).collect()
     return [Mentions(*pickle.loads(r["graph"])) for r in picked]
 

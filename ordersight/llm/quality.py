@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordersight.llm.common import hashed_sample
+
 #: Labelled rows in the training sample, at most.
 SAMPLE_ROWS = 8000
 TREES = 24
@@ -182,9 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     picked = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
         .filter(F.col("id").isNotNull() & F.col("y").isin(0.0, 1.0) & ~held_out(F.col("id")))
-        .orderBy(F.xxhash64("id"), "id", "y")
-        .limit(rows)
     )
+    picked = hashed_sample(picked, ["id", "y"], rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sample = texts.join(F.broadcast(picked), "id").select("id", "y", statistics(F.col("text")).alias("s")).select("id", "y", "s.*")
     got = sorted(map(tuple, sample.collect()))
