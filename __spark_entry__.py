@@ -285,6 +285,13 @@ FROM amounts"""
     return "WITH " + ",\n".join([keys, hashed, words, amounts]) + select
 
 
+def _csv_name() -> str:
+    cases = " ".join(
+        f"WHEN store_id % {len(R.CSV_NAMES) + 1} = {i} THEN " + ("NULL" if n is None else f"'{n}'") for i, n in enumerate(R.CSV_NAMES)
+    )
+    return f"CASE {cases} ELSE customer_name END"
+
+
 def _price_components_sql() -> str:
     total = "CAST(round(CAST(CAST(l_quantity AS BIGINT) AS DECIMAL(20,0)) * CAST(p_retailprice AS DECIMAL(18,2)), 2) AS DECIMAL(18,2))"
     return f"""
@@ -320,7 +327,7 @@ def _orders_oracle_sql() -> dict[str, str]:
         f"SELECT {key}, count(*) AS order_count, CAST(sum(final_amount) AS DOUBLE) AS total_revenue "
         f"FROM wide GROUP BY {key}"
     )
-    return {
+    out = {
         "orders_by_status": W + by("order_status"),
         "stream_orders_by_status": W + by("order_status"),
         "category_revenue": W + by("product_category"),
@@ -358,8 +365,9 @@ def _orders_oracle_sql() -> dict[str, str]:
         "top_states_revenue": W
         + f"SELECT shipping_state, {_REVENUE} AS revenue FROM wide WHERE shipping_state IS NOT NULL GROUP BY 1 "
         "ORDER BY coalesce(sum(final_amount), 0) DESC, shipping_state ASC NULLS LAST LIMIT 15",
-        "scan_orders": W + f"SELECT {_present()} FROM wide",
-        "load_cap": W + f"SELECT {_present()} FROM wide ORDER BY order_id LIMIT {R.LOAD_CAP}",
+        "scan_orders": W
+        + f"SELECT {_present()} FROM (SELECT * REPLACE (CASE WHEN store_id % {R.NAN_EVERY} = 0 THEN NULL ELSE tax_amount END "
+        "AS tax_amount) FROM wide)",
         "first_rows": W + f"SELECT {_present()} FROM wide ORDER BY order_id LIMIT {R.SAMPLE_ROWS}",
         "project_columns": W + f"SELECT {_present(R.PROJECTION)} FROM wide",
         "filter_options": W
@@ -379,24 +387,27 @@ def _orders_oracle_sql() -> dict[str, str]:
         "filter_limit": W
         + f"SELECT {_present()} FROM wide WHERE {_P_ALL} ORDER BY order_id LIMIT {R.DASHBOARD_ROW_LIMIT}",
         "table_view": W
-        + f"SELECT {_present(ten)} FROM wide WHERE {_P_ALL} ORDER BY order_id LIMIT {R.DASHBOARD_ROW_LIMIT}",
+        + f"SELECT {_present(ten)} FROM wide WHERE {_P_ALL}",
+        "single_line_address": W
+        + "SELECT order_id, shipping_address || ', ' || shipping_city || ', ' || shipping_state AS address FROM wide",
         "dashboard_kpis": W + f"SELECT {_KPIS} FROM wide WHERE {_P_ALL}",
         "dashboard_category": W
         + f"SELECT product_category, {_REVENUE} AS revenue FROM wide "
         f"WHERE {_P_ALL} AND product_category IS NOT NULL GROUP BY 1",
-        "dashboard_capped": _with(
-            f"loaded AS (SELECT * FROM wide ORDER BY order_id LIMIT {R.DASHBOARD_LOAD_CAP})",
-            f"shown AS (SELECT * FROM loaded WHERE {_P_ALL} ORDER BY order_id LIMIT {R.DASHBOARD_ROW_LIMIT})",
-        )
-        + f"SELECT {_KPIS} FROM shown",
         "price_components": _price_components_sql(),
         "synth_orders": _synth_sql("full"),
         "synth_orders_small": _synth_sql("small"),
         "scan_union": W
         + f"SELECT {_present()} FROM wide UNION ALL SELECT {_present()} FROM wide WHERE order_status = '{R.UNION_STATUS}'",
         "export_sample": W + f"SELECT {_present()} FROM wide ORDER BY order_id LIMIT {R.SAMPLE_ROWS}",
-        "export_csv": W + f"SELECT {_present(ten)} FROM wide WHERE {_P_ALL}",
+        "export_csv": W
+        + f"SELECT {_present(ten)} FROM (SELECT * REPLACE ({_csv_name()} AS customer_name) FROM wide) WHERE {_P_ALL}",
         "append_batches": W + f"SELECT {_present()} FROM wide",
-        # file_inventory / file_summary list files this run wrote: names and
-        # sizes differ per run, so they get the rows-only check.
+        "file_inventory": W + "SELECT order_status AS folder, count(*) AS n_rows FROM wide GROUP BY 1",
+        "file_summary": W
+        + "SELECT coalesce(order_status, 'TOTAL') AS folder, count(*) AS n_rows FROM wide GROUP BY GROUPING SETS ((order_status), ())",
     }
+    nulls = ", ".join(f"CASE WHEN store_id % {n} <> 0 THEN {c} END AS {c}" for c, n in R.NULL_EVERY.items())
+    holed = _WIDE.replace("\nwide AS (", "\nwhole AS (", 1) + f",\nwide AS (SELECT * REPLACE ({nulls}) FROM whole)"
+    out.update({f"nulls_{name}": out[name].replace(_WIDE, holed, 1) for name in R.NULL_QUERIES})
+    return out

@@ -6,17 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def day(col: Column) -> Column:
-    return F.to_date(col)
-
-
 def month_start(col: Column) -> Column:
     return F.trunc(col, "month")
 
 
 def month_label(col: Column) -> Column:
     return F.date_format(col, "yyyy-MM")
-
-
-def iso_date(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM-dd")

@@ -1,7 +1,7 @@
 """Deterministic pseudo-random draws for the order generator.
 
 Every value is a pure function of (seed, stream, key): output does not depend
-on partitioning, task retries or executor count. One md5 yields four
+on partitioning, task retries or executor count. One md5 yields two 52-bit halves, or four
 independent 26-bit words from two hex conversions, so a row needs only a
 handful of digests.
 """
@@ -31,11 +31,6 @@ def split_word(half_value: Column, k: int) -> Column:
     return F.shiftright(half_value, WORD_BITS) if k else half_value.bitwiseAND(F.lit(_MASK))
 
 
-def word(hex_digest: Column, i: int) -> Column:
-    """The i-th (0..3) 26-bit word of a hex digest: word 2j+k = split_word(half j, k)."""
-    return split_word(half(hex_digest, i // 2), i % 2)
-
-
 def pick(values: tuple[str, ...] | list[str], w: Column) -> Column:
     """Uniform choice from a literal list by a word."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), (w % len(values) + 1).cast("int"))

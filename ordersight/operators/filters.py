@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
+from decimal import ROUND_CEILING, ROUND_FLOOR, Decimal
 from functools import reduce
 from operator import and_
 
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordersight.operators.ordering import ordered_limit
+from ordersight.schema import MONEY
 
 DateLike = _dt.date | str
 
@@ -50,8 +52,25 @@ def in_predicate(column: str, values) -> Column:
     return F.col(column).isin(list(values))
 
 
+_MOST = Decimal("9999999999999999.99")
+
+
+def _edge(value: float | str | Decimal, rounding: str) -> Column:
+    """A bound as a DECIMAL(18,2) literal: rounded into the range, which no two-digit amount notices."""
+    exact = Decimal(str(value))
+    if exact.is_infinite() or abs(exact) > _MOST:
+        exact = _MOST.copy_sign(exact)
+    return F.lit(exact.quantize(Decimal("0.01"), rounding)).cast(MONEY)
+
+
 def amount_predicate(lo: float, hi: float, column: str = "final_amount") -> Column:
-    return F.col(column).between(F.lit(lo), F.lit(hi))
+    """``lo <= column <= hi`` for a conformed amount, as decimals, so that it reaches the parquet scan.
+
+    NaN bounds compare with nothing and raise.
+    """
+    if any(Decimal(str(v)).is_nan() for v in (lo, hi)):
+        raise ValueError("amount bounds must be numbers")
+    return F.col(column).between(_edge(lo, ROUND_CEILING), _edge(hi, ROUND_FLOOR))
 
 
 def filter_predicate(filt: OrderFilter, columns: list[str] | tuple[str, ...]) -> Column | None:
@@ -80,14 +99,20 @@ def apply_filter(df: DataFrame, filt: OrderFilter) -> DataFrame:
 
 
 def filter_bounds(df: DataFrame) -> DataFrame:
-    """Slider bounds in one pass: date and amount min/max, non-null dates."""
-    return df.agg(
-        F.min("order_date").alias("min_date"),
-        F.max("order_date").alias("max_date"),
-        F.min("final_amount").alias("min_amount"),
-        F.max("final_amount").alias("max_amount"),
-        F.count("order_date").alias("n_dates"),
-    )
+    """Slider bounds in one pass: date and amount min/max, non-null dates; a column that is absent has no bounds."""
+    return df.agg(*bound_measures(df.columns))
+
+
+def bound_measures(columns) -> list[Column]:
+    """The aggregates behind the sliders whose columns exist; at least the row count, as ``n_rows``, if none does."""
+    out = []
+    if "order_date" in columns:
+        out += [F.min("order_date").alias("min_date"), F.max("order_date").alias("max_date")]
+    if "final_amount" in columns:
+        out += [F.min("final_amount").alias("min_amount"), F.max("final_amount").alias("max_amount")]
+    if "order_date" in columns:
+        out.append(F.count("order_date").alias("n_dates"))
+    return out or [F.count(F.lit(1)).alias("n_rows")]
 
 
 PICKER_COLUMNS = (

@@ -15,18 +15,22 @@ from pyspark.sql import functions as F
 from ordersight.functions.money import cents
 
 
-def amount_histogram(df: DataFrame, bins: int = 50, column: str = "final_amount") -> DataFrame:
+def amount_histogram(df: DataFrame, bins: int = 50, column: str = "final_amount", bounds: DataFrame | None = None) -> DataFrame:
     """``bins`` equal-width buckets over [min, max]; the last one is closed.
 
     Returns every bucket (empty ones with n = 0): bucket, bucket_low,
     bucket_high, n. When all values are equal they all land in bucket 0; an
     input without values gives no rows. Bucketing is exact integer arithmetic
     on cents (exact while (max - min) in cents times ``bins`` stays below 2^53).
+    ``bounds`` is one row (lo, hi) of the column's extremes, if known already.
     """
     if bins < 1:
         raise ValueError("bins must be >= 1")
     vals = df.select(cents(F.col(column)).alias("_c")).where(F.col("_c").isNotNull())
-    bounds = vals.agg(F.min("_c").alias("lo"), F.max("_c").alias("hi"))
+    if bounds is None:
+        bounds = vals.agg(F.min("_c").alias("lo"), F.max("_c").alias("hi"))
+    else:
+        bounds = bounds.select(cents(F.col("lo")).alias("lo"), cents(F.col("hi")).alias("hi"))
     b = bounds.select(F.struct("lo", "hi")).scalar()
     lo, hi = F.col("_b.lo"), F.col("_b.hi")
     span = hi - lo

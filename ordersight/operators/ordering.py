@@ -6,18 +6,11 @@ limit always returns the same rows whatever the partitioning.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordersight.functions.partitioning import num_partitions
-
-# Above this many rows (input partitions x n) reaching the final merge task,
-# ordered limits switch to a two-level merge.
-TREE_MERGE_ROWS = 10_000_000
-
 
 def _key_order(keys: Sequence[str]) -> list[Column]:
     return [F.asc_nulls_last(k) for k in keys]
@@ -33,38 +26,15 @@ def top_k(df: DataFrame, measure: str, keys: Sequence[str], k: int, descending:
     return sort_by_measure(df, measure, keys, descending).limit(k)
 
 
-def ordered_limit(
-    df: DataFrame,
-    n: int | None,
-    key: str = "order_id",
-    *,
-    tree_merge_rows: int = TREE_MERGE_ROWS,
-) -> DataFrame:
-    """First ``n`` rows in ``key`` order ("first n" made deterministic).
+def ordered_limit(df: DataFrame, n: int | None, key: str = "order_id") -> DataFrame:
+    """First ``n`` rows in ``key`` order ("first n" made deterministic); ``None`` means no limit.
 
-    ``None`` means no limit. The plain plan is ``TakeOrderedAndProject``:
-    each task keeps its local top ``n`` in a bounded heap and ONE task merges
-    partitions x n rows. When that product exceeds ``tree_merge_rows`` (and
-    ``n`` is within ``spark.sql.optimizer.windowGroupLimitThreshold``), a
-    middle level is added: input partitions are grouped ~sqrt(P) to a group,
-    each group keeps its top ``n`` (Spark limits every task to ``n`` rows
-    before that shuffle), and the final merge reads only groups x n rows.
+    One plan at every size: ``TakeOrderedAndProject``. Each task keeps its
+    local top ``n`` in a bounded heap and one task merges tasks x ``n`` rows,
+    so it is meant for the small ``n`` of a display or a sample.
     """
     if n is None:
         return df
     if n < 0:
         raise ValueError("row limit must be >= 0")
-    order = F.asc_nulls_last(key)
-    if n > 0:
-        group_limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-        parts = num_partitions(df) or 1
-        if parts * n > tree_merge_rows and n <= group_limit:
-            groups = max(2, math.isqrt(parts))
-            in_group = Window.partitionBy("_merge_group").orderBy(order)
-            df = (
-                df.withColumn("_merge_group", F.spark_partition_id() % groups)
-                .withColumn("_merge_rank", F.row_number().over(in_group))
-                .where(F.col("_merge_rank") <= n)
-                .drop("_merge_group", "_merge_rank")
-            )
-    return df.orderBy(order).limit(n)
+    return df.orderBy(F.asc_nulls_last(key)).limit(n)

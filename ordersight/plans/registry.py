@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordersight.functions.money import price_components
-from ordersight.functions.partitioning import spread
+from ordersight.functions.text import single_line
 from ordersight.operators import charts, reports
 from ordersight.operators.filters import (
     OrderFilter,
@@ -27,12 +27,11 @@ from ordersight.operators.filters import (
     in_predicate,
 )
 from ordersight.operators.histogram import amount_histogram
-from ordersight.operators.ordering import ordered_limit
 from ordersight.operators.tables import default_columns, first_rows, project_columns, table_view
-from ordersight.schema import ORDERS_SCHEMA
+from ordersight.schema import COLUMN_NAMES, MONEY_COLUMNS, ORDERS_SCHEMA
 from ordersight.session import scratch_path
 from ordersight.sinks.files import append_orders, read_csv, write_csv, write_sample
-from ordersight.sources.parquet import file_inventory, file_summary, read_many, read_orders
+from ordersight.sources.parquet import file_inventory, file_summary, folder_rows, read_many, read_orders
 from ordersight.sources.star import line_order_id, orders_from_star, read_table
 from ordersight.sources.synth import synthesize
 
@@ -49,13 +48,11 @@ DEMO_FILTER = OrderFilter(
     payment_methods=PAYMENTS,
     amount_range=AMOUNT_RANGE,
 )
-# The reference dashboard's own defaults: 50,000 rows loaded, 1,000 shown.
-DASHBOARD_LOAD_CAP = 50_000
 DASHBOARD_ROW_LIMIT = 1_000
 SAMPLE_ROWS = 100
-LOAD_CAP = DASHBOARD_LOAD_CAP  # the reference dashboard's own load cap
 PROJECTION = ("order_id", "order_date", "product_category", "final_amount", "order_status")
 UNION_STATUS = "F"
+NAN_EVERY = 10
 APPEND_SPLIT_DATE = "1998-01-01"
 
 OrderQuery = Callable[[DataFrame], DataFrame]
@@ -83,8 +80,6 @@ ORDER_QUERIES: dict[str, OrderQuery] = {
     "top_states_orders": charts.top_states_orders,
     "top_states_revenue": charts.top_states_revenue,
     # scans, projections, limits
-    "scan_orders": lambda df: df,
-    "load_cap": lambda df: ordered_limit(df, LOAD_CAP),
     "first_rows": lambda df: first_rows(df, SAMPLE_ROWS),
     "project_columns": lambda df: project_columns(df, PROJECTION),
     # filters and pickers
@@ -99,23 +94,44 @@ ORDER_QUERIES: dict[str, OrderQuery] = {
     "filter_limit": lambda df: apply_filter(
         df, OrderFilter(**{**DEMO_FILTER.__dict__, "row_limit": DASHBOARD_ROW_LIMIT})
     ),
-    "table_view": lambda df: table_view(apply_filter(df, DEMO_FILTER), n=DASHBOARD_ROW_LIMIT),
+    "table_view": lambda df: table_view(apply_filter(df, DEMO_FILTER)),
+    "single_line_address": lambda df: df.select(
+        "order_id", single_line(F.concat_ws("\n", "shipping_address", "shipping_city", "shipping_state")).alias("address")
+    ),
     # dashboard compositions
     "dashboard_kpis": lambda df: charts.kpis(apply_filter(df, DEMO_FILTER)),
     "dashboard_category": lambda df: charts.category_revenue_chart(apply_filter(df, DEMO_FILTER)),
-    "dashboard_capped": lambda df: charts.kpis(
-        apply_filter(
-            ordered_limit(df, DASHBOARD_LOAD_CAP),
-            OrderFilter(**{**DEMO_FILTER.__dict__, "row_limit": DASHBOARD_ROW_LIMIT}),
-        )
-    ),
 }
 
+# The column that turns NULL on every n-th store, in the NULL-bearing variant of the orders.
+NULL_EVERY = {
+    "order_status": 11,
+    "payment_method": 13,
+    "final_amount": 7,
+    "order_date": 17,
+    "order_id": 19,
+    "product_category": 23,
+    "shipping_state": 29,
+    "customer_id": 31,
+}
+
+
+def with_nulls(df: DataFrame) -> DataFrame:
+    """The orders with NULLs in every column that reports group by, count or sum."""
+    return df.withColumns({c: F.when(F.col("store_id") % n != 0, F.col(c)) for c, n in NULL_EVERY.items()})
+
+
+NULL_QUERIES = (
+    "orders_by_status", "category_revenue", "monthly_trend", "payment_distribution", "top_states",
+    "kpis", "status_share", "payment_counts", "category_revenue_chart", "daily_trend",
+    "top_states_orders", "amount_histogram", "filter_options", "filter_bounds", "filter_all",
+)
+ORDER_QUERIES |= {f"nulls_{name}": lambda df, fn=ORDER_QUERIES[name]: fn(with_nulls(df)) for name in NULL_QUERIES}
+
 
 def _price_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # small single-file inputs: co-partition both sides (no-op at scale)
-    li = spread(read_table(spark, sf_dir, "lineitem"), "l_partkey")
-    part = spread(read_table(spark, sf_dir, "part"), "p_partkey")
+    li = read_table(spark, sf_dir, "lineitem")
+    part = read_table(spark, sf_dir, "part")
     joined = li.join(part, li.l_partkey == part.p_partkey)
     quantity = F.col("l_quantity").cast("bigint")
     amounts = price_components(quantity, F.col("p_retailprice"), F.col("l_discount"), "0.08")
@@ -148,8 +164,19 @@ def _export_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_orders(spark, path)
 
 
+# Names that a CSV writer can lose, by store_id modulo their number + 1.
+CSV_NAMES = ("  lead", "trail  ", "", None, 'say "hi", ok', "line\nbreak")
+
+
+def _csv_name() -> Column:
+    out = F.col("customer_name")
+    for i, name in enumerate(CSV_NAMES):
+        out = F.when(F.col("store_id") % (len(CSV_NAMES) + 1) == i, F.lit(name)).otherwise(out)
+    return out
+
+
 def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = orders_from_star(spark, sf_dir)
+    wide = orders_from_star(spark, sf_dir).withColumn("customer_name", _csv_name())
     cols = default_columns(wide)
     path = write_csv(apply_filter(wide, DEMO_FILTER), scratch_path(spark, "csv"), cols)
     schema = ORDERS_SCHEMA.__class__([ORDERS_SCHEMA[c] for c in cols])
@@ -165,9 +192,23 @@ def _append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_orders(spark, path)
 
 
-def _written_orders(spark: SparkSession, sf_dir: str) -> str:
+def _scan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as foreign files hold them (money as double with NaN, int quantity), read and conformed."""
+    wide, path = orders_from_star(spark, sf_dir), scratch_path(spark, "foreign")
+    nan = F.when(F.col("store_id") % NAN_EVERY == 0, F.lit(float("nan")))
+    raw = {c: F.col(c).cast("double") for c in MONEY_COLUMNS} | {"quantity": F.col("quantity").cast("int")}
+    raw["tax_amount"] = F.coalesce(nan, raw["tax_amount"])
+    foreign = wide.withColumns(raw).select(*COLUMN_NAMES)
+    older = F.col("order_date") < F.lit(APPEND_SPLIT_DATE).cast("date")
+    append_orders(foreign.where(older), path)
+    append_orders(foreign.where(~older | F.col("order_date").isNull()), path)
+    spark.range(1).select(F.lit("not parquet").alias("value")).write.mode("append").text(path)
+    return read_orders(spark, path)
+
+
+def _written_by_status(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "inventory")
-    orders_from_star(spark, sf_dir).write.parquet(path)
+    orders_from_star(spark, sf_dir).select("order_id", "order_status").write.partitionBy("order_status").parquet(path)
     return path
 
 
@@ -193,6 +234,7 @@ TABLE_QUERIES: dict[str, TableQuery] = {
     "export_sample": _export_sample,
     "export_csv": _export_csv,
     "append_batches": _append_batches,
-    "file_inventory": lambda spark, sf: file_inventory(spark, _written_orders(spark, sf)).drop("file_path"),
-    "file_summary": lambda spark, sf: file_summary(spark, _written_orders(spark, sf)),
+    "scan_orders": _scan_orders,
+    "file_inventory": lambda spark, sf: folder_rows(file_inventory(spark, _written_by_status(spark, sf)), "order_status"),
+    "file_summary": lambda spark, sf: folder_rows(file_summary(spark, _written_by_status(spark, sf)), "order_status"),
 }

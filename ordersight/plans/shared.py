@@ -44,3 +44,8 @@ def grain(agg: DataFrame, grains: Sequence[str], name: str) -> DataFrame:
     gid = grain_id(list(grains).index(name), len(grains))
     others = [g for g in grains if g != name]
     return agg.where(F.col("_gid") == gid).drop("_gid", *others)
+
+
+def total_row(agg: DataFrame, grains: Sequence[str]) -> DataFrame:
+    """The row over everything of ``grouped_once(include_total=True)``, without keys."""
+    return agg.where(F.col("_gid") == (1 << len(grains)) - 1).drop("_gid", *grains)

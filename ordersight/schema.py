@@ -59,7 +59,7 @@ class SchemaMismatch(ValueError):
     """Raised when a source lacks required order columns."""
 
 
-def _conform_column(name: str, source: T.DataType, target: T.DataType) -> Column:
+def _conform_column(name: str, source: T.DataType, target: T.DataType, on_bad: str) -> Column:
     col = F.col(name)
     if source == target:
         return col
@@ -68,18 +68,25 @@ def _conform_column(name: str, source: T.DataType, target: T.DataType) -> Column
         col = F.when(F.isnan(col), F.lit(None)).otherwise(col)
     if isinstance(target, T.DateType) and isinstance(source, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(col)
-    return col.try_cast(target)
+    fitted = col.try_cast(target)
+    if on_bad == "null":
+        return fitted
+    message = F.concat(F.lit(f"orders column {name}: value does not fit {target.simpleString()}: "), col.cast("string"))
+    return F.when(col.isNotNull() & fitted.isNull(), F.raise_error(message).cast(target)).otherwise(fitted)
 
 
-def conform(df: DataFrame, *, strict: bool = True, keep_extra: bool = False) -> DataFrame:
+def conform(df: DataFrame, *, strict: bool = True, on_bad: str = "fail") -> DataFrame:
     """Cast a scanned orders frame to ``ORDERS_SCHEMA``.
 
-    Casting is explicit and per column (``try_cast``: a bad value becomes NULL
-    instead of failing the task). Columns missing from the source raise
+    Casting is explicit and per column. A value that does not fit its type
+    fails the query; with ``on_bad="null"`` it becomes NULL instead, and
+    ``unfit_counts`` tells how many do so. Columns missing from the source raise
     ``SchemaMismatch`` when ``strict``; otherwise they are added as typed NULLs.
     Columns already of the declared type are passed through untouched, so
     parquet filter pushdown keeps working on them.
     """
+    if on_bad not in ("fail", "null"):
+        raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
     present_types = {f.name: f.dataType for f in df.schema.fields}
     missing = [n for n in COLUMN_NAMES if n not in present_types]
     if missing and strict:
@@ -87,14 +94,25 @@ def conform(df: DataFrame, *, strict: bool = True, keep_extra: bool = False) ->
     cols = []
     for name, target, _ in ORDER_COLUMNS:
         if name in present_types:
-            cols.append(_conform_column(name, present_types[name], target).alias(name))
+            cols.append(_conform_column(name, present_types[name], target, on_bad).alias(name))
         else:
             cols.append(F.lit(None).cast(target).alias(name))
-    if keep_extra:
-        cols += [F.col(n) for n in df.columns if n not in COLUMN_NAMES]
     return df.select(*cols)
 
 
+def unfit_counts(df: DataFrame) -> DataFrame:
+    """One row: per order column of ``df`` how many values ``conform(on_bad="null")`` would turn into NULL."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+
+    def lost(name: str, target: T.DataType) -> Column:
+        source = F.col(name)
+        if isinstance(types[name], (T.FloatType, T.DoubleType)):
+            source = F.when(~F.isnan(source), source)
+        return F.count_if(source.isNotNull() & _conform_column(name, types[name], target, "null").isNull())
+
+    return df.agg(*[lost(n, t).alias(n) for n, t, _ in ORDER_COLUMNS if n in types])
+
+
 def present(df: DataFrame) -> DataFrame:
     """Render a result for exchange: decimals as double, dates as ISO text.
 

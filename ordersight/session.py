@@ -24,9 +24,6 @@ def build_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         # Stages whose generated method is too big for the JIT fall back to
         # per-operator code instead of running interpreted (wide projections
@@ -41,16 +38,23 @@ def build_session(
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """``spark.checkpoint.dir`` is unset on a cluster."""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and is visible to every
-    executor. Only when it is unset (local tests) do we choose one ourselves.
+    executor; without it this raises ``NoSharedFolder``. A local session, where
+    driver and executors are one process, gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="ordersight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

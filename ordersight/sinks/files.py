@@ -7,13 +7,16 @@ import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordersight.operators.ordering import ordered_limit
 from ordersight.operators.tables import project_columns
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
+# Fixed format: NULL is an empty field, an empty string is "", blanks stay.
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_WRITE = {"nullValue": "", "emptyValue": '""'}
+# The reader gives unquoted empty fields this mark, which no text holds, and then NULL.
+CSV_READ = {"nullValue": "\x00NULL\x00", "emptyValue": "", "multiLine": "true"}
 
 
 def export_file_name(prefix: str = "filtered_orders_data", suffix: str = ".csv", now: _dt.datetime | None = None) -> str:
@@ -43,13 +46,13 @@ def write_csv(
     out = project_columns(df, columns) if columns is not None else df
     if single_file:
         out = out.coalesce(1)
-    out.write.mode(mode).options(**CSV_OPTIONS).csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS, **CSV_WRITE).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read back a CSV written by ``write_csv`` with a declared schema."""
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", "true").schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS, **CSV_READ).schema(schema).csv(path)
 
 
 def append_orders(df: DataFrame, path: str) -> str:
@@ -58,35 +61,11 @@ def append_orders(df: DataFrame, path: str) -> str:
     return path
 
 
-def rows_per_file(target_bytes: int, bytes_per_row: float) -> int:
-    return max(1, int(target_bytes // max(bytes_per_row, 1.0)))
-
-
-def estimate_bytes_per_row(df: DataFrame, scratch: str, sample_rows: int = 100_000) -> float:
-    """Compressed parquet bytes per row, from a pilot write of a sample.
-
-    Only two numbers (bytes, rows) come back to the driver.
-    """
-    df.limit(sample_rows).write.mode("overwrite").parquet(scratch)
-    spark = df.sparkSession
-    size = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(scratch).agg(
-        F.sum("length").alias("b")
-    ).first()["b"] or 0
-    rows = spark.read.parquet(scratch).count()
-    return size / rows if rows else 0.0
-
-
-def write_target_size(df: DataFrame, path: str, target_file_bytes: int, scratch: str) -> str:
-    """Write parquet files of about ``target_file_bytes`` each.
-
-    Each task cuts its output into files of ``maxRecordsPerFile`` rows, sized
-    from a pilot write; no repartitioning, so no shuffle.
-    """
-    per_row = estimate_bytes_per_row(df, scratch)
-    writer = df.write.mode("overwrite")
-    if per_row > 0:
-        writer = writer.option("maxRecordsPerFile", rows_per_file(target_file_bytes, per_row))
-    writer.parquet(path)
+def write_rows_per_file(df: DataFrame, path: str, rows: int) -> str:
+    """Write files of at most ``rows`` rows each; every task cuts its own output, so nothing is shuffled."""
+    if rows < 1:
+        raise ValueError("rows per file must be >= 1")
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
     return path
 
 

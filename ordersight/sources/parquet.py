@@ -9,10 +9,10 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.schema import conform
+from ordersight.schema import SchemaMismatch, conform
 
 
 class SourceNotFound(FileNotFoundError):
@@ -22,13 +22,22 @@ class SourceNotFound(FileNotFoundError):
 _MISSING_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
+PARQUET_GLOB = "*.parquet"
+
+
+def _is_missing(exc: AnalysisException) -> bool:
+    condition = exc.getCondition() or ""
+    return any(c in condition or c in str(exc) for c in _MISSING_CONDITIONS)
+
+
 def _scan(spark: SparkSession, paths: list[str], merge_schema: bool) -> DataFrame:
+    """The parquet files of ``paths``; other files beside them are not looked at."""
     try:
-        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+        reader = spark.read.option("mergeSchema", str(merge_schema).lower()).option("pathGlobFilter", PARQUET_GLOB)
+        return reader.parquet(*paths)
     except AnalysisException as exc:
-        condition = exc.getCondition() or ""
-        if any(c in condition or c in str(exc) for c in _MISSING_CONDITIONS):
-            raise SourceNotFound(f"no parquet data at {paths}: {condition}") from exc
+        if _is_missing(exc):
+            raise SourceNotFound(f"no parquet data at {paths}: {exc.getCondition()}") from exc
         raise
 
 
@@ -68,8 +77,8 @@ def read_many(
     """UNION ALL of every existing source folder, duplicates kept.
 
     Missing folders are skipped; if none exists, ``SourceNotFound``. Schemas
-    must agree column for column (``unionByName`` without missing columns
-    raises otherwise), like a strict table concatenation.
+    must agree in column names and types, or ``SchemaMismatch`` is raised, like
+    a strict table concatenation; ``read_orders(on_drift="widen")`` reconciles.
     """
     frames = []
     for p in paths:
@@ -79,19 +88,24 @@ def read_many(
             continue
     if not frames:
         raise SourceNotFound(f"none of {list(paths)} holds parquet data")
+    kinds = [sorted((f.name, f.dataType.simpleString()) for f in frame.schema.fields) for frame in frames]
+    if any(k != kinds[0] for k in kinds):
+        raise SchemaMismatch(f"folders differ in schema: {[sorted(set(k) ^ set(kinds[0])) for k in kinds[1:]]}")
     df = reduce(lambda a, b: a.unionByName(b), frames)
     return conform(df) if conform_schema else df
 
 
 def first_available(spark: SparkSession, paths: list[str] | tuple[str, ...]) -> tuple[bool, str | None, int]:
-    """(True, path, number of files) for the first path with parquet data."""
+    """(True, path, number of files) for the first path with parquet data; only counts reach the driver."""
     for p in paths:
         try:
-            files = _scan(spark, [p], False).inputFiles()
-        except SourceNotFound:
+            files = file_listing(spark, p).count()
+        except AnalysisException as exc:
+            if not _is_missing(exc):
+                raise
             continue
         if files:
-            return True, p, len(files)
+            return True, p, files
     return False, None, 0
 
 
@@ -99,84 +113,62 @@ def file_listing(spark: SparkSession, path: str) -> DataFrame:
     """Parquet files under ``path`` with their byte sizes; contents are not read."""
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
+        .option("pathGlobFilter", PARQUET_GLOB)
         .load(path)
         .select(F.col("path").alias("file_path"), F.col("length").alias("size_bytes"))
     )
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """One row per parquet file: name, bytes, MB (2 dp) and row count.
+    """One row per parquet file that holds rows: name, path, bytes, MB (2 dp) and row count.
 
-    Sizes come from a listing scan; row counts from a scan that selects no
-    data columns (parquet answers from footers). Both are distributed.
+    One scan without data columns (parquet answers from footers), grouped by
+    the file's own metadata; paths are as Spark writes them, URL-encoded.
     """
-    counts = (
-        _scan(spark, [path], False)
-        .select(F.col("_metadata.file_path").alias("file_path"))
-        .groupBy("file_path")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+    meta = _scan(spark, [path], False).select(
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_size").alias("size_bytes"),
     )
-    listing = file_listing(spark, path)
     return (
-        listing.join(counts, "file_path", "left")
+        meta.groupBy("file_name", "file_path", "size_bytes")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
         .select(
-            F.regexp_extract("file_path", r"([^/]+)$", 1).alias("file_name"),
+            "file_name",
             "file_path",
             "size_bytes",
             F.round(F.col("size_bytes") / F.lit(1024 * 1024), 2).alias("size_mb"),
-            F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+            "n_rows",
         )
-        .orderBy("file_name", "file_path")
+        .orderBy("file_path")
     )
 
 
 def file_summary(spark: SparkSession, path: str) -> DataFrame:
-    """Per-file rows and sizes plus a TOTAL line (``rollup``)."""
+    """Per-file rows and sizes plus a TOTAL line; files of equal name in different folders stay apart."""
     inv = file_inventory(spark, path)
     return (
-        inv.rollup("file_name")
+        inv.groupingSets([["file_path", "file_name"], []], "file_path", "file_name")
         .agg(
             F.sum("n_rows").cast("bigint").alias("n_rows"),
             F.sum("size_bytes").cast("bigint").alias("size_bytes"),
             F.grouping_id().alias("_g"),
         )
         .select(
-            F.when(F.col("_g") == 1, F.lit("TOTAL")).otherwise(F.col("file_name")).alias("file_name"),
+            F.when(F.col("_g") > 0, F.lit("TOTAL")).otherwise(F.col("file_name")).alias("file_name"),
+            "file_path",
             "n_rows",
             "size_bytes",
             F.round(F.col("size_bytes") / F.lit(1024**3), 2).alias("size_gb"),
-            (F.col("_g") == 1).alias("is_total"),
+            (F.col("_g") > 0).alias("is_total"),
         )
-        .orderBy("is_total", "file_name")
+        .orderBy("is_total", "file_path")
     )
 
 
-def read_first_rows(spark: SparkSession, path: str, n: int, *, conform_schema: bool = True) -> DataFrame:
-    """The first ``n`` rows of a parquet folder in file order (files sorted
-    by path, rows in stored order) -- "head of the concatenated files".
-
-    No sort of the data: per-file row counts (answered from footers) give
-    each file's starting offset; only files starting before ``n`` are kept
-    (at most ``n`` of them, so that small table is broadcast with a proven
-    bound) and rows are cut by their stored position.
-    """
-    if n < 0:
-        raise ValueError("n must be >= 0")
-    scan = _scan(spark, [path], False)
-    data_cols = scan.columns
-    with_pos = scan.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    counts = with_pos.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    needed = starts.where(F.col("_start") < n)
-    out = (
-        with_pos.join(F.broadcast(needed), "_file")
-        .where(F.col("_start") + F.col("_row") < n)
-        .select(*data_cols)
-    )
-    return conform(out) if conform_schema else out
+def folder_rows(inventory: DataFrame, key: str) -> DataFrame:
+    """Rows per ``key=value`` folder of a partitioned write, from ``file_inventory`` or ``file_summary`` (whose total stays)."""
+    folder = F.regexp_extract("file_path", f"/{key}=([^/]+)/", 1)
+    if "is_total" in inventory.columns:
+        folder = F.when(F.col("is_total"), F.col("file_name")).otherwise(folder)
+    return inventory.groupBy(folder.alias("folder")).agg(F.sum("n_rows").cast("bigint").alias("n_rows"))

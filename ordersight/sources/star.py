@@ -1,18 +1,11 @@
 """Wide orders view over the TPC-H-like star schema in ``/root/testdata``.
 
 One row per line item: lineitem, orders, customer, nation, region and part.
-Only ``nation`` (25 rows) and ``region`` (5 rows) are broadcast explicitly:
-their size is fixed by the schema, not by the scale factor. Every other join
-is left to the planner, whose broadcast threshold is the size check (AQE
-re-checks it with runtime sizes); beyond it the joins shuffle on their keys.
-Column pruning flows through the joins, so a report that needs three
-columns reads only the source columns behind them. When the inputs
-have fewer splits than the cluster's parallelism (single small files), both
-sides of the order join are spread on the order key, so that join runs
-co-partitioned in parallel whichever side the planner builds (otherwise a
-one-partition side can end up streamed and the whole fixture runs as one
-task). On large inputs this is a no-op, so there the joins' own shuffles
-apply and stay eligible for AQE's skew-join splitting of a hot key.
+Every join is left to the planner, whose broadcast threshold is the size
+check (AQE re-checks it with runtime sizes); beyond it the joins shuffle on
+their keys and stay eligible for AQE's skew-join splitting of a hot key.
+Column pruning flows through the joins, so a report that needs three columns
+reads only the source columns behind them.
 """
 
 from __future__ import annotations
@@ -21,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordersight.functions.money import money, rate, round_money
-from ordersight.functions.partitioning import spread
 
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -48,7 +40,7 @@ def line_order_id() -> Column:
 
 def orders_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 25-column orders table, already in ``ORDERS_SCHEMA`` types."""
-    li = spread(read_table(spark, sf_dir, "lineitem"), "l_orderkey")
+    li = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
@@ -58,9 +50,9 @@ def orders_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Join order is deliberate (no cost-based reordering by default): orders
     # meet customers first, so line-item-level rows shuffle only twice at
     # scale (on the order key, then the part key), never on the customer key.
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    cust = customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey)
-    order_cust = spread(orders.join(cust, orders.o_custkey == cust.c_custkey), "o_orderkey")
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
+    order_cust = orders.join(cust, orders.o_custkey == cust.c_custkey)
     wide = li.join(order_cust, li.l_orderkey == order_cust.o_orderkey).join(part, li.l_partkey == part.p_partkey)
 
     total = money(F.col("l_extendedprice"))

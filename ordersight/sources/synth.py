@@ -14,9 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.functions.hashing import digest, half, pick, split_word, uuid_text, word
+from ordersight.functions.hashing import digest, half, pick, split_word, uuid_text
 from ordersight.functions.money import from_cents
-from ordersight.functions.partitioning import spread
 
 # ---------------------------------------------------------------------------
 # Domains that must equal the reference generator's.
@@ -142,7 +141,6 @@ def synthesize(
     end_date: _dt.date = DEFAULT_END_DATE,
     n_customers: int | None = None,
     n_products: int | None = None,
-    spread_keys: bool = True,
 ) -> DataFrame:
     """One synthetic order per row of ``keys`` (keys must be unique).
 
@@ -159,13 +157,11 @@ def synthesize(
     key = F.col(key_col).cast("string")
     streams = ("id", "a", "b", "c", "d", "e")
 
-    # 1. digests: one md5 per stream, plus customer and product identities.
-    # Generation is CPU-bound, so a key source with too few splits is spread.
+    # 1. digests: one md5 per stream, plus customer and product identities
+    # (drawn from 52 bits, so every id of a pool of billions is reached).
     with_key = keys.select(key.alias("_k"))
-    if spread_keys:
-        with_key = spread(with_key, "_k")
-    cust_key = (word(digest(seed, "d", F.col("_k")), 0) % n_customers).cast("string") if n_customers else F.col("_k")
-    prod_key = (word(digest(seed, "a", F.col("_k")), 0) % n_products).cast("string") if n_products else F.col("_k")
+    cust_key = (half(digest(seed, "d", F.col("_k")), 0) % n_customers).cast("string") if n_customers else F.col("_k")
+    prod_key = (half(digest(seed, "a", F.col("_k")), 0) % n_products).cast("string") if n_products else F.col("_k")
     hashed = with_key.select(
         *[digest(seed, s, F.col("_k")).alias(f"_h_{s}") for s in streams],
         digest(seed, "customer", cust_key).alias("_h_cust"),
@@ -290,5 +286,5 @@ def generate_orders(
     keys = spark.range(0, n, numPartitions=partitions).select(F.col("id").cast("string").alias("key"))
     return synthesize(
         keys, seed=seed, profile=profile, end_date=end_date,
-        n_customers=n_customers, n_products=n_products, spread_keys=False,
+        n_customers=n_customers, n_products=n_products,
     )

@@ -5,7 +5,8 @@ them one by one) and re-reads everything for each report. Here a file-source
 stream reads each new file once; Spark's stateful aggregation keeps one row
 per report key in the state store, checkpointed under the shared checkpoint
 folder, so a restarted or retried query resumes exactly where it stopped.
-Each micro-batch overwrites a small snapshot table with the current totals.
+Each micro-batch writes the current totals to a snapshot folder of its own and
+then records it as complete; readers take the newest complete one.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def start_snapshot(
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Write the complete current result to ``snapshot_path`` every batch.
+    """Write the complete current result under ``snapshot_path`` every batch, one folder per epoch.
 
     ``available_now`` processes every file present at start, then stops
     (an incremental batch job); otherwise it runs on ``processing_time``.
@@ -88,7 +89,9 @@ def start_snapshot(
     checkpoint_location = checkpoint_location or scratch_path(spark, "stream-ckpt")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(snapshot_path)
+        batch.write.mode("overwrite").parquet(f"{snapshot_path}/epoch-{epoch_id}")
+        done = spark.range(1).select(F.lit(epoch_id).cast("bigint").alias("epoch"))
+        done.write.mode("append").parquet(_complete(snapshot_path))
 
     writer = (
         running.writeStream.outputMode("complete")
@@ -99,6 +102,16 @@ def start_snapshot(
     return writer.start()
 
 
+def _complete(snapshot_path: str) -> str:
+    return f"{snapshot_path}/complete"
+
+
+def read_snapshot(spark: SparkSession, snapshot_path: str) -> DataFrame:
+    """The newest snapshot that was written whole."""
+    epoch = spark.read.parquet(_complete(snapshot_path)).agg(F.max("epoch")).first()[0]
+    return spark.read.parquet(f"{snapshot_path}/epoch-{epoch}")
+
+
 def refresh(
     spark: SparkSession,
     source_dir: str,
@@ -109,4 +122,4 @@ def refresh(
     """Fold any new files into the running report and return the snapshot."""
     query = start_snapshot(RUNNING_REPORTS[report](stream_orders(spark, source_dir)), snapshot_path, checkpoint_location)
     query.awaitTermination()
-    return spark.read.parquet(snapshot_path)
+    return read_snapshot(spark, snapshot_path)

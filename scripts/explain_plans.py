@@ -48,7 +48,7 @@ def main() -> None:
     items = [(n, R.ORDER_QUERIES[n](orders)) for n in NAMES]
     items.append(("report_pack[orders_by_status] (reads the checkpointed GROUPING SETS aggregate)",
                   report_pack(orders)["orders_by_status"]))
-    items.append(("ordered_limit tree merge (forced, n=100)", ordered_limit(orders, 100, tree_merge_rows=0)))
+    items.append(("ordered_limit (n=100)", ordered_limit(orders, 100)))
     star = orders_from_star(spark, sf_dir).select("order_id", "final_amount")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     items.append(("star fixture joins with broadcasts disabled (the 100 TB shape)", star))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from ordersight.operators.filters import (
     OrderFilter,
     apply_filter,
@@ -55,6 +57,24 @@ def test_amount_range_inclusive(orders):
     assert apply_filter(df, OrderFilter(amount_range=(10.0, 20.0))).count() == 2
 
 
+def test_amount_edges_are_exact_decimals(orders):
+    df = orders([{"final_amount": a} for a in ("10.00", "10.01", "19.99", "20.00", "20.01", "-5.00")])
+    keep = lambda lo, hi: apply_filter(df, OrderFilter(amount_range=(lo, hi))).count()
+    assert keep(10.005, 19.999) == 2
+    assert keep(0.1 + 0.2, 20.0) == 4
+    assert keep(float("-inf"), float("inf")) == 6
+    assert keep(-1e30, 1e30) == 6
+    with pytest.raises(ValueError):
+        filter_predicate(OrderFilter(amount_range=(float("nan"), 1.0)), df.columns)
+
+
+def test_bounds_of_absent_columns_are_absent(orders):
+    df = orders([{}, {}])
+    assert filter_bounds(df.drop("final_amount")).columns == ["min_date", "max_date", "n_dates"]
+    assert filter_bounds(df.drop("order_date")).columns == ["min_amount", "max_amount"]
+    assert filter_bounds(df.drop("order_date", "final_amount")).first()["n_rows"] == 2
+
+
 def test_missing_column_skips_predicate(orders):
     df = orders([{"payment_method": "Cash"}, {"payment_method": "PayPal"}]).drop("payment_method")
     assert filter_predicate(OrderFilter(payment_methods=("Cash",)), df.columns) is None
@@ -92,18 +112,6 @@ def test_bounds_and_options(orders):
     assert all(v is not None for _, v in opts)
 
 
-def test_tree_merged_limit_equals_plain(spark):
-    from ordersight.operators.ordering import ordered_limit
-    from ordersight.sources.synth import generate_orders
-
-    df = generate_orders(spark, 5000, partitions=16).select("order_id", "final_amount")
-    plain = ordered_limit(df, 300).collect()
-    tree = ordered_limit(df, 300, tree_merge_rows=0)
-    plan = tree._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "TakeOrderedAndProject" in plan
-    assert tree.collect() == plain
-
-
 def test_default_filter_is_identity_on_null_free_data(orders):
     df = orders([{"order_status": s, "payment_method": p, "product_category": c}
                  for s in ("A", "B") for p in ("X", "Y") for c in ("K", "L")])

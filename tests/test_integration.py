@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ordersight.operators import reports
@@ -30,8 +31,10 @@ def test_smoke_pipeline(spark, tmp_dir):
     assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) == 1
 
 
-def test_bad_values_become_null_at_ingest(spark):
+def test_bad_values_become_null_only_on_request(spark):
     raw = generate_orders(spark, 5).withColumn("quantity", F.lit("abc")).withColumn("order_date", F.lit("not a date"))
-    df = conform(raw)
+    with pytest.raises(Exception, match="does not fit"):
+        conform(raw).collect()
+    df = conform(raw, on_bad="null")
     row = df.agg(F.count("quantity").alias("q"), F.count("order_date").alias("d"), F.count(F.lit(1)).alias("n")).first()
     assert (row["q"], row["d"], row["n"]) == (0, 0, 5)

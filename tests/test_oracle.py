@@ -47,7 +47,7 @@ def _library(names) -> set[str]:
 
 def test_every_oracle_key_is_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert _library(E.queries()) - set(E.oracle_sql()) == {"file_inventory", "file_summary"}
+    assert _library(E.queries()) == _library(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(_library(E.oracle_sql())))
@@ -62,17 +62,6 @@ def test_matches_oracle(spark, duck, name):
     assert _rows(df.columns, got) == _rows(names, want)
 
 
-@pytest.mark.parametrize("name", ["file_inventory", "file_summary"])
-def test_rows_only_queries_run(spark, name):
-    rows = E.queries()[name](spark, SF_SMALL).collect()
-    assert rows
-    if name == "file_inventory":
-        assert sum(r["n_rows"] for r in rows) == 6000
-    else:
-        total = [r for r in rows if r["is_total"]]
-        assert len(total) == 1 and total[0]["n_rows"] == 6000
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     rows = df.collect()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 import pytest
 
 from ordersight.operators import charts, reports
-from ordersight.operators.filters import OrderFilter, apply_filter
+from ordersight.operators.filters import OrderFilter, apply_filter, filter_bounds, filter_options
+from ordersight.operators.histogram import amount_histogram
 from ordersight.plans.batch import report_pack, run_batch
 from ordersight.plans.dashboard import chart_pack, dashboard
 from ordersight.plans.registry import DEMO_FILTER
@@ -43,19 +46,44 @@ def test_chart_pack_equals_single_charts(spark, orders, wide_path):
         _same(pack[name], getattr(charts, name)(df))
 
 
-def test_dashboard_caps_follow_reference_order(spark, wide_path):
+def test_dashboard_equals_single_operators(spark, wide_path):
     df = read_orders(spark, wide_path)
-    capped = dashboard(df, OrderFilter(**{**DEMO_FILTER.__dict__, "row_limit": 50}), load_cap=3000)
-    assert capped["kpis"].first()["total_orders"] <= 50
-    assert capped["table"].count() <= 50
+    limited = dashboard(df, OrderFilter(**{**DEMO_FILTER.__dict__, "row_limit": 50}))
+    assert limited["kpis"].first()["total_orders"] <= 50
+    assert limited["table"].count() <= 50
     full = dashboard(df, DEMO_FILTER)
+    filtered = apply_filter(df, DEMO_FILTER)
+    _same(full["kpis"], charts.kpis(filtered))
+    _same(full["kpi_formatted"], charts.kpi_formatted(filtered))
+    _same(full["amount_histogram"], amount_histogram(filtered))
+    _same(full["bounds"], filter_bounds(df))
+    _same(full["options"], filter_options(df))
+    assert full["table"].count() == filtered.count()
     assert full["kpis"].first()["total_orders"] == apply_filter(df, DEMO_FILTER).count()
     assert set(full) >= {"bounds", "options", "kpis", "amount_histogram", "table", "daily_trend"}
 
 
+def test_dashboard_without_a_column_drops_only_its_outputs(spark, wide_path):
+    df = read_orders(spark, wide_path)
+    whole = set(dashboard(df, DEMO_FILTER))
+    gone = {
+        "payment_method": {"payment_counts"},
+        "order_date": {"daily_trend"},
+        "customer_id": {"kpis", "kpi_formatted"},
+        "final_amount": {"kpis", "kpi_formatted", "amount_histogram", "category_revenue_chart", "top_products", "daily_trend", "top_states_orders", "top_states_revenue"},
+    }
+    for column, lost in gone.items():
+        out = dashboard(df.drop(column), DEMO_FILTER)
+        assert whole - set(out) == lost, column
+        assert all(isinstance(v.collect(), list) for v in out.values())
+    assert "payment_counts" not in chart_pack(df.drop("payment_method"))
+
+
 def test_run_batch(spark, wide_path, tmp_dir):
     out = run_batch(spark, wide_path, tmp_dir + "/sample")
-    assert out["overview"].first()["total_rows"] == 6000
+    assert tuple(out["overview"].first()) == (6000, 25)
+    assert sum(r["n_rows"] for r in out["inventory"].collect()) == 6000
+    assert out["schema"].count() == 25 and out["first_rows"].count() == 100
     assert read_orders(spark, tmp_dir + "/sample").count() == 100
 
 
@@ -68,7 +96,10 @@ def test_filters_reach_the_parquet_scan(spark, wide_path):
     df = read_orders(spark, wide_path)
     plan = _plan(apply_filter(df, DEMO_FILTER).select("order_id"))
     assert "PushedFilters" in plan
-    for needle in ("GreaterThanOrEqual(order_date", "LessThanOrEqual(order_date", "In(order_status", "In(product_category"):
+    for needle in (
+        "GreaterThanOrEqual(order_date", "LessThanOrEqual(order_date", "In(order_status", "In(product_category",
+        "GreaterThanOrEqual(final_amount", "LessThanOrEqual(final_amount",
+    ):
         assert needle in plan, needle
 
 
@@ -121,13 +152,33 @@ def test_hot_key_results_are_whole(spark, orders):
     assert got["Hot"] == (300, 300.0) and sum(v[0] for v in got.values()) == 900
 
 
-def test_spread_is_a_no_op_on_already_parallel_inputs(spark):
-    from ordersight.functions.partitioning import spread
+def _jobs_of(spark, build) -> int:
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "build only")
+    try:
+        build()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return sum(
+        spark.sparkContext.statusTracker().getJobInfo(j) is not None
+        for j in spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    )
+
+
+def test_building_an_order_query_starts_no_job(spark):
+    """Only parquet footers are read (one small job per table)."""
+    from ordersight.plans import registry as R
+
+    tables = _jobs_of(spark, lambda: orders_from_star(spark, SF_SMALL))
+    assert tables <= 6
+    wide = orders_from_star(spark, SF_SMALL)
+    for name, fn in R.ORDER_QUERIES.items():
+        assert _jobs_of(spark, lambda fn=fn: fn(wide)) == 0, name
+
 
-    wide = spark.range(0, 1000, numPartitions=64)
-    assert spread(wide) is wide
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert "RoundRobinPartitioning" in _plan(spread(narrow, min_partitions=4))
+def test_fixture_is_never_repartitioned_by_hand(spark):
+    plan = _plan(orders_from_star(spark, SF_SMALL))
+    assert "REPARTITION" not in plan
 
 
 def test_fixture_shuffles_line_items_twice_without_broadcasts(spark):
@@ -146,11 +197,9 @@ def test_fixture_shuffles_line_items_twice_without_broadcasts(spark):
     assert "hashpartitioning(o_custkey" in plan  # orders, not line items, meet customers
 
 
-def test_dashboard_from_path_caps_in_file_order(spark, wide_path):
+def test_dashboard_from_path(spark, wide_path):
     from ordersight.plans.dashboard import dashboard_from_path
 
-    out = dashboard_from_path(spark, wide_path, OrderFilter(), load_cap=1234)
-    assert out["kpis"].first()["total_orders"] == 1234
     full = dashboard_from_path(spark, wide_path)
     assert full["kpis"].first()["total_orders"] == 6000
 

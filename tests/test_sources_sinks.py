@@ -7,16 +7,16 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ordersight.operators.tables import default_columns, project_columns, schema_frame, table_view
-from ordersight.schema import ORDERS_SCHEMA, SchemaMismatch, conform
+from ordersight.schema import ORDERS_SCHEMA, SchemaMismatch, conform, unfit_counts
 from ordersight.sinks.files import (
     append_orders,
     export_file_name,
     read_csv,
     write_csv,
+    write_rows_per_file,
     write_sample,
     write_sized,
 )
@@ -67,8 +67,11 @@ def test_drift_across_folders(spark, tmp_dir):
     base.withColumn("extra", F.lit(1)).write.parquet(tmp_dir + "/b")
     widened = read_orders(spark, tmp_dir + "/a", tmp_dir + "/b", on_drift="widen")
     assert widened.count() == 20 and dict(widened.dtypes)["quantity"] == "bigint"
-    with pytest.raises(AnalysisException):
-        read_many(spark, [tmp_dir + "/a", tmp_dir + "/b"], conform_schema=False).collect()
+    with pytest.raises(SchemaMismatch):
+        read_many(spark, [tmp_dir + "/a", tmp_dir + "/b"], conform_schema=False)
+    base.write.parquet(tmp_dir + "/c")
+    with pytest.raises(SchemaMismatch):
+        read_many(spark, [tmp_dir + "/a", tmp_dir + "/c"])
 
 
 def test_read_many_keeps_duplicates_and_skips_missing(spark, tmp_dir):
@@ -88,7 +91,7 @@ def test_first_available_and_inventory(spark, tmp_dir):
     assert found and path.endswith("inv") and n == 3
     inv = file_inventory(spark, tmp_dir + "/inv").collect()
     assert len(inv) == 3 and sum(r["n_rows"] for r in inv) == 1000
-    assert [r["file_name"] for r in inv] == sorted(r["file_name"] for r in inv)
+    assert [r["file_path"] for r in inv] == sorted(r["file_path"] for r in inv)
     summary = file_summary(spark, tmp_dir + "/inv").collect()
     assert summary[-1]["file_name"] == "TOTAL" and summary[-1]["n_rows"] == 1000
     assert summary[-1]["size_bytes"] == sum(r["size_bytes"] for r in inv)
@@ -145,26 +148,74 @@ def test_projection_and_schema_frame(spark, orders):
     assert len(sf) == 25 and sf[10]["data_type"] == "decimal(18,2)"
 
 
-def test_write_target_size(spark, tmp_dir):
-    from ordersight.sinks.files import estimate_bytes_per_row, write_target_size
+def test_rows_per_file(spark, tmp_dir):
+    write_rows_per_file(generate_orders(spark, 2000, partitions=2), tmp_dir + "/cut", 300)
+    inv = file_inventory(spark, tmp_dir + "/cut").collect()
+    assert sum(r["n_rows"] for r in inv) == 2000 and max(r["n_rows"] for r in inv) == 300 and len(inv) == 8
+    with pytest.raises(ValueError):
+        write_rows_per_file(generate_orders(spark, 1), tmp_dir + "/cut", 0)
+
+
+def test_csv_keeps_blanks_empty_strings_and_nulls(spark, orders, tmp_dir):
+    names = ["  lead", "trail  ", "", None, " ", 'say "hi", ok', "line\nbreak", "\ttab\t", '"', ","]
+    df = orders([{"customer_name": n, "final_amount": None if n is None else Decimal("1.50")} for n in names])
+    cols = ["order_id", "customer_name", "order_date", "final_amount"]
+    path = write_csv(df, tmp_dir + "/csv", cols)
+    schema = ORDERS_SCHEMA.__class__([ORDERS_SCHEMA[c] for c in cols])
+    assert sorted(read_csv(spark, path, schema).collect()) == sorted(df.select(*cols).collect())
+
+
+def test_other_files_beside_the_orders_are_ignored(spark, tmp_dir):
+    generate_orders(spark, 50, partitions=2).write.parquet(tmp_dir + "/d")
+    for name in ("notes.txt", "orders.csv", "broken.json"):
+        with open(f"{tmp_dir}/d/{name}", "w") as f:
+            f.write("not parquet")
+    assert read_orders(spark, tmp_dir + "/d").count() == 50
+    assert first_available(spark, [tmp_dir + "/d"])[2] == 2
+
+
+def test_inventory_of_odd_paths(spark, tmp_dir):
+    path = tmp_dir + "/with space & plus+"
+    generate_orders(spark, 100, partitions=2).write.parquet(path)
+    inv = file_inventory(spark, path).collect()
+    assert len(inv) == 2 and sum(r["n_rows"] for r in inv) == 100 and all(r["size_bytes"] > 0 for r in inv)
+    folder = tmp_dir + "/by"
+    generate_orders(spark, 300, partitions=1).select("order_id", "order_status").write.partitionBy("order_status").parquet(folder)
+    for sub in os.listdir(folder):
+        for name in os.listdir(f"{folder}/{sub}") if "=" in sub else ():
+            if name.endswith(".parquet"):
+                os.rename(f"{folder}/{sub}/{name}", f"{folder}/{sub}/same.parquet")
+    lines = file_summary(spark, folder).collect()
+    assert len(lines) == 6 and lines[-1]["is_total"] and lines[-1]["n_rows"] == 300
+    assert {r["file_name"] for r in lines[:-1]} == {"same.parquet"}
+
+
+def test_unfit_values_fail_unless_asked_for(spark, orders):
+    df = orders([{}, {}]).withColumn("final_amount", F.lit(1e20))
+    with pytest.raises(Exception, match="final_amount"):
+        conform(df).collect()
+    assert conform(df, on_bad="null").where(F.col("final_amount").isNull()).count() == 2
+    lost = unfit_counts(df.withColumn("quantity", F.lit("many"))).first()
+    assert lost["final_amount"] == 2 and lost["quantity"] == 2 and lost["order_date"] == 0
+    with pytest.raises(ValueError):
+        conform(df, on_bad="maybe")
+
 
-    df = generate_orders(spark, 20000, partitions=2)
-    per_row = estimate_bytes_per_row(df, tmp_dir + "/pilot", 5000)
-    assert 20 < per_row < 1000
-    write_target_size(df, tmp_dir + "/sized2", int(per_row * 4000), tmp_dir + "/pilot2")
-    inv = file_inventory(spark, tmp_dir + "/sized2").collect()
-    assert sum(r["n_rows"] for r in inv) == 20000 and len(inv) >= 5
-    assert max(r["n_rows"] for r in inv) <= 6000  # sized from its own 100k-row pilot
+def test_a_load_is_kept_until_unloaded(spark, tmp_dir):
+    from ordersight.schema import USED_COLUMNS
+    from ordersight.sources.cache import loaded, unload
 
+    generate_orders(spark, 100, partitions=2).write.parquet(tmp_dir + "/d")
+    df = loaded(spark, tmp_dir + "/d")
+    assert df is loaded(spark, tmp_dir + "/d") and df.columns == list(USED_COLUMNS)
+    assert df.count() == 100 and df.storageLevel.useMemory
+    assert "InMemoryTableScan" in df._jdf.queryExecution().executedPlan().toString()
+    assert unload(spark, tmp_dir + "/d") and not unload(spark, tmp_dir + "/d")
+    assert not df.storageLevel.useMemory
 
-def test_read_first_rows_in_file_order(spark, tmp_dir):
-    import pyarrow.parquet as pq
 
-    from ordersight.sources.parquet import read_first_rows
+def test_single_line(spark):
+    from ordersight.functions.text import single_line
 
-    generate_orders(spark, 3000, partitions=4).write.parquet(tmp_dir + "/ordered")
-    files = sorted(f for f in os.listdir(tmp_dir + "/ordered") if f.endswith(".parquet"))
-    ids = [i for f in files for i in pq.read_table(f"{tmp_dir}/ordered/{f}").column("order_id").to_pylist()]
-    for n in (0, 1, 749, 750, 751, 2000, 3000, 5000):
-        got = [r[0] for r in read_first_rows(spark, tmp_dir + "/ordered", n).select("order_id").collect()]
-        assert sorted(got) == sorted(ids[:n]), n
+    df = spark.createDataFrame([("a\nb\nc",), ("plain",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(single_line(F.col("t"))).collect()] == ["a, b, c", "plain", "", None]

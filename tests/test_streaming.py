@@ -44,7 +44,7 @@ def test_every_running_report_matches_batch(spark, tmp_dir):
 
 
 def test_continuous_snapshot_picks_up_new_files(spark, tmp_dir):
-    from ordersight.streaming.incremental import start_snapshot, stream_orders
+    from ordersight.streaming.incremental import read_snapshot, start_snapshot, stream_orders
 
     src, snap, ckpt = tmp_dir + "/src", tmp_dir + "/snap", tmp_dir + "/ckpt"
     append_orders(generate_orders(spark, 100, seed=5), src)
@@ -52,9 +52,19 @@ def test_continuous_snapshot_picks_up_new_files(spark, tmp_dir):
     query = start_snapshot(running, snap, ckpt, available_now=False, processing_time="1 second")
     try:
         query.processAllAvailable()
-        assert sum(r["order_count"] for r in spark.read.parquet(snap).collect()) == 100
+        assert sum(r["order_count"] for r in read_snapshot(spark, snap).collect()) == 100
         append_orders(generate_orders(spark, 50, seed=6), src)
         query.processAllAvailable()
-        assert sum(r["order_count"] for r in spark.read.parquet(snap).collect()) == 150
+        assert sum(r["order_count"] for r in read_snapshot(spark, snap).collect()) == 150
     finally:
         query.stop()
+
+
+def test_a_broken_snapshot_is_never_read(spark, tmp_dir):
+    from ordersight.streaming.incremental import read_snapshot
+
+    src, snap = tmp_dir + "/src", tmp_dir + "/snap"
+    append_orders(generate_orders(spark, 60, seed=9), src)
+    refresh(spark, src, snap, tmp_dir + "/ckpt")
+    spark.range(3).write.parquet(snap + "/epoch-99")  # written, but never recorded as complete
+    assert sum(r["order_count"] for r in read_snapshot(spark, snap).collect()) == 60

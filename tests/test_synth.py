@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ordersight.functions.hashing import digest, half
 from ordersight.schema import ORDERS_SCHEMA
 from ordersight.sources.synth import PROFILES, generate_orders
 
@@ -48,6 +49,15 @@ def test_partition_independent(spark):
     assert sorted(a) == sorted(b)
 
 
+def test_large_pools_are_reached(spark):
+    """Ids come from 52 bits, so a pool of 10^9 customers repeats hardly any of 20,000 draws."""
+    n = 20_000
+    df = generate_orders(spark, n, n_customers=10**9)
+    assert df.select("customer_id").distinct().count() > n - 20
+    pool = spark.range(0, n).select((half(digest(42, "d", F.col("id").cast("string")), 0) % 10**9).alias("c"))
+    assert pool.agg(F.max("c")).first()[0] > 9 * 10**8 > 2**26
+
+
 def test_seed_changes_output(spark):
     a = generate_orders(spark, 50, seed=1).select("order_id").collect()
     b = generate_orders(spark, 50, seed=2).select("order_id").collect()
