@@ -30,9 +30,11 @@ TIERS = (512, 1024, 2048, 4096)
 #: Tokens packed together, and tokens of one training step.
 BLOCK_TOKENS = 1_500_000
 STEP_TOKENS = 65_536
-#: White-space-free stretches a worker remembers, and the longest one worth it.
-MEMO = 250_000
+#: White-space-free stretches a worker remembers (in each of two generations), and the longest one worth it.
+MEMO = 400_000
 MEMO_CHARS = 48
+#: Characters whose ids are one token each, one of which can part words in a text.
+MARKS = "|~^{}\\<>_="
 
 # str.split() and the tokenizer agree on blanks, tabs and line ends; a text
 # with any other white space or separator goes through the tokenizer whole.
@@ -52,27 +54,45 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True
         self.end = np.array([end_id], "<u4").tobytes()
         self.memo: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.before: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each word, all tokenized as one text with a mark between them that no word contains."""
+        whole = "".join(words)
+        mark = next((m for m in MARKS if m not in whole), None)
+        if mark is None:
+            return {w: self._ids(w).tobytes() for w in words}
+        ids = self._ids(f" {mark} ".join(words))
+        ends = np.flatnonzero(ids == self._ids(mark)[0]).tolist()
+        data = ids.tobytes()
+        return {w: data[4 * a : 4 * b] for w, a, b in zip(words, [0, *(e + 1 for e in ends)], [*ends, len(ids)])}
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` and the end id, as little-endian unsigned 32-bit words."""
         if _ODD_SPACE.search(text):
-            return self._ids([text])[0] + self.end
+            return self._ids(text).tobytes() + self.end
         words = text.split()
-        new = [w for w in dict.fromkeys(words) if w not in self.memo]
+        memo, before = self.memo, self.before
+        new = []
+        for w in set(words).difference(memo):
+            if w in before:
+                memo[w] = before[w]
+            else:
+                new.append(w)
+        if new:
+            found = self._learn(new)
+            memo.update(found)
+        out = b"".join(map(memo.__getitem__, words)) + self.end
         if new:
-            if len(self.memo) + len(new) > MEMO:
-                self.memo = {}
-                new = list(dict.fromkeys(words))
-            found = dict(zip(new, self._ids(new)))
-            self.memo.update((w, x) for w, x in found.items() if len(w) <= MEMO_CHARS)
-            look = found.get
-            parts = [look(w) or self.memo.get(w, b"") for w in words]
-        else:
-            parts = map(self.memo.__getitem__, words)
-        return b"".join(parts) + self.end
+            for w in new:
+                if len(w) > MEMO_CHARS:
+                    del memo[w]
+            if len(memo) >= MEMO:
+                self.memo, self.before = {}, memo
+        return out
 
 
 def pack_block(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, list[Piece]]]:

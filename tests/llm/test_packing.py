@@ -73,3 +73,18 @@ def test_query_on_odd_rows(spark, tmp_path):
             at += r["length"]
         assert at == pieces[0]["window"] <= 4096
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text", open(PATH, "rb").read(), 2).count() == 0
+
+
+def test_words_are_parted_by_a_mark_none_contains():
+    words = ["a|b", "x~y", "^", "{}", "plain", "\\", "`", "é", "`", "̸<"]
+    for some in (words, words[:4], [*words, "<>_="]):
+        coder = packing.WordTokenizer(open(PATH, "rb").read(), 2)
+        assert np.frombuffer(coder.encode(" ".join(some)), "<u4").tolist() == _reference(" ".join(some))
+
+
+def test_memo_turns_over(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 5)
+    coder = packing.WordTokenizer(open(PATH, "rb").read(), 2)
+    for i in range(30):
+        text = f"w{i} w{i - 1} w{i - 7} common {'long' * 20}"
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == _reference(text)
