@@ -13,7 +13,8 @@ verified by the exact weighted Jaccard similarity. Verification runs twice:
 1. every text of a band bucket against one leader of the bucket, which joins
    dense groups without listing their pairs;
 2. in buckets that still hold several classes, the texts of different classes
-   against each other, in blocks of bounded size.
+   against each other, where their blocks of bounded size meet; only the links
+   that join classes leave such a place.
 
 Classes are the connected components of the links, found by alternating large
 and small stars. Equal texts are one node throughout.
@@ -42,8 +43,8 @@ AGREEMENT = 0.65
 IDF_RANGE = 0.25
 FREQUENT = 0.02
 BUCKETS = 1 << 16
-#: Texts of one bucket that meet in a block, bytes of text shingled at once, shingles sampled at once.
-BLOCK = 512
+#: Texts of a bucket in one block, bytes of text shingled at once, shingles sampled at once.
+BLOCK = 256
 PASS_BYTES = 4 << 20
 PASS_SHINGLES = 4096
 
@@ -272,37 +273,52 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x == y).mean(1))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, weights: Weights, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose weighted Jaccard similarity is at least ``similarity``.
+def vectors(wanted: DataFrame, docs: DataFrame, weights: Weights) -> DataFrame:
+    """(node, keys, weights): the weighted shingles of the nodes ``wanted`` (node, id), packed.
 
-    Only texts of nodes in ``pairs`` are shingled again, each once: the row
-    that stands for its node is found by (id, node), so copies don't meet.
+    The row that stands for a node is found by (id, node), so its copies stay
+    where they are; repeated rows of the same id and text collapse.
     """
-    sent = pairs.sparkSession.sparkContext.broadcast(weights)
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [sent.value.of(s) for s in shingle_lists(batch.column(1))]
             columns = [pa.array([k.tobytes() for k, _ in found], pa.binary()), pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["node", "keys", "weights"])
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts = docs.join(wanted, ["id", "node"]).dropDuplicates(["id", "node"]).select("node", "text")
+    return texts.mapInArrow(run, "node binary, keys binary, weights binary")
+
+
+class _Bag:
+    """The weighted shingles of one text."""
+
+    def __init__(self, keys: bytes, weights: bytes):
+        self.keys = np.frombuffer(keys, np.uint64)
+        self.weights = np.frombuffer(weights, np.float32).astype(np.float64)
+        self.total = self.weights.sum()
+
+    def similar(self, other: _Bag, similarity: float) -> bool:
+        """Whether the weighted Jaccard similarity reaches ``similarity``."""
+        if min(self.total, other.total) < (similarity - 1e-6) * max(self.total, other.total):
+            return False
+        _, i, j = np.intersect1d(self.keys, other.keys, assume_unique=True, return_indices=True)
+        both = np.minimum(self.weights[i], other.weights[j]).sum()
+        return bool(both >= (similarity - 1e-6) * (self.total + other.total - both))
+
+
+def verified(pairs: DataFrame, bags: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose weighted Jaccard similarity is at least ``similarity``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for ka, wa, kb, wb in zip(*batch.columns[2:]):
-                (ka, kb), (wa, wb) = (np.frombuffer(x.as_buffer(), np.uint64) for x in (ka, kb)), (np.frombuffer(x.as_buffer(), np.float32).astype(np.float64) for x in (wa, wb))
-                _, i, j = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
-                both = np.minimum(wa[i], wb[j]).sum()
-                keep.append(both >= (similarity - 1e-6) * (wa.sum() + wb.sum() - both))
+            keep = [_Bag(ka, wa).similar(_Bag(kb, wb), similarity) for ka, wa, kb, wb in zip(*(c.to_pylist() for c in batch.columns[2:]))]
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([c.filter(keep) for c in batch.columns[:2]], names=["a", "b"])
 
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "id"), "node")
-    # One row stands for its node; repeated rows (same id and text) collapse.
-    texts = docs.join(used, ["id", "node"]).dropDuplicates(["id", "node"]).select("node", "text")
-    table = stored(texts.mapInArrow(vectors, "node binary, keys binary, weights binary"), "neardup-vectors")
-    side = lambda n: table.select(F.col("node").alias(n), F.col("keys").alias(f"keys_{n}"), F.col("weights").alias(f"weights_{n}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "keys_a", "weights_a", "keys_b", "weights_b").mapInArrow(linked, "a binary, b binary")
+    side = lambda n: bags.select(F.col("node").alias(n), F.col("keys").alias(f"keys_{n}"), F.col("weights").alias(f"weights_{n}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "keys_a", "weights_a", "keys_b", "weights_b").mapInArrow(run, "a binary, b binary")
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -312,53 +328,82 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.filter(_agreement("sketch_a", "sketch_b") >= AGREEMENT).select("a", "b")
 
 
-def _across_classes(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes in one bucket whose sketches agree, compared block by block.
+def _in_blocks(members: DataFrame, columns: list[str]) -> DataFrame:
+    """``members`` (key, n, node, ...) dealt so that any two of a bucket meet in a place (key, i, j).
 
-    ``members``: key, node, sketch, component, n (size of the bucket). Block i of
-    a bucket meets block j in one place, so nothing larger than two blocks is
-    ever held.
+    A bucket of n texts is cut into blocks of about BLOCK by hash; block i meets
+    block j once, so no place holds more than two blocks, however large n is.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    placed = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    placed = placed.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component", "sketch", "own")
+    cut = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    placed = cut.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *columns)
+    return placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[tuple]]]:
+    """(whether one block meets itself, its rows from ``own`` on) place by place, as dealt by ``_in_blocks``."""
+    place, held = None, []
+    for batch in batches:
+        for key, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if (key, i, j) != place:
+                if len(held) > 1:
+                    yield place[1] == place[2], held
+                place, held = (key, i, j), []
+            held.append(tuple(row))
+    if len(held) > 1:
+        yield place[1] == place[2], held
+
+
+def _in_company(members: DataFrame) -> DataFrame:
+    """Nodes of ``members`` (key, n, node, sketch) whose sketch agrees with that of another one in their bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held = None, []
-
-        def pairs():
-            if len(held) < 2:
-                return
-            sketch = np.frombuffer(b"".join(h[3] for h in held), np.uint8).reshape(len(held), -1)
-            component, own = np.unique([h[2].hex() for h in held], return_inverse=True)[1], np.array([h[4] for h in held])
-            inside = group[1] == group[2]
-            for x in range(len(held) - 1):
-                ok = component[x + 1 :] != component[x]
-                if not inside:
-                    ok &= own[x + 1 :] != own[x]
-                if ok.any():
-                    rest = np.flatnonzero(ok) + x + 1
-                    near = rest[(sketch[rest] == sketch[x]).mean(1) >= AGREEMENT]
-                    for y in near.tolist():
-                        yield tuple(sorted((held[x][1], held[y][1])))
-
-        def flush():
-            found = sorted(set(pairs()))
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+        for _, rows in _places(batches):
+            sketch = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
+            found = np.zeros(len(rows), bool)
+            for x in range(len(rows) - 1):
+                rest = np.arange(x + 1, len(rows)) if not found[x] else x + 1 + np.flatnonzero(~found[x + 1 :])
+                near = rest[(sketch[rest] == sketch[x]).mean(1) >= AGREEMENT]
+                found[near] = True
+                found[x] |= len(near) > 0
+            yield pa.RecordBatch.from_arrays([pa.array([r[1] for r, f in zip(rows, found) if f], pa.binary())], names=["node"])
 
-        for batch in batches:
-            for key, i, j, node, component, sketch, own in zip(*(c.to_pylist() for c in batch.columns)):
-                if (key, i, j) != group:
-                    if len(held) > 1:
-                        yield flush()
-                    group, held = (key, i, j), []
-                held.append((key, node, component, sketch, own))
-        if len(held) > 1:
-            yield flush()
+    return _in_blocks(members, ["node", "sketch"]).mapInArrow(run, "node binary").distinct()
 
-    dealt = placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+
+def _across_classes(members: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join different classes of a bucket, verified where its blocks meet.
+
+    ``members``: key, n, node, component, sketch, keys, weights. Texts of one class
+    are not compared, and a link joins their classes in that place at once, so
+    a place gives fewer links than it has texts, and no pairs.
+    """
+
+    def joined(inside: bool, rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        own = np.array([r[0] for r in rows])
+        of = np.unique([r[2].hex() for r in rows], return_inverse=True)[1]
+        if of.max() == 0:
+            return
+        sketch = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
+        bags: dict[int, _Bag] = {}
+        bag = lambda x: bags.get(x) or bags.setdefault(x, _Bag(*rows[x][4:6]))
+        for x in range(len(rows) - 1):
+            rest = np.flatnonzero(of[x + 1 :] != of[x]) + x + 1
+            if not inside:
+                rest = rest[own[rest] != own[x]]
+            share = (sketch[rest] == sketch[x]).mean(1)
+            for y in rest[np.argsort(-share, kind="stable")][: int((share >= AGREEMENT).sum())].tolist():
+                if of[y] != of[x] and bag(x).similar(bag(y), similarity):
+                    of[of == of[y]] = of[x]
+                    yield tuple(sorted((rows[x][1], rows[y][1])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for inside, rows in _places(batches):
+            found = list(joined(inside, rows))
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    return _in_blocks(members, ["node", "component", "sketch", "keys", "weights"]).mapInArrow(run, "a binary, b binary").distinct()
 
 
 def components(links: DataFrame, label: str = "neardup-stars") -> DataFrame:
@@ -419,21 +464,27 @@ def classes(df: DataFrame, id_col: str, text_col: str, similarity: float = SIMIL
 
     placed = nodes.filter("bands is not null").select("node", F.posexplode("bands").alias("band", "key"))
     shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node", "band").alias("o"), F.col("node").alias("node"))).alias("least")).filter("n > 1")
-    members = stored(placed.select("key", "node").join(shared.select("key", "n", F.col("least.node").alias("leader")), "key"), "neardup-members")
-
-    def ordered(a: str, b: str) -> DataFrame:
-        return members.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-
-    stars = stored(_alike(ordered("leader", "node"), nodes), "neardup-pairs")
-    links = stored(verified(stars, nodes, docs, weights, similarity), "neardup-links")
-
-    labelled = _labelled(nodes.select("node", "sketch"), links)
-    open_ = members.filter("n > 2").join(labelled, "node")
-    mixed = open_.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("key")
-    pairs = _across_classes(open_.join(mixed, "key")).join(stars, ["a", "b"], "left_anti")
-    more = stored(verified(stored(pairs, "neardup-pairs"), nodes, docs, weights, similarity), "neardup-links")
-
-    final = stored(_labelled(nodes.select("node", "id"), links.union(more)), "neardup-classes")
+    members = stored(placed.join(shared.select("key", "n", F.col("least.node").alias("leader")), "key").select("key", "band", "n", "node", "leader"), "neardup-members")
+    pairs = members.filter("leader != node").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+    stars = stored(_alike(pairs, nodes), "neardup-pairs")
+
+    sketches = nodes.select("node", "sketch")
+    company = _in_company(members.filter("n > 2").select("key", "n", "node").join(sketches, "node"))
+    wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).union(company).distinct()
+    wanted = stored(wanted.join(nodes.select("node", "id"), "node"), "neardup-wanted")
+    bags = stored(vectors(wanted, docs, weights), "neardup-vectors")
+    links = stored(verified(stars, bags, similarity), "neardup-links")
+
+    for last_band in (1, BANDS - 1):
+        # The first bands join most of a large group, so that few of its texts
+        # are left in different classes when all bands are looked at.
+        labelled = _labelled(wanted.select("node"), links)
+        open_ = members.filter((F.col("n") > 2) & (F.col("band") <= last_band)).select("key", "node").join(labelled, "node")
+        mixed = open_.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("key", "n")
+        meeting = open_.join(mixed, "key").join(sketches, "node").join(bags, "node")
+        links = stored(links.union(_across_classes(meeting, similarity)), "neardup-links")
+
+    final = stored(_labelled(nodes.select("node", "id"), links), "neardup-classes")
     tops = final.groupBy("component").agg(F.min(F.struct("id", "node")).alias("top"))
     of_node = final.join(tops, "component").select("node", F.col("top.id").alias("class_id"), F.col("top.node").alias("keeper"))
     return rows.select("id", "node").join(of_node, "node")
