@@ -18,6 +18,7 @@ if _ROOT not in sys.path:
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
+from ordersight.functions import hashing as H  # noqa: E402
 from ordersight.plans import registry as R  # noqa: E402
 from ordersight.schema import COLUMN_NAMES, MONEY_COLUMNS, present  # noqa: E402
 from ordersight.sources import synth as S  # noqa: E402
@@ -211,10 +212,11 @@ def _synth_sql(profile: str, seed: int = 42) -> str:
     def h(stream: str, key: str = "k") -> str:
         return f"md5('{seed}|{stream}|' || {key})"
 
-    def w(col: str, i: int) -> str:
-        # word 2j+k of a digest: 52-bit half j (13 hex digits), low/high 26 bits
-        half = f"CAST(('0x' || substr({col}, {13 * (i // 2) + 1}, 13)) AS BIGINT)"
-        return f"({half} >> 26)" if i % 2 else f"({half} & 67108863)"
+    def w(word: str) -> str:
+        source, start, step = S.DRAWS[word]
+        a, c = H.jump(step)
+        half = f"CAST(('0x' || substr({source[1:]}, {13 * start + 1}, 13)) AS BIGINT)"
+        return f"((({half} % {H.MODULUS}) * {a} + {c}) % {H.MODULUS})"
 
     def uuid(col: str) -> str:
         return (
@@ -222,47 +224,42 @@ def _synth_sql(profile: str, seed: int = 42) -> str:
             f"substr({col}, 17, 4) || '-' || substr({col}, 21, 12)"
         )
 
-    streams = ["id", "a", "b", "c", "d", "e"]
     keys = f"keys AS (SELECT {_LINE_KEY} AS k FROM lineitem)"
-    hashed = (
-        "hashed AS (SELECT k, "
-        + ", ".join(f"{h(s)} AS h_{s}" for s in streams)
-        + f", {h('customer')} AS h_cust, {h('product')} AS h_prod FROM keys)"
-    )
+    hashed = f"hashed AS (SELECT k, {h('order')} AS h_id, {h('customer')} AS h_cid, {h('product')} AS h_pid FROM keys)"
     cases = " ".join(f"WHEN '{c}' THEN {_list(p.products[c])}" for c in p.categories)
     lo, hi = p.price_cents
     words = (
         "words AS (SELECT *, "
-        f"{_pick(p.categories, w('h_prod', 0))} AS category, "
-        f"1 + {w('h_a', 2)} % {p.max_quantity} AS quantity, "
-        f"{lo} + {w('h_a', 3)} % {hi - lo + 1} AS price_cents, "
-        f"{_pick(S.FIRST_NAMES, w('h_cust', 0))} AS first, "
-        f"{_pick(S.LAST_NAMES, w('h_cust', 1))} AS last, "
-        f"{_pick(S.CITIES, w('h_e', 1))} AS city, "
-        f"{_pick(S.US_STATES, w('h_e', 2))} AS state, "
-        f"lpad(CAST({w('h_e', 3)} % 100000 AS VARCHAR), 5, '0') AS zip, "
+        f"{_pick(p.categories, w('prod0'))} AS category, "
+        f"1 + {w('a2')} % {p.max_quantity} AS quantity, "
+        f"{lo} + {w('a3')} % {hi - lo + 1} AS price_cents, "
+        f"{_pick(S.FIRST_NAMES, w('cust0'))} AS first, "
+        f"{_pick(S.LAST_NAMES, w('cust1'))} AS last, "
+        f"{_pick(S.CITIES, w('e1'))} AS city, "
+        f"{_pick(S.US_STATES, w('e2'))} AS state, "
+        f"lpad(CAST({w('e3')} % 100000 AS VARCHAR), 5, '0') AS zip, "
         + " || ".join(
-            f"substr('{S.LETTERS}', CAST(({w('h_c', 3)} // {52 ** i}) % 52 + 1 AS INTEGER), 1)" for i in range(4)
+            f"substr('{S.LETTERS}', CAST(({w('c3')} // {52 ** i}) % 52 + 1 AS INTEGER), 1)" for i in range(4)
         )
         + " AS letters FROM hashed)"
     )
     amounts = (
         "amounts AS (SELECT *, quantity * price_cents AS total_cents, "
-        f"(quantity * price_cents * ({w('h_b', 0)} % 10001) * {p.max_discount_pct} + 500000) // 1000000 AS discount_cents, "
+        f"(quantity * price_cents * ({w('b0')} % 10001) * {p.max_discount_pct} + 500000) // 1000000 AS discount_cents, "
         f"(quantity * price_cents * {p.tax_pct} + 50) // 100 AS tax_cents FROM words)"
     )
-    cw = lambda i: w("h_cust", i)
+    cw = lambda i: w(f"cust{i}")
     select = f"""
 SELECT
   {uuid('h_id')} AS order_id,
-  {uuid(f"md5('{seed}|customer-id|' || k)")} AS customer_id,
+  {uuid('h_cid')} AS customer_id,
   first || ' ' || last AS customer_name,
   lower(first) || '.' || lower(last) || '@' || {_pick(S.EMAIL_DOMAINS, cw(2))} AS customer_email,
   '(' || CAST(200 + {cw(3)} % 800 AS VARCHAR) || ') ' || lpad(CAST({cw(2)} % 1000 AS VARCHAR), 3, '0') || '-' ||
     lpad(CAST({cw(3)} % 10000 AS VARCHAR), 4, '0') AS customer_phone,
-  strftime(DATE '{S.DEFAULT_END_DATE.isoformat()}' - CAST({w('h_c', 0)} % {p.days + 1} AS INTEGER), '%Y-%m-%d') AS order_date,
-  {uuid(f"md5('{seed}|product-id|' || k)")} AS product_id,
-  (CASE category {cases} END)[{w('h_prod', 1)} % len(CASE category {cases} END) + 1] AS product_name,
+  strftime(DATE '{S.DEFAULT_END_DATE.isoformat()}' - CAST({w('c0')} % {p.days + 1} AS INTEGER), '%Y-%m-%d') AS order_date,
+  {uuid('h_pid')} AS product_id,
+  (CASE category {cases} END)[{w('prod1')} % len(CASE category {cases} END) + 1] AS product_name,
   category AS product_category,
   CAST(quantity AS BIGINT) AS quantity,
   price_cents / 100 AS unit_price,
@@ -270,17 +267,17 @@ SELECT
   discount_cents / 100 AS discount_amount,
   tax_cents / 100 AS tax_amount,
   (total_cents - discount_cents + tax_cents) / 100 AS final_amount,
-  CAST(1 + {w('h_d', 1)} % 9999 AS VARCHAR) || ' ' || {_pick(S.STREET_NAMES, w('h_d', 2))} || ' ' ||
-    {_pick(S.STREET_SUFFIXES, w('h_d', 3))} || ', ' || city || ', ' || state || ' ' || zip AS shipping_address,
+  CAST(1 + {w('d1')} % 9999 AS VARCHAR) || ' ' || {_pick(S.STREET_NAMES, w('d2'))} || ' ' ||
+    {_pick(S.STREET_SUFFIXES, w('d3'))} || ', ' || city || ', ' || state || ' ' || zip AS shipping_address,
   city AS shipping_city,
   state AS shipping_state,
   zip AS shipping_zip,
-  {_pick(S.COUNTRIES, w('h_e', 0))} AS shipping_country,
-  {_pick(p.statuses, w('h_b', 1))} AS order_status,
-  {_pick(p.payments, w('h_b', 2))} AS payment_method,
-  CAST({p.store_range[0]} + {w('h_c', 1)} % {p.store_range[1] - p.store_range[0] + 1} AS BIGINT) AS store_id,
-  CAST({p.rep_range[0]} + {w('h_c', 2)} % {p.rep_range[1] - p.rep_range[0] + 1} AS BIGINT) AS sales_rep_id,
-  CASE WHEN {w('h_b', 3)} % 100 < {p.promo_pct} THEN '{p.promo_prefix}' || letters END AS promotion_code
+  {_pick(S.COUNTRIES, w('e0'))} AS shipping_country,
+  {_pick(p.statuses, w('b1'))} AS order_status,
+  {_pick(p.payments, w('b2'))} AS payment_method,
+  CAST({p.store_range[0]} + {w('c1')} % {p.store_range[1] - p.store_range[0] + 1} AS BIGINT) AS store_id,
+  CAST({p.rep_range[0]} + {w('c2')} % {p.rep_range[1] - p.rep_range[0] + 1} AS BIGINT) AS sales_rep_id,
+  CASE WHEN {w('b3')} % 100 < {p.promo_pct} THEN '{p.promo_prefix}' || letters END AS promotion_code
 FROM amounts"""
     return "WITH " + ",\n".join([keys, hashed, words, amounts]) + select
 

@@ -1,9 +1,9 @@
 """Deterministic pseudo-random draws for the order generator.
 
 Every value is a pure function of (seed, stream, key): output does not depend
-on partitioning, task retries or executor count. One md5 yields two 52-bit halves, or four
-independent 26-bit words from two hex conversions, so a row needs only a
-handful of digests.
+on partitioning, task retries or executor count. One md5 yields two 52-bit
+halves; each seeds a congruential sequence whose n-th draw is one
+multiplication away, so a row needs few digests for many draws.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ def digest(seed: int, stream: str, key: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(stream), key.cast("string")))
 
 
-WORD_BITS = 26
-_MASK = (1 << WORD_BITS) - 1
+MODULUS = (1 << 31) - 1
+MULTIPLIER, INCREMENT = 48271, 12345
 
 
 def half(hex_digest: Column, j: int) -> Column:
@@ -26,9 +26,18 @@ def half(hex_digest: Column, j: int) -> Column:
     return F.conv(F.substring(hex_digest, 13 * j + 1, 13), 16, 10).cast("bigint")
 
 
-def split_word(half_value: Column, k: int) -> Column:
-    """Low (k=0) or high (k=1) 26-bit word of a 52-bit half, in [0, 2^26)."""
-    return F.shiftright(half_value, WORD_BITS) if k else half_value.bitwiseAND(F.lit(_MASK))
+def jump(n: int) -> tuple[int, int]:
+    """(a, c) such that n steps of the sequence take x to (a x + c) mod MODULUS."""
+    a, c = 1, 0
+    for _ in range(n):
+        a, c = a * MULTIPLIER % MODULUS, (c * MULTIPLIER + INCREMENT) % MODULUS
+    return a, c
+
+
+def draw(start: Column, n: int) -> Column:
+    """The n-th draw (n >= 1) of the sequence from ``start`` in [0, MODULUS): a word in [0, MODULUS)."""
+    a, c = jump(n)
+    return (start * F.lit(a).cast("bigint") + F.lit(c)) % F.lit(MODULUS).cast("bigint")
 
 
 def pick(values: tuple[str, ...] | list[str], w: Column) -> Column:

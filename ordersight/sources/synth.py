@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.functions.hashing import digest, half, pick, split_word, uuid_text
+from ordersight.functions.hashing import MODULUS, digest, draw, half, pick, uuid_text
 from ordersight.functions.money import from_cents
 
 # ---------------------------------------------------------------------------
@@ -124,6 +124,15 @@ PROFILES = {
 DEFAULT_END_DATE = _dt.date(2025, 6, 30)
 
 
+#: Word -> (digest, start, step): the draws a row takes.
+DRAWS = {
+    f"{stream}{i}": (source, i % 2, at * 2 + i // 2 + 1)
+    for source, streams in (("_h_id", "abcde"), ("_h_cid", ("cust",)), ("_h_pid", ("prod",)))
+    for at, stream in enumerate(streams)
+    for i in range(4)
+}
+
+
 def _span(w: Column, lo: int, hi: int) -> Column:
     return (F.lit(lo) + w % (hi - lo + 1)).cast("bigint")
 
@@ -148,41 +157,30 @@ def synthesize(
     has stable attributes); by default every row gets fresh ids, as in the
     reference generator.
 
-    The work is staged in four projections (digests, 32-bit words, values,
-    text). Each stays small enough for the JIT to compile; a single
-    25-column projection of nested hash expressions does not, and runs
-    several times slower.
+    The work is staged in projections (digests, starts, draws, values, text).
+    Each stays small enough for the JIT to compile; a single 25-column
+    projection of nested hash expressions does not, and runs several times
+    slower.
     """
     p = PROFILES[profile]
     key = F.col(key_col).cast("string")
-    streams = ("id", "a", "b", "c", "d", "e")
 
-    # 1. digests: one md5 per stream, plus customer and product identities
-    # (drawn from 52 bits, so every id of a pool of billions is reached).
+    # 1. digests: one md5 each for the order, its customer and its product
+    # (pool ids are drawn from 52 bits, so every id of billions is reached).
     with_key = keys.select(key.alias("_k"))
     cust_key = (half(digest(seed, "d", F.col("_k")), 0) % n_customers).cast("string") if n_customers else F.col("_k")
     prod_key = (half(digest(seed, "a", F.col("_k")), 0) % n_products).cast("string") if n_products else F.col("_k")
     hashed = with_key.select(
-        *[digest(seed, s, F.col("_k")).alias(f"_h_{s}") for s in streams],
-        digest(seed, "customer", cust_key).alias("_h_cust"),
-        digest(seed, "product", prod_key).alias("_h_prod"),
-        digest(seed, "customer-id", cust_key).alias("_h_cid"),
-        digest(seed, "product-id", prod_key).alias("_h_pid"),
+        digest(seed, "order", F.col("_k")).alias("_h_id"),
+        digest(seed, "customer", cust_key).alias("_h_cid"),
+        digest(seed, "product", prod_key).alias("_h_pid"),
     )
 
-    # 2. words: every random draw as a BIGINT column (two hex conversions
-    # per digest, each split into two 26-bit words).
-    word_streams = ("a", "b", "c", "d", "e", "cust", "prod")
-    halves = hashed.select(
-        "_h_id", "_h_cid", "_h_pid",
-        *[half(F.col(f"_h_{s}"), j).alias(f"_{s}_{j}") for s in word_streams for j in range(2)],
-    )
-    word_names = [f"{s}{i}" for s in word_streams for i in range(4)]
-    words = halves.select(
-        "_h_id", "_h_cid", "_h_pid",
-        *[split_word(F.col(f"_{n[:-1]}_{int(n[-1]) // 2}"), int(n[-1]) % 2).alias(n) for n in word_names],
-    )
-    w = {n: F.col(n) for n in word_names}
+    # 2. draws: every random word as a BIGINT column, from two starts a digest.
+    ids = ["_h_id", "_h_cid", "_h_pid"]
+    starts = hashed.select(*ids, *[(half(F.col(h), j) % MODULUS).alias(f"{h}_{j}") for h in ids for j in range(2)])
+    words = starts.select(*ids, *[draw(F.col(f"{h}_{j}"), n).alias(name) for name, (h, j, n) in DRAWS.items()])
+    w = {n: F.col(n) for n in DRAWS}
 
     # 3. values: picks, integers and amounts in cents.
     category = pick(p.categories, w["prod0"])
