@@ -1,26 +1,32 @@
 """Personal data by a skip-chain conditional random field.
 
 Nodes are the *mentions* of a document: the fixed-rule spans (e-mail, IP,
-card, phone) and whatever else might be one (digit runs of seven or more,
-words with an at sign). All other text can only be "other", so it needs no
-node. A linear chain joins neighbouring mentions; skip edges join each mention
-to the previous one with the same value (``exact``) or the same last seven
-digits or mail name (``similar``), however far away. Labels are "other" and
-the four kinds. Loopy belief propagation passes messages over both sorts of
-edges; fixed-rule spans are clamped to their kind, and their neighbours by
-skip edge are drawn to it. A mention whose most likely label is a kind with
-at least ``min_probability`` becomes an added span.
+card, phone) and whatever else might be one: numbers of seven or more digits
+and words with an at sign that either resemble another mention or look like a
+kind themselves (a plus sign, brackets, a valid check digit), say a phone
+number that the fixed rule lost as another number follows it. All other text
+can only be "other", so it needs no node. A linear chain joins neighbouring
+mentions; skip edges join each mention to the previous one with the same
+value (``exact``) or the same last seven digits or mail name (``similar``),
+however far away. Labels are "other" and the four kinds. Loopy belief
+propagation passes messages over both sorts of edges; fixed-rule spans are
+clamped to their kind, and their neighbours by skip edge are drawn to it. A
+mention whose most likely label is a kind with at least ``min_probability``
+becomes an added span.
 
 Weights maximise the pseudo-likelihood of a bounded sample of documents in
 which a fixed rule fired. In training the tell-tale features of a mention
-(plus sign, valid check digit, ...) are hidden half of the time, so that the
-skip edges have to carry what the mention itself does not show.
+(plus sign, valid check digit, ..., or "plain", none of them) are hidden half
+of the time; a mention with a skip edge is then shown as plain half of those
+times, and exact edges count as similar half of the time. So the skip edges
+have to carry what the mention itself does not show.
 """
 
 from __future__ import annotations
 
 import pickle
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +55,10 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NUMBER = re.compile(r"[0-9](?:[\x20().-]{0,2}[0-9]){6,}")
+_NUMBER = re.compile(r"(?<![A-Za-z0-9])\+?[0-9](?:[\x20().-]{0,2}[0-9]){6,}(?![A-Za-z0-9])")
+_PART = re.compile(r"[^\x20]+")
+#: Digits of the shortest mention, and of the longest phone and card.
+LEAST_DIGITS, PHONE_DIGITS, CARD_DIGITS = 7, 15, 19
 _HANDLE = re.compile(r"@[A-Za-z0-9-]+")
 _DIGITS = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
@@ -104,8 +113,10 @@ class Mentions:
 
 
 #: Features of a mention. Those from TELLING on give the kind away.
-FEATURES = ("any", "digits<9", "digits<12", "digits<16", "digits=16", "digits>16", "no digits", "blanks", "brackets", "has @", "plus", "check digit", "four parts", "dotted host")
-TELLING = FEATURES.index("plus")
+FEATURES = ("any", "digits<9", "digits<12", "digits<16", "digits=16", "digits>16", "no digits", "blanks", "brackets", "has @", "plus", "check digit", "four parts", "dotted host", "plain")
+TELLING, PLAIN = FEATURES.index("plus"), FEATURES.index("plain")
+#: A mention with one of these is a node also without a skip edge.
+SHOWY = frozenset(map(FEATURES.index, ("brackets", "plus", "check digit")))
 
 
 def _features(text: str) -> list[int]:
@@ -126,13 +137,38 @@ def _features(text: str) -> list[int]:
             out.append(10)
         if 12 <= n <= 19 and luhn(digits):
             out.append(11)
-        if text.count(".") == 3 and n <= 12:
+        if text.count(".") == 3 and all(p.isdigit() and int(p) <= 255 for p in text.split(".") if len(p) <= 12) and n <= 12:
             out.append(12)
+    if out[-1] < TELLING:
+        out.append(PLAIN)
     return out
 
 
-def mentions(text: str, base: list[Span]) -> Mentions:
-    """The mentions of ``text``; those that touch a fixed-rule span are left out."""
+def _numbers(text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """Numbers in text[a:b]; a stretch too long for one card is parted at its blanks, a leading phone kept together."""
+    for m in _NUMBER.finditer(text, a, b):
+        if len(_NOT_DIGIT.sub("", m[0])) <= CARD_DIGITS:
+            yield m.span()
+            continue
+        held: list[int] | None = None
+        for part in _PART.finditer(text, *m.span()):
+            n = len(_NOT_DIGIT.sub("", part[0]))
+            if held and text[held[0]] == "+" and held[2] + n <= PHONE_DIGITS:
+                held = [held[0], part.end(), held[2] + n]
+                continue
+            if held and held[2] >= LEAST_DIGITS:
+                yield held[0], held[1]
+            held = [part.start(), part.end(), n]
+        if held and held[2] >= LEAST_DIGITS:
+            yield held[0], held[1]
+
+
+def mentions(text: str, base: list[Span], plain_ones: bool = False) -> Mentions:
+    """The mentions of ``text``; those that touch a fixed-rule span are left out.
+
+    With ``plain_ones`` also those that neither resemble another one nor look
+    like a kind: training needs them as examples of "other".
+    """
     found = list(base)
     at, gaps = 0, []
     for a, b, _ in sorted(base):
@@ -141,26 +177,34 @@ def mentions(text: str, base: list[Span]) -> Mentions:
         at = max(at, b)
     gaps.append((at, len(text)))
     for a, b in gaps:
-        found += [(m.start(), m.end(), -1) for m in _NUMBER.finditer(text, a, b)]
+        taken = list(_numbers(text, a, b))
+        found += [(x, y, -1) for x, y in taken]
         if text.find("@", a, b) >= 0:
-            taken = [(m.start(), m.end()) for m in _NUMBER.finditer(text, a, b)]
             for m in _HANDLE.finditer(text, a, b):
                 start = _mail_start(text, m.start(), a)
                 if start < m.start() and not any(x < m.end() and start < y for x, y in taken):
                     found.append((start, m.end(), -1))
     found = S.ordered(found)
-    out = Mentions([(a, b, k + 1) for a, b, k in found], [], [])
-    seen: dict[tuple, int] = {}
-    for i, (a, b, _) in enumerate(found):
+    keys = []
+    for a, b, _ in found:
         value = text[a:b]
-        out.features.append(_features(value))
-        if i:
-            out.edges.append((i - 1, i, 0))
         if "@" in value:
-            exact, similar = ("m", value.lower()), ("n", value.lower().partition("@")[0])
+            keys.append((("m", value.lower()), ("n", value.lower().partition("@")[0])))
         else:
             digits = _NOT_DIGIT.sub("", value)
-            exact, similar = ("d", digits), ("e", digits[-7:])
+            keys.append((("d", digits), ("e", digits[-LEAST_DIGITS:])))
+    common = Counter(similar for _, similar in keys)
+    out = Mentions([], [], [])
+    seen: dict[tuple, int] = {}
+    for (a, b, k), (exact, similar) in zip(found, keys):
+        features = _features(text[a:b])
+        if k < 0 and not plain_ones and common[similar] < 2 and SHOWY.isdisjoint(features):
+            continue
+        i = len(out.spans)
+        out.spans.append((a, b, k + 1))
+        out.features.append(features)
+        if i:
+            out.edges.append((i - 1, i, 0))
         if exact in seen:
             out.edges.append((seen[exact], i, 1))
         elif similar in seen:
@@ -202,14 +246,20 @@ def train(graphs: list[Mentions], steps: int = 300, rate: float = 0.5, shrink: f
     rng = np.random.default_rng(seed)
     ends = np.concatenate([edges[:, :2], edges[:, 1::-1]])
     sort = np.concatenate([edges[:, 2], edges[:, 2]])
-    near = [np.zeros((n, LABELS)) for _ in range(3)]
+    by_sort = [np.zeros((n, LABELS)) for _ in range(3)]
     for s in range(3):
-        np.add.at(near[s], ends[sort == s, 0], np.eye(LABELS)[y[ends[sort == s, 1]]])
+        np.add.at(by_sort[s], ends[sort == s, 0], np.eye(LABELS)[y[ends[sort == s, 1]]])
+    linked = np.zeros(n, bool)
+    linked[ends[sort > 0].ravel()] = True
     want = np.eye(LABELS)[y]
     grams = [np.zeros_like(model.unary), np.zeros_like(model.pair)]
     for _ in range(steps):
         seen = x.copy()
-        seen[:, TELLING:] *= rng.random((n, 1)) < 0.5
+        hidden = rng.random(n) < 0.5
+        seen[hidden, TELLING:] = 0
+        seen[hidden & linked & (rng.random(n) < 0.5), PLAIN] = 1
+        demoted = (rng.random(n) < 0.5)[:, None]
+        near = [by_sort[0], by_sort[1] * ~demoted, by_sort[2] + by_sort[1] * demoted]
         score = seen @ model.unary + sum(near[s] @ model.pair[s] for s in range(3))
         p = np.exp(score - score.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
@@ -275,7 +325,7 @@ def training_graphs(df: DataFrame, text_col: str, docs: int = SAMPLE_DOCS, most:
             for order, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = value.as_py() or ""
                 if base := base_spans(text):
-                    g = mentions(text, base)
+                    g = mentions(text, base, plain_ones=True)
                     if len(g.spans) <= most:
                         rows.append((order, pickle.dumps((g.spans, g.features, g.edges))))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["hash", "graph"])
