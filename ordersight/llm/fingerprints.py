@@ -12,7 +12,6 @@ size, and 0 if the signatures share no run of four letters.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
