@@ -46,7 +46,7 @@ BUCKETS = 1 << 16
 #: Texts of a bucket in one block, bytes of text shingled at once, shingles sampled at once.
 BLOCK = 256
 PASS_BYTES = 4 << 20
-PASS_SHINGLES = 4096
+PASS_SHINGLES = 512
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
@@ -177,40 +177,55 @@ def learn_weights(df: DataFrame, text_col: str) -> Weights:
 
 
 class Sampler:
-    """Improved consistent weighted sampling with 16-bit draws from fixed quantile tables."""
+    """Improved consistent weighted sampling, its gamma draws taken from a table of 4096 quantiles."""
 
     def __init__(self, samples: int = SAMPLES):
         rng = np.random.default_rng(20)
         self.salt = rng.integers(1, 2**63, samples, dtype=np.uint64)
-        gamma = np.sort(rng.gamma(2.0, 1.0, (65_536, 8)), axis=0).mean(1)
+        gamma = np.sort(rng.gamma(2.0, 1.0, (4096, 64)), axis=0).mean(1)
         self.r = gamma.astype(np.float32)
+        self.per_r = (1 / gamma).astype(np.float32)
         self.ln_c = np.log(gamma).astype(np.float32)
-        self.beta = ((np.arange(65_536) + 0.5) / 65_536).astype(np.float32)
 
     def sketch(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """One 64-bit sample per salt: equal for two texts with a probability of their weighted Jaccard similarity."""
+        """One 64-bit sample per salt: equal for two texts with a probability of their weighted Jaccard similarity.
+
+        With t = floor(ln w / r + beta), the sample is the shingle of the least
+        ln c - r (t - beta) - r, and t. Each draw gives 12 bits for r, 12 for c and 24 for beta.
+        """
         best = np.full(len(self.salt), np.inf, np.float32)
         out = np.zeros(len(self.salt), np.uint64)
         ln_w = np.log(weights).astype(np.float32)
-        low = np.uint64(0xFFFF)
+        rows = np.arange(len(self.salt))
         for at in range(0, len(shingles), PASS_SHINGLES):
             keys, ln = shingles[at : at + PASS_SHINGLES], ln_w[at : at + PASS_SHINGLES]
-            for k in range(0, len(self.salt), 8):
-                draw = (keys[None, :] ^ self.salt[k : k + 8, None]) * _M2
-                draw ^= draw >> np.uint64(29)
-                draw *= _M3
-                draw ^= draw >> np.uint64(32)
-                r = self.r[draw & low]
-                beta = self.beta[(draw >> np.uint64(16)) & low]
-                t = np.floor(ln / r + beta)
-                a = self.ln_c[(draw >> np.uint64(32)) & low] - r * (t - beta) - r
-                at_min = a.argmin(1)
-                rows = np.arange(len(at_min))
-                value = a[rows, at_min]
-                better = value < best[k : k + 8]
-                sample = _mixed(keys[at_min] + t[rows, at_min].astype(np.int64).view(np.uint64) * _M1)
-                best[k : k + 8] = np.where(better, value, best[k : k + 8])
-                out[k : k + 8] = np.where(better, sample, out[k : k + 8])
+            draw = keys[None, :] ^ self.salt[:, None]
+            draw *= _M2
+            part = draw >> np.uint64(29)
+            draw ^= part
+            draw *= _M3
+            np.right_shift(draw, np.uint64(52), out=part)
+            r, t = self.r.take(part.view(np.int64)), self.per_r.take(part.view(np.int64))
+            np.right_shift(draw, np.uint64(40), out=part)
+            part &= np.uint64(4095)
+            value = self.ln_c.take(part.view(np.int64))
+            np.right_shift(draw, np.uint64(16), out=part)
+            part &= np.uint64(0xFFFFFF)
+            beta = part.astype(np.float32)
+            beta *= np.float32(2**-24)
+            t *= ln
+            t += beta
+            np.floor(t, out=t)
+            beta -= t
+            beta -= np.float32(1)
+            beta *= r
+            value += beta
+            least = value.argmin(1)
+            found = value[rows, least]
+            better = found < best
+            sample = _mixed(keys[least] + t[rows, least].astype(np.int64).view(np.uint64) * _M1)
+            best = np.where(better, found, best)
+            out = np.where(better, sample, out)
         return out
 
 
