@@ -30,7 +30,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BooleanType, DoubleType
 
 from ordersight.llm.common import stored
 
@@ -288,6 +288,29 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x == y).mean(1))
 
 
+def _perhaps_in(wanted: DataFrame):
+    """A test of ``node`` that is true for every node in ``wanted`` and false for most others.
+
+    It looks up the first three bytes in a bitmap of fixed size (2 MB), so it
+    thins out what a join shuffles as long as ``wanted`` has fewer nodes than
+    the bitmap has bits, and never drops a row that the join would keep.
+    """
+    prefix = F.conv(F.hex(F.substring("node", 1, 3)), 16, 10).cast("long")
+    rows = wanted.select(prefix.alias("p")).groupBy(F.expr("p div 32768").alias("part")).agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("bits"))
+    bitmap = np.zeros(512 * 4096, np.uint8)
+    for r in rows.collect():
+        bitmap[4096 * r["part"] : 4096 * (r["part"] + 1)] = np.frombuffer(r["bits"], np.uint8)
+    sent = wanted.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf(BooleanType())
+    def perhaps(node: pd.Series) -> pd.Series:
+        first = np.frombuffer(b"".join(x[:3] for x in node), np.uint8).reshape(-1, 3).astype(np.int64)
+        p = first[:, 0] << 16 | first[:, 1] << 8 | first[:, 2]
+        return pd.Series((sent.value[p >> 3] >> (p & 7) & 1).astype(bool))
+
+    return perhaps
+
+
 def vectors(wanted: DataFrame, docs: DataFrame, weights: Weights) -> DataFrame:
     """(node, keys, weights): the weighted shingles of the nodes ``wanted`` (node, id), packed.
 
@@ -302,7 +325,7 @@ def vectors(wanted: DataFrame, docs: DataFrame, weights: Weights) -> DataFrame:
             columns = [pa.array([k.tobytes() for k, _ in found], pa.binary()), pa.array([w.astype(np.float32).tobytes() for _, w in found], pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["node", "keys", "weights"])
 
-    texts = docs.join(wanted, ["id", "node"]).dropDuplicates(["id", "node"]).select("node", "text")
+    texts = docs.filter(_perhaps_in(wanted)("node")).join(wanted, ["id", "node"]).dropDuplicates(["id", "node"]).select("node", "text")
     return texts.mapInArrow(run, "node binary, keys binary, weights binary")
 
 

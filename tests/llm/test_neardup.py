@@ -57,7 +57,7 @@ def _edited(rng, words, n):
     return " ".join(out)
 
 
-def _corpus(seed, groups=25, hot=120):
+def _corpus(seed, groups=14, hot=70):
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
     licence = [word() for _ in range(30)]
