@@ -123,4 +123,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB SQL for those queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY 1)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)""",
+    "op10_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.w, d.w), lambda z: coalesce(z[1] * z[2], 0))) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 5""",
+}
