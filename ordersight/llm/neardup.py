@@ -480,9 +480,14 @@ def components(links: DataFrame, label: str = "neardup-stars") -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(tops.select("node", F.col("node").alias("component")))
 
 
-def _labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     """``nodes`` with ``component``; a node without links is its own."""
-    return nodes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _grown(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` (node, component) merged along new ``links``."""
+    return components(groups.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
 
 
 def classes(df: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY) -> DataFrame:
@@ -511,18 +516,18 @@ def classes(df: DataFrame, id_col: str, text_col: str, similarity: float = SIMIL
     wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).union(company).distinct()
     wanted = stored(wanted.join(nodes.select("node", "id"), "node"), "neardup-wanted")
     bags = stored(vectors(wanted, docs, weights), "neardup-vectors")
-    links = stored(verified(stars, bags, similarity), "neardup-links")
+    groups = components(verified(stars, bags, similarity))
 
     for last_band in (1, BANDS - 1):
         # The first bands join most of a large group, so that few of its texts
         # are left in different classes when all bands are looked at.
-        labelled = _labelled(wanted.select("node"), links)
+        labelled = _labelled(wanted.select("node"), groups)
         open_ = members.filter((F.col("n") > 2) & (F.col("band") <= last_band)).select("key", "node").join(labelled, "node")
         mixed = open_.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("key", "n")
         meeting = open_.join(mixed, "key").join(sketches, "node").join(bags, "node")
-        links = stored(links.union(_across_classes(meeting, similarity)), "neardup-links")
+        groups = _grown(groups, _across_classes(meeting, similarity))
 
-    final = stored(_labelled(nodes.select("node", "id"), links), "neardup-classes")
+    final = stored(_labelled(nodes.select("node", "id"), groups), "neardup-classes")
     tops = final.groupBy("component").agg(F.min(F.struct("id", "node")).alias("top"))
     of_node = final.join(tops, "component").select("node", F.col("top.id").alias("class_id"), F.col("top.node").alias("keeper"))
     return rows.select("id", "node").join(of_node, "node")
