@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordersight.llm.common import hashed_sample
+
 #: (verdict, host, path): fixed values. A rule's name is host and path.
 RULES = (
     ("block", "net", "/"),
@@ -104,7 +106,7 @@ def labelled_urls(df: DataFrame, url_col: str, rules: Sequence[tuple[str, str, s
     rows = rows.filter("rule is not null").select("host", "path", verdict.alias("block"))
     out = []
     for label in (0, 1):
-        picked = rows.filter(F.col("block") == label).orderBy(F.xxhash64("host", "path"), "host", "path").limit(each)
+        picked = hashed_sample(rows.filter(F.col("block") == label), ["host", "path"], each)
         out += [tuple(r) for r in picked.collect()]
     return out
 
