@@ -3,10 +3,12 @@
 A first pass finds in every whole text the spans of three fixed kinds and
 further candidates, random-looking words of 20 or more characters. For each
 candidate value it keeps a 128-bit hash. Hashes are counted over the corpus by
-distinct repositories (documents) and owners (their source). A value of at
-most ``max_owners`` owners is owner-specific: if it also looks random it
-counts as live. A value of more owners is an example. Live candidates outside
-the fixed kinds become spans of kind ``owned``.
+distinct repositories (documents by their id) and owners (their source). A
+value of at most ``max_owners`` owners and ``max_repositories`` repositories is
+owner-specific: if it also looks random it counts as live. A value of more
+owners or more repositories is an example, also when a single source holds all
+its copies. Live candidates outside the fixed kinds become spans of kind
+``owned``.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from ordersight.llm.common import stored
 
 KINDS = ("assign", "access", "hex", "owned")
 MAX_OWNERS = 2
+#: Documents that may hold an owner-specific value: an owner may use it in a few places.
+MAX_REPOSITORIES = 5
 #: Bits a character for a value to look random.
 LIVE_BITS = 3.0
 
@@ -98,24 +102,28 @@ def candidates(df: DataFrame, id_col: str, text_col: str, owner_col: str) -> Dat
 
 
 def ownership(values: DataFrame) -> DataFrame:
-    """(value, repositories, owners) from one row per document and value; hot values are summed before they move.
+    """(value, repositories, owners) from rows of value, repository and owner, both distinct; rows of a hot value are dealt by all of them.
 
     A null owner is one owner of its own.
     """
-    by_owner = values.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return by_owner.groupBy("value").agg(F.sum("n").alias("repositories"), F.count(F.lit(1)).alias("owners"))
+    # A struct is never null, so a null owner counts.
+    return values.groupBy("value").agg(F.count_distinct(F.struct("repository")).alias("repositories"), F.count_distinct(F.struct("owner")).alias("owners"))
 
 
-def find_secrets(df: DataFrame, id_col: str, text_col: str, owner_col: str, max_owners: int = MAX_OWNERS) -> DataFrame:
+def find_secrets(df: DataFrame, id_col: str, text_col: str, owner_col: str, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """One row per document: id_col, base and all spans, and how many base values are live or examples.
 
     Columns: ``base`` and ``spans`` (array<struct<start,end,kind>>, kind as an
     index into KINDS), ``n_live``, ``n_example``. A null text counts as empty;
-    rows that share an id stay rows of their own; no rows give no rows.
+    rows that share an id stay rows of their own, but are one repository; a row
+    without an id is a repository of its own; no rows give no rows.
     """
     scanned = stored(candidates(df, id_col, text_col, owner_col).withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
-    values = scanned.filter(F.size("cands") > 0).select("row", "owner", F.explode(F.array_distinct(F.col("cands.value"))).alias("value"))
-    owned = values.join(ownership(values), "value").filter(F.col("owners") <= max_owners)
+    # Without an id the row stands in for it.
+    repository = F.struct("id", F.when(F.col("id").isNull(), F.col("row")).alias("row"))
+    values = scanned.filter(F.size("cands") > 0).select("row", "owner", repository.alias("repository"), F.explode(F.array_distinct(F.col("cands.value"))).alias("value"))
+    few = ownership(values).filter((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).select("value")
+    owned = values.select("row", "value").join(few, "value")
     per_row = owned.groupBy("row").agg(F.collect_list("value").alias("own"))
     kept = scanned.join(per_row, "row", "left").withColumn("own", F.coalesce("own", F.array().cast("array<string>")))
     span = lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"))

@@ -157,3 +157,16 @@ def test_secret_query_counts_owners(spark, tmp_path):
     assert by[12]["n_live"] == 2 and by[12]["n_example"] == 0
     assert by[20]["n_example"] == 1 and by[20]["n_live"] == 0
     assert secrets.find_secrets(spark.createDataFrame([], "a long, b string, c string"), "a", "b", "c").count() == 0
+
+
+def test_copies_inside_one_source_are_examples(spark):
+    copied, own, again, nameless = "Zk93jfKs02LmQx7TbV1w4", "Aq81mZpRs55TnXy2KcW9e", "Wd47bNcVt36HgJf8RzP0q", "Ym52xLqDs90KvBw6TnC3h"
+    rows = [(i, f"see {copied} and token={copied}", "s1") for i in range(secrets.MAX_REPOSITORIES + 1)]
+    rows += [(100 + i, f"only {own} mine {i}", "s1") for i in range(secrets.MAX_REPOSITORIES)]
+    rows += [(200, f"row {i} of one document: {again}", "s1") for i in range(20)]
+    rows += [(None, f"no id {nameless}", "s2") for _ in range(secrets.MAX_REPOSITORIES + 1)]
+    got = secrets.find_secrets(spark.createDataFrame(rows, "a long, b string, c string"), "a", "b", "c").collect()
+    kinds = {}
+    for r in got:
+        kinds.setdefault(None if r["a"] is None else r["a"] // 100, set()).add((tuple(secrets.KINDS[s["kind"]] for s in r["spans"]), r["n_live"], r["n_example"]))
+    assert kinds == {0: {(("assign",), 0, 1)}, 1: {(("owned",), 0, 0)}, 2: {(("owned",), 0, 0)}, None: {((), 0, 0)}}
