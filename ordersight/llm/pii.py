@@ -4,8 +4,10 @@ Nodes are the *mentions* of a document: the fixed-rule spans (e-mail, IP,
 card, phone) and whatever else might be one: numbers of seven or more digits
 and words with an at sign that either resemble another mention or look like a
 kind themselves (a plus sign, brackets, a valid check digit), say a phone
-number that the fixed rule lost as another number follows it. All other text
-can only be "other", so it needs no node. A linear chain joins neighbouring
+number that the fixed rule lost as another number follows it. In a stretch of
+several blank-separated numbers, those runs of parts are mentions that equal
+another number of the document or make up a card. All other text can only be
+"other", so it needs no node. A linear chain joins neighbouring
 mentions; skip edges join each mention to the previous one with the same
 value (``exact``) or the same last seven digits or mail name (``similar``),
 however far away. Labels are "other" and the four kinds. Loopy belief
@@ -59,6 +61,13 @@ _NUMBER = re.compile(r"(?<![A-Za-z0-9])\+?[0-9](?:[\x20().-]{0,2}[0-9]){6,}(?![A
 _PART = re.compile(r"[^\x20]+")
 #: Digits of the shortest mention, and of the longest phone and card.
 LEAST_DIGITS, PHONE_DIGITS, CARD_DIGITS = 7, 15, 19
+#: Digits of the shortest card, and of the groups it is printed in (the last may be shorter).
+LEAST_CARD, CARD_GROUP = 12, 3
+#: Usual groups of a card, and first digits of the usual issuers.
+_GROUPS = frozenset({(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)})
+_ISSUERS = frozenset("3456")
+#: What a run of parts counts when runs overlap: equal to a fixed-rule span, a usual card, equal to another number, usual groups, any card.
+SAME, USUAL_CARD, KNOWN, USUAL_GROUPS, ANY_CARD = 1000, 100, 20, 10, 1
 _HANDLE = re.compile(r"@[A-Za-z0-9-]+")
 _DIGITS = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
@@ -144,23 +153,96 @@ def _features(text: str) -> list[int]:
     return out
 
 
-def _numbers(text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
-    """Numbers in text[a:b]; a stretch too long for one card is parted at its blanks, a leading phone kept together."""
-    for m in _NUMBER.finditer(text, a, b):
-        if len(_NOT_DIGIT.sub("", m[0])) <= CARD_DIGITS:
-            yield m.span()
+def _numbers(text: str, gaps: list[tuple[int, int]], base: list[Span]) -> list[list[tuple[int, int]]]:
+    """Numbers in each gap between the spans of ``base``; stretches of several parts are cut by what the document shows."""
+    digits = lambda a, b: _NOT_DIGIT.sub("", text[a:b])
+    stretches = [[(*m.span(), _NOT_DIGIT.sub("", m[0])) for m in _NUMBER.finditer(text, a, b)] for a, b in gaps]
+    sure = {digits(a, b) for a, b, k in base if k >= 2}
+    known = {d for found in stretches for _, _, d in found if len(d) <= CARD_DIGITS}
+    return [[n for a, b, d in found for n in _cut(text, a, b, d, sure, known)] for found in stretches]
+
+
+def _cut(text: str, a: int, b: int, digits: str, sure: set[str], known: set[str]) -> Iterator[tuple[int, int]]:
+    """Numbers in the stretch text[a:b]: runs of its parts that are cards or equal another number, and the rest between them."""
+    parts = [m.span() for m in _PART.finditer(text, a, b)]
+    card = text[a] != "+" and LEAST_CARD <= len(digits) <= CARD_DIGITS and luhn(digits)
+    if len(parts) == 1 or digits in sure or card:
+        yield a, b
+        return
+    at = 0
+    for i, j in _runs(text, parts, digits, sure, known):
+        yield from _rest(text, parts[at:i])
+        # Brackets and dots at the ends belong to what is around a card.
+        x, y = parts[i][0], parts[j - 1][1]
+        while text[x] != "+" and not _DIGITS.match(text, x):
+            x += 1
+        while not _DIGITS.match(text, y - 1):
+            y -= 1
+        yield x, y
+        at = j
+    yield from _rest(text, parts[at:])
+
+
+def _runs(text: str, parts: list[tuple[int, int]], digits: str, sure: set[str], known: set[str]) -> list[tuple[int, int]]:
+    """The disjoint runs of ``parts`` (from, to), not all of them together, that count most: cards and what equals another number."""
+    n, sizes = len(parts), [len(_NOT_DIGIT.sub("", text[a:b])) for a, b in parts]
+    ends = [0]
+    for size in sizes:
+        ends.append(ends[-1] + size)
+    # Check sums up to a digit, with the digits at even or at odd places doubled.
+    sums = ([0], [0])
+    for i, c in enumerate(digits):
+        d = ord(c) - 48
+        for odd in (0, 1):
+            sums[odd].append(sums[odd][-1] + (d if i % 2 != odd else 2 * d if d < 5 else 2 * d - 9))
+
+    def count(i: int, j: int) -> int:
+        x, y = ends[i], ends[j]
+        if y - x < LEAST_DIGITS or (i, j) == (0, n):
+            return 0
+        if digits[x:y] in sure:
+            return SAME
+        again = KNOWN if digits[x:y] in known else 0
+        # The last digit is not doubled, the one before it is.
+        if y - x < LEAST_CARD or text[parts[i][0]] == "+" or (sums[y % 2][y] - sums[y % 2][x]) % 10 or min(sizes[i : j - 1], default=CARD_GROUP) < CARD_GROUP:
+            return again
+        usual = j == i + 1 or tuple(sizes[i:j]) in _GROUPS
+        return USUAL_CARD if usual and digits[x] in _ISSUERS else max(again, USUAL_GROUPS if usual else ANY_CARD)
+
+    best, choice = [0] * (n + 1), [0] * n
+    for i in reversed(range(n)):
+        best[i], j = best[i + 1], i + 1
+        while j <= n and ends[j] - ends[i] <= CARD_DIGITS:
+            if (c := count(i, j)) and c + best[j] >= best[i]:
+                best[i], choice[i] = c + best[j], j
+            j += 1
+    out, i = [], 0
+    while i < n:
+        if choice[i]:
+            out.append((i, choice[i]))
+        i = choice[i] or i + 1
+    return out
+
+
+def _rest(text: str, parts: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What ``parts`` without a card hold: one number if it is no longer than one, else a leading phone and the long parts."""
+    if not parts:
+        return
+    sizes = [len(_NOT_DIGIT.sub("", text[a:b])) for a, b in parts]
+    if sum(sizes) <= (PHONE_DIGITS if text[parts[0][0]] == "+" else CARD_DIGITS):
+        if sum(sizes) >= LEAST_DIGITS:
+            yield parts[0][0], parts[-1][1]
+        return
+    held: list[int] | None = None
+    for (a, b), n in zip(parts, sizes):
+        if held and text[held[0]] == "+" and held[2] + n <= PHONE_DIGITS:
+            held = [held[0], b, held[2] + n]
             continue
-        held: list[int] | None = None
-        for part in _PART.finditer(text, *m.span()):
-            n = len(_NOT_DIGIT.sub("", part[0]))
-            if held and text[held[0]] == "+" and held[2] + n <= PHONE_DIGITS:
-                held = [held[0], part.end(), held[2] + n]
-                continue
-            if held and held[2] >= LEAST_DIGITS:
-                yield held[0], held[1]
-            held = [part.start(), part.end(), n]
         if held and held[2] >= LEAST_DIGITS:
             yield held[0], held[1]
+        held = [a, b, n]
+    if held and held[2] >= LEAST_DIGITS:
+        yield held[0], held[1]
 
 
 def mentions(text: str, base: list[Span], plain_ones: bool = False) -> Mentions:
@@ -176,8 +258,7 @@ def mentions(text: str, base: list[Span], plain_ones: bool = False) -> Mentions:
             gaps.append((at, a))
         at = max(at, b)
     gaps.append((at, len(text)))
-    for a, b in gaps:
-        taken = list(_numbers(text, a, b))
+    for (a, b), taken in zip(gaps, _numbers(text, gaps, base)):
         found += [(x, y, -1) for x, y in taken]
         if text.find("@", a, b) >= 0:
             for m in _HANDLE.finditer(text, a, b):

@@ -170,3 +170,46 @@ def test_copies_inside_one_source_are_examples(spark):
     for r in got:
         kinds.setdefault(None if r["a"] is None else r["a"] // 100, set()).add((tuple(secrets.KINDS[s["kind"]] for s in r["spans"]), r["n_live"], r["n_example"]))
     assert kinds == {0: {(("assign",), 0, 1)}, 1: {(("owned",), 0, 0)}, 2: {(("owned",), 0, 0)}, None: {((), 0, 0)}}
+
+
+def _mentioned(text):
+    return [text[a:b] for a, b, _ in pii.mentions(text, pii.base_spans(text), plain_ones=True).spans]
+
+
+def test_grouped_cards_beside_other_numbers_are_mentions():
+    visa, master, amex, phone = "4111 1111 1111 1111", "5500 0000 0000 0004", "3782 822463 10005", "+1 (212) 555-7713"
+    cases = {
+        f"{visa} {master}": [visa, master],
+        f"{visa}. {master}) {amex} 2024": [visa, master, amex],
+        f"id 20240101 {visa}": ["20240101", visa],
+        f"{phone} {visa}": [phone, visa],
+        f"{phone} 20240101 {visa}": [phone, "20240101", visa],
+        f"{phone} 20240101": [phone, "20240101"],
+        f"212 555 7713 {visa}": ["212 555 7713", visa],
+        f"{visa} 123": [visa],
+        f"2024 {amex}": [amex],
+        "212 555 7713 or 99 212 555 7713 12": ["212 555 7713", "212 555 7713"],
+        f"call {phone}, {phone} 2024 17": [phone, phone],
+        "12 34 56 78 90 12 34 56 78 90 12 34 56 78": [],
+        "+1 (212) 555-7713 1234567890123": [phone, "1234567890123"],
+    }
+    for text, want in cases.items():
+        assert _mentioned(text) == want, text
+    model = pii.train([pii.mentions(t, pii.base_spans(t), plain_ones=True) for t in _corpus()])
+    for text, want in {f"{visa} {master}": [(visa, 2), (master, 2)], f"{phone} {visa}": [(phone, 3), (visa, 2)], f"id 20240101 {visa}": [(visa, 2)], f"{visa} 123": [(visa, 2)]}.items():
+        assert [(text[a:b], k) for a, b, k in pii.added_spans(model, [pii.mentions(text, pii.base_spans(text))])[0]] == want, text
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.text("0123456789", min_size=1, max_size=8), st.sampled_from([" ", "  ", "-", ". "])), min_size=1, max_size=12))
+def test_runs_count_most_and_hold_check_digits(groups):
+    text = "".join(g + sep for g, sep in groups) + "7"
+    parts = [m.span() for m in re.finditer(r"[^ ]+", text)]
+    digits = re.sub("[^0-9]", "", text)
+    size = lambda i, j: re.sub("[^0-9]", "", text[parts[i][0] : parts[j - 1][1]])
+    runs = pii._runs(text, parts, digits, set(), set())
+    assert all(i < j and 12 <= len(size(i, j)) <= 19 and _luhn(size(i, j)) for i, j in runs) and all(x[1] <= y[0] for x, y in zip(runs, runs[1:]))
+    for i in range(len(parts)):
+        for j in range(i + 1, len(parts) + 1):
+            if (i, j) != (0, len(parts)) and 12 <= len(d := size(i, j)) <= 19 and _luhn(d) and all(len(size(k, k + 1)) >= 3 for k in range(i, j - 1)):
+                assert any(x < j and i < y for x, y in runs)
