@@ -213,3 +213,17 @@ def test_runs_count_most_and_hold_check_digits(groups):
         for j in range(i + 1, len(parts) + 1):
             if (i, j) != (0, len(parts)) and 12 <= len(d := size(i, j)) <= 19 and _luhn(d) and all(len(size(k, k + 1)) >= 3 for k in range(i, j - 1)):
                 assert any(x < j and i < y for x, y in runs)
+
+
+def test_labels_reach_the_end_of_long_chains():
+    n, weak, strong = 120, np.zeros((pii.LABELS, pii.LABELS)), 6 * np.eye(pii.LABELS)
+    model = pii.Model(np.zeros((len(pii.FEATURES), pii.LABELS)), np.stack([weak, weak, strong]))
+    long = pii.Mentions([(2 * i, 2 * i + 1, 3 if i == 0 else 0) for i in range(n)], [[0]] * n, [(i, i + 1, 2) for i in range(n - 1)])
+    short = pii.Mentions([(0, 1, 3), (2, 3, 0)], [[0]] * 2, [(0, 1, 2)])
+    step = np.exp(strong) / np.exp(strong).sum(1, keepdims=True)
+    want = [np.eye(pii.LABELS)[3]]
+    for _ in range(n - 1):
+        want.append(want[-1] @ step)
+    got = pii.marginals(model, [short, long, short])
+    assert np.allclose(got[2 : n + 2], want, atol=1e-2) and np.allclose(got[[1, -1]], want[1], atol=1e-3)
+    assert got[n + 1].argmax() == 3
