@@ -39,18 +39,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hashed_sample(df: DataFrame, by: list[str], n: int, over: int = 4) -> DataFrame:
-    """At most ``n`` rows of ``df``: those with the smallest hashes of the columns ``by``.
+def hashed_sample(df: DataFrame, by: list[str], n: int, over: int = 4, distinct: bool = False) -> DataFrame:
+    """At most ``n`` rows of ``df``: those with the smallest hashes of the columns ``by``; with ``distinct`` one row for equal ones.
 
     Rows are first thinned by hash to about ``over`` times ``n``, so that tasks
     pass on few rows each, however many tasks there are.
     """
-    return thinned(df, by, over * n).orderBy(F.xxhash64(*by), *by).limit(n)
+    rows = thinned(df, by, over * n, distinct)
+    return (rows.dropDuplicates(by) if distinct else rows).orderBy(F.xxhash64(*by), *by).limit(n)
 
 
-def thinned(df: DataFrame, by: list[str], n: int) -> DataFrame:
-    """About ``n`` rows of ``df`` (all, if it has fewer), picked by hash of the columns ``by``."""
-    rows = df.count()
+def thinned(df: DataFrame, by: list[str], n: int, distinct: bool = False) -> DataFrame:
+    """About ``n`` rows of ``df`` (all, if it has fewer), picked by hash of the columns ``by``.
+
+    With ``distinct`` rows that are equal in ``by`` count as one; either all or none of them are picked.
+    """
+    rows = df.agg(F.approx_count_distinct(F.xxhash64(*by), 0.02)).first()[0] if distinct else df.count()
     if rows <= n:
         return df
     return df.filter(F.pmod(F.xxhash64(*by), F.lit(1 << 40)) < F.lit(int(n / rows * (1 << 40))))

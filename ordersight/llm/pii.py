@@ -410,14 +410,18 @@ def added_spans(model: Model, graphs: list[Mentions], min_probability: float = M
 def training_graphs(df: DataFrame, text_col: str, docs: int = SAMPLE_DOCS, most: int = SAMPLE_MENTIONS) -> list[Mentions]:
     """Mention graphs of at most ``docs`` documents in which a fixed rule fired, with at most ``most`` mentions.
 
-    About SAMPLE_LOOKED_AT documents, picked by the hash of their text, are
-    searched for them. Only the graphs reach the driver.
+    About SAMPLE_LOOKED_AT different texts, picked by their hash, are searched
+    for them; copies count once. Only the graphs reach the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             rows = []
             for order, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if order in seen:
+                    continue
+                seen.add(order)
                 text = value.as_py() or ""
                 if base := base_spans(text):
                     g = mentions(text, base, plain_ones=True)
@@ -425,9 +429,9 @@ def training_graphs(df: DataFrame, text_col: str, docs: int = SAMPLE_DOCS, most:
                         rows.append((order, pickle.dumps((g.spans, g.features, g.edges))))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["hash", "graph"])
 
-    texts = thinned(df.select(F.col(text_col).cast("string").alias("text")), ["text"], SAMPLE_LOOKED_AT)
+    texts = thinned(df.select(F.col(text_col).cast("string").alias("text")), ["text"], SAMPLE_LOOKED_AT, distinct=True)
     rows = texts.select(F.xxhash64("text").alias("hash"), "text")
-    picked = rows.mapInArrow(run, "hash long, graph binary").orderBy("hash", "graph").limit(docs).collect()
+    picked = rows.mapInArrow(run, "hash long, graph binary").dropDuplicates(["hash"]).orderBy("hash", "graph").limit(docs).collect()
     return [Mentions(*pickle.loads(r["graph"])) for r in picked]
 
 

@@ -99,14 +99,14 @@ def train(rows: Sequence[tuple[str, str, int]], steps: int = 200, rate: float =
 
 
 def labelled_urls(df: DataFrame, url_col: str, rules: Sequence[tuple[str, str, str]] = RULES, each: int = SAMPLE_URLS) -> list[tuple[str, str, int]]:
-    """(host, path, 1 for block) of at most ``each`` URLs of either verdict, those with the smallest hashes."""
+    """(host, path, 1 for block) of at most ``each`` different URLs of either verdict, those with the smallest hashes."""
     rows = df.select(host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"))
     rows = rows.select("host", "path", rule_index(F.col("host"), F.col("path"), rules).alias("rule"))
     verdict = F.get(F.array(*(F.lit(int(v == "block")) for v, _, _ in rules)), F.col("rule"))
     rows = rows.filter("rule is not null").select("host", "path", verdict.alias("block"))
     out = []
     for label in (0, 1):
-        picked = hashed_sample(rows.filter(F.col("block") == label), ["host", "path"], each)
+        picked = hashed_sample(rows.filter(F.col("block") == label), ["host", "path"], each, distinct=True)
         out += [tuple(r) for r in picked.collect()]
     return out
 

@@ -227,3 +227,13 @@ def test_labels_reach_the_end_of_long_chains():
     got = pii.marginals(model, [short, long, short])
     assert np.allclose(got[2 : n + 2], want, atol=1e-2) and np.allclose(got[[1, -1]], want[1], atol=1e-3)
     assert got[n + 1].argmax() == 3
+
+
+def test_copies_count_once_in_the_training_sample(spark):
+    texts = [f"number {i} of 4111 1111 1111 1111" for i in range(40)]
+    copied = spark.createDataFrame([(t,) for t in texts] + [(t,) for t in texts[:20]] * 50, "text string").repartition(4)
+    got = pii.training_graphs(copied, "text", docs=30)
+    assert len(got) == 30 and len({repr(g) for g in pii.training_graphs(copied.limit(0), "text")}) == 0
+    once = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert sorted(map(repr, got)) == sorted(map(repr, pii.training_graphs(once, "text", docs=30)))
+    assert len(pii.training_graphs(copied, "text")) == 40

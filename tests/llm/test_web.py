@@ -128,3 +128,11 @@ def test_model_on_unseen_urls():
     make = lambda bad: (f"{''.join(rng.choice('abcdefgh') for _ in range(6))}.{'casino-win' if bad else 'library'}.example", f"/{rng.randint(1, 999)}/", int(bad))
     model = urls.train([make(i % 2 == 0) for i in range(200)])
     assert np.mean([(model.blocks(h, p) > 0.5) == bool(y) for h, p, y in (make(i % 3 == 0) for i in range(200))]) > 0.97
+
+
+def test_copies_of_a_url_count_once_in_the_labelled_table(spark):
+    addresses = [f"http://x{i}.{'net' if i % 2 else 'example.com'}/de/{i}" for i in range(200)]
+    once = spark.createDataFrame([(u,) for u in addresses], "url string")
+    copied = once.union(once.filter("url like '%/de/1%'").crossJoin(spark.range(300)).select("url"))
+    table = sorted(urls.labelled_urls(once, "url", each=60))
+    assert sorted(urls.labelled_urls(copied, "url", each=60)) == table and len(table) == len(set(table)) > 30
