@@ -44,14 +44,19 @@ Piece = tuple[int, int, int]
 
 
 class WordTokenizer:
-    """Ids of a tokenizer whose pre-tokens never span white space, remembered by stretch."""
+    """Ids of a tokenizer whose pre-tokens never span white space, remembered by stretch.
+
+    Added tokens written out in a text, such as ``<|endoftext|>``, get their
+    own ids, as the tokenizer does by default; such a text goes through it whole.
+    """
 
     def __init__(self, data: bytes, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(data)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([_ODD_SPACE.pattern, *map(re.escape, added)]))
         self.end = np.array([end_id], "<u4").tobytes()
         self.memo: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -72,7 +77,7 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` and the end id, as little-endian unsigned 32-bit words."""
-        if _ODD_SPACE.search(text):
+        if self.whole.search(text):
             return self._ids(text).tobytes() + self.end
         words = text.split()
         memo, before = self.memo, self.before

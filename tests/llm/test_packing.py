@@ -88,3 +88,16 @@ def test_memo_turns_over(monkeypatch):
     for i in range(30):
         text = f"w{i} w{i - 1} w{i - 7} common {'long' * 20}"
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == _reference(text)
+
+
+DEFAULT = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "a", "Bc", " ", "\n", "\xa0", "é"]), max_size=12).map("".join))
+def test_added_tokens_equal_the_default_library(text):
+    assert np.frombuffer(CODER.encode(text), "<u4").tolist() == [*DEFAULT.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_added_tokens_have_their_ids():
+    assert np.frombuffer(CODER.encode("a<|endoftext|>b <|startoftext|>"), "<u4").tolist()[1::2] == [49407, 49406]
