@@ -37,8 +37,8 @@ from ordersight.llm.common import stored
 WORDS = 5
 SIMILARITY = 0.8
 SAMPLES, BANDS = 64, 16
-#: Sketch agreement below which a pair is not verified: three deviations under SIMILARITY.
-AGREEMENT = 0.65
+#: Sketch agreement below which a pair is not verified: more than four deviations under SIMILARITY, where the screen loses far less than the bands.
+AGREEMENT = 0.58
 #: idf runs from 1 (in every document) to 1 + IDF_RANGE (in at most FREQUENT of them).
 IDF_RANGE = 0.25
 FREQUENT = 0.02

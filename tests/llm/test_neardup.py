@@ -127,3 +127,10 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(bytearray(name(i)), bytearray(name(i + 1))) for i in range(n)], "a binary, b binary")
     got = {bytes(r["node"]): bytes(r["component"]) for r in nd.components(links).collect()}
     assert got == {name(i): min(name(j) for j in range(n + 1)) for i in range(n + 1)}
+
+
+def test_screen_loses_far_less_than_the_bands():
+    for similarity in (nd.SIMILARITY, 0.81, 0.85, 0.9):
+        hit, need = similarity + (1 - similarity) / 256, math.ceil(nd.AGREEMENT * nd.SAMPLES)
+        screen = sum(math.comb(nd.SAMPLES, k) * hit**k * (1 - hit) ** (nd.SAMPLES - k) for k in range(need))
+        assert screen < 0.25 * (1 - similarity ** (nd.SAMPLES // nd.BANDS)) ** nd.BANDS
