@@ -120,25 +120,26 @@ def file_listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """One row per parquet file that holds rows: name, path, bytes, MB (2 dp) and row count.
+    """One row per parquet file, also without rows: name, path, bytes, MB (2 dp) and row count.
 
-    One scan without data columns (parquet answers from footers), grouped by
-    the file's own metadata; paths are as Spark writes them, URL-encoded.
+    The file listing, joined with one scan without data columns (parquet
+    answers from footers); both take the path from the file's own metadata, so
+    it is encoded alike, as Spark writes it.
     """
-    meta = _scan(spark, [path], False).select(
+    counts = _scan(spark, [path], False).groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", PARQUET_GLOB).load(path).select(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("size_bytes"),
     )
     return (
-        meta.groupBy("file_name", "file_path", "size_bytes")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        files.join(counts, "file_path", "left")
         .select(
             "file_name",
             "file_path",
             "size_bytes",
             F.round(F.col("size_bytes") / F.lit(1024 * 1024), 2).alias("size_mb"),
-            "n_rows",
+            F.coalesce("n", F.lit(0)).alias("n_rows"),
         )
         .orderBy("file_path")
     )

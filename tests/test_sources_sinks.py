@@ -219,3 +219,15 @@ def test_single_line(spark):
 
     df = spark.createDataFrame([("a\nb\nc",), ("plain",), ("",), (None,)], "t string")
     assert [r[0] for r in df.select(single_line(F.col("t"))).collect()] == ["a, b, c", "plain", "", None]
+
+
+def test_files_without_rows_are_in_the_inventory(spark, tmp_dir):
+    path = tmp_dir + "/some empty & odd+"
+    generate_orders(spark, 100, partitions=2).write.parquet(path)
+    generate_orders(spark, 100, partitions=1).limit(0).write.mode("append").parquet(path)
+    files = [name for name in os.listdir(path) if name.endswith(".parquet")]
+    inv = {r["file_name"]: r for r in file_inventory(spark, path).collect()}
+    assert sorted(inv) == sorted(files) and sorted(r["n_rows"] > 0 for r in inv.values()) == [False, True, True]
+    assert all(r["size_bytes"] == os.path.getsize(f"{path}/{name}") for name, r in inv.items())
+    total = file_summary(spark, path).collect()[-1]
+    assert total["is_total"] and total["n_rows"] == 100 and total["size_bytes"] == sum(os.path.getsize(f"{path}/{name}") for name in files)
