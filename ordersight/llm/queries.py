@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe, covertree, fingerprints, neardup, packing, pii, quality, secrets, spans, urls, warc
+from ordersight.llm import bpe, covertree, fingerprints, merkle, neardup, packing, pii, quality, secrets, spans, urls, warc
 from ordersight.llm.common import scratch, table, vocabulary
 
 
@@ -109,6 +109,13 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covertree.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", lambda i: i % 50 == 0, 5)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash tree over all documents, each row's proof, and what a tampered text folds to."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.manifest(docs, "doc_id", "lang", ["doc_id", "source", "lang", "n_chars", "text"], "text", tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
@@ -120,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
+    "op11_merkle": op11_merkle,
 }
 
 #: DuckDB SQL for those queries that SQL can express.
