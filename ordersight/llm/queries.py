@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe, covertree, fingerprints, merkle, neardup, packing, pii, quality, secrets, spans, urls, warc
+from ordersight.llm import bpe, covertree, fingerprints, merkle, neardup, packing, pii, quality, secrets, simhash, spans, urls, warc
 from ordersight.llm.common import scratch, table, vocabulary
 
 
@@ -116,6 +116,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, "doc_id", "lang", ["doc_id", "source", "lang", "n_chars", "text"], "text", tampered)
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SimHash of every document and the class it belongs to."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
@@ -128,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_top_k": op10_top_k,
     "op11_merkle": op11_merkle,
+    "op12_simhash": op12_simhash,
 }
 
 #: DuckDB SQL for those queries that SQL can express.
