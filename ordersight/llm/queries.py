@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe, covertree, fingerprints, merkle, neardup, packing, pii, quality, secrets, simhash, spans, urls, warc
+from ordersight.llm import bpe, conversations, covertree, fingerprints, merkle, neardup, packing, pii, quality, secrets, simhash, spans, urls, warc
 from ordersight.llm.common import scratch, table, vocabulary
 
 
@@ -121,6 +121,11 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage every conversation, repair it by the cheapest edits, audit them."""
+    return conversations.repaired(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
@@ -134,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_top_k": op10_top_k,
     "op11_merkle": op11_merkle,
     "op12_simhash": op12_simhash,
+    "op13_conversations": op13_conversations,
 }
 
 #: DuckDB SQL for those queries that SQL can express.
