@@ -6,7 +6,6 @@ import hashlib
 import itertools
 import random
 import re
-import sys
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -48,7 +47,9 @@ def plain_repair(symbols: str) -> tuple[int, str]:
                     take("K", cut, go(i + 1, 1, 0))
         return min(options, default=(10**9, ""))
 
-    sys.setrecursionlimit(20_000)
+    for i in range(len(symbols), -1, -1):  # from the end, so that nothing recurses far
+        for state in range(4):
+            go(i, state, 0)
     return go(0, 0, 0)
 
 
