@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 
 _ROOT = os.path.dirname(os.path.abspath(__file__))
 if _ROOT not in sys.path:
@@ -25,14 +26,12 @@ from ordersight.sources import synth as S  # noqa: E402
 from ordersight.sources.star import orders_from_star  # noqa: E402
 
 # The training-data package is optional: without it the other queries stand alone.
-try:
+# Only its absence is passed over; an operator that cannot be imported fails here.
+_llm = _pipeline = None
+if find_spec("ordersight.llm") is not None and find_spec("ordersight.llm.queries") is not None:
     from ordersight.llm import queries as _llm
-except ImportError:
-    _llm = None
-try:
-    import corpus_pipeline as _pipeline
-except ImportError:
-    _pipeline = None
+    if find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline as _pipeline
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -198,6 +197,84 @@ def _histogram(bins: int = 50) -> str:
     )
 
 
+def _nice_histogram(bins: int = 50) -> str:
+    v = "v AS (SELECT CAST(final_amount * 100 AS BIGINT) AS c FROM wide WHERE final_amount IS NOT NULL)"
+    b = "b AS (SELECT min(c) AS lo, max(c) AS hi FROM v)"
+    steps = "s AS (SELECT CAST(d * 10 ** k AS BIGINT) AS s FROM (SELECT unnest([1, 2, 5]) AS d), (SELECT unnest(range(17)) AS k))"
+    down = lambda x, s: f"CAST(({x} - (({x} % {s}) + {s}) % {s}) // {s} AS BIGINT)"
+    step = f"w AS (SELECT min(s) AS s FROM s, b WHERE {down('b.hi', 's.s')} - {down('b.lo', 's.s')} < {bins})"
+    cnt = f"cnt AS (SELECT {down('v.c', 'w.s')} AS at, count(*) AS n FROM v, w GROUP BY 1)"
+    ends = f"ends AS (SELECT {down('b.lo', 'w.s')} AS first, {down('b.hi', 'w.s')} AS last, w.s AS s FROM b, w WHERE b.lo IS NOT NULL)"
+    grid = "grid AS (SELECT unnest(range(first, last + 1)) AS at, first, s FROM ends)"
+    return _with(v, b, steps, step, cnt, ends, grid) + (
+        "SELECT g.at - g.first AS bucket, CAST(g.at * g.s AS DOUBLE) / 100 AS bucket_low, "
+        "CAST((g.at + 1) * g.s AS DOUBLE) / 100 AS bucket_high, coalesce(cnt.n, 0) AS n FROM grid g LEFT JOIN cnt ON cnt.at = g.at"
+    )
+
+
+def _co_purchase() -> str:
+    return _with(
+        "bought AS (SELECT DISTINCT customer_id AS c, product_id AS p FROM wide WHERE customer_id IS NOT NULL AND product_id IS NOT NULL)",
+        "buyers AS (SELECT p, count(*) AS n FROM bought GROUP BY 1)",
+        "pairs AS (SELECT x.p AS product, y.p AS partner, count(*) AS together FROM bought x JOIN bought y ON x.c = y.c AND x.p <> y.p "
+        f"GROUP BY 1, 2 HAVING count(*) >= {R.MIN_TOGETHER})",
+        "lifts AS (SELECT product, partner, together, "
+        "CAST(together * (SELECT count(DISTINCT c) FROM bought) AS DOUBLE) / CAST(a.n * b.n AS DOUBLE) AS lift "
+        "FROM pairs JOIN buyers a ON a.p = product JOIN buyers b ON b.p = partner)",
+        "ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY product ORDER BY lift DESC, together DESC, partner) AS INTEGER) AS rank FROM lifts)",
+    ) + f"SELECT product, partner, rank, together, lift FROM ranked WHERE rank <= {R.PARTNERS}"
+
+
+def _seasonal() -> str:
+    return _with(
+        "monthly AS (SELECT date_trunc('month', order_date) AS m, count(*) AS n, coalesce(sum(final_amount), 0) AS amount "
+        "FROM wide WHERE order_date IS NOT NULL GROUP BY 1)",
+        "spine AS (SELECT unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS m FROM monthly)",
+        "dense AS (SELECT s.m, coalesce(n, 0) AS n, CAST(coalesce(amount, 0) AS DECIMAL(28,2)) AS amount FROM spine s LEFT JOIN monthly q ON q.m = s.m)",
+        "w AS (SELECT m, n, amount, lag(amount, 12) OVER (ORDER BY m) AS before, "
+        "CAST(sum(amount) OVER (PARTITION BY month(m)) AS DOUBLE) * count(*) OVER () AS season, "
+        "CAST(sum(amount) OVER () AS DOUBLE) * count(*) OVER (PARTITION BY month(m)) AS average FROM dense)",
+    ) + (
+        "SELECT strftime(m, '%Y-%m') AS order_month, n AS order_count, CAST(amount AS DOUBLE) AS revenue, "
+        "CAST(before AS DOUBLE) AS last_year, CASE WHEN before <> 0 THEN CAST(amount - before AS DOUBLE) / CAST(before AS DOUBLE) END AS change, "
+        "CASE WHEN average <> 0 THEN season / average END AS seasonal_index FROM w"
+    )
+
+
+def _geo() -> str:
+    return _with(
+        "g AS (SELECT shipping_country, shipping_state, grouping(shipping_country, shipping_state) AS gid, count(*) AS order_count, "
+        "count(DISTINCT customer_id) AS customers, coalesce(sum(final_amount), 0) AS amount FROM wide "
+        "GROUP BY ROLLUP (shipping_country, shipping_state))",
+    ) + (
+        "SELECT CASE g.gid WHEN 0 THEN 'state' WHEN 1 THEN 'country' ELSE 'total' END AS level, g.shipping_country, g.shipping_state, "
+        "g.order_count, g.customers, CAST(g.amount AS DOUBLE) AS revenue, "
+        "CASE WHEN p.amount <> 0 THEN CAST(g.amount AS DOUBLE) / CAST(p.amount AS DOUBLE) END AS share_of_parent "
+        "FROM g LEFT JOIN g p ON (g.gid = 0 AND p.gid = 1 AND p.shipping_country IS NOT DISTINCT FROM g.shipping_country) OR (g.gid = 1 AND p.gid = 3)"
+    )
+
+
+def _value_bands() -> str:
+    return _with(
+        "c AS (SELECT customer_id, count(*) AS order_count, coalesce(sum(final_amount), 0) AS v, count(final_amount) AS n, "
+        "min(order_date) AS f, max(order_date) AS l FROM wide WHERE customer_id IS NOT NULL GROUP BY 1)",
+    ) + (
+        "SELECT customer_id, order_count, CAST(v AS DOUBLE) AS lifetime_value, CASE WHEN n > 0 THEN CAST(v AS DOUBLE) / n END AS avg_order_value, "
+        "strftime(f, '%Y-%m-%d') AS first_order, strftime(l, '%Y-%m-%d') AS last_order, "
+        f"row_number() OVER w AS value_rank, ntile({R.VALUE_BANDS}) OVER w AS value_band FROM c WINDOW w AS (ORDER BY v DESC, customer_id)"
+    )
+
+
+def _lake() -> str:
+    first, last = R.LAKE_MONTHS
+    redone = f"strftime(order_date, '%Y-%m') BETWEEN '{R.RERUN_MONTHS[0]}' AND '{R.RERUN_MONTHS[1]}'"
+    return _with() + (
+        f"SELECT strftime(order_date, '%Y-%m') AS order_month, CASE WHEN {redone} THEN order_status ELSE '?' END AS order_status, "
+        "count(*) AS order_count, CAST(sum(final_amount) AS DOUBLE) AS revenue FROM wide "
+        f"WHERE strftime(order_date, '%Y-%m') BETWEEN '{first}' AND '{last}' GROUP BY 1, 2"
+    )
+
+
 def _list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
@@ -353,6 +430,14 @@ def _orders_oracle_sql() -> dict[str, str]:
         + f"SELECT product_name, {_REVENUE} AS revenue FROM wide WHERE product_name IS NOT NULL GROUP BY 1 "
         "ORDER BY coalesce(sum(final_amount), 0) DESC, product_name ASC NULLS LAST LIMIT 10",
         "amount_histogram": _histogram(),
+        "amount_histogram_nice": _nice_histogram(),
+        "co_purchase_top": _co_purchase(),
+        "seasonal_trend": _seasonal(),
+        "geo_rollup": _geo(),
+        "customer_value_bands": _value_bands(),
+        "first_50000": W + f"SELECT {_present()} FROM wide ORDER BY order_id LIMIT {R.FIRST_ROWS}",
+        "verified_write": W + "SELECT order_status, count(*) AS n_rows, (SELECT count(*) FROM wide) AS verified_rows FROM wide GROUP BY 1",
+        "export_lake": _lake(),
         "daily_trend": W
         + f"SELECT strftime(order_date, '%Y-%m-%d') AS date, count(order_id) AS order_count, {_REVENUE} AS revenue "
         "FROM wide WHERE order_date IS NOT NULL GROUP BY order_date",
@@ -406,5 +491,5 @@ def _orders_oracle_sql() -> dict[str, str]:
     }
     nulls = ", ".join(f"CASE WHEN store_id % {n} <> 0 THEN {c} END AS {c}" for c, n in R.NULL_EVERY.items())
     holed = _WIDE.replace("\nwide AS (", "\nwhole AS (", 1) + f",\nwide AS (SELECT * REPLACE ({nulls}) FROM whole)"
-    out.update({f"nulls_{name}": out[name].replace(_WIDE, holed, 1) for name in R.NULL_QUERIES})
+    out.update({f"nulls_{name}": out[name].replace(_WIDE, holed, 1) for name in (*R.NULL_QUERIES, "customer_value_bands")})
     return out

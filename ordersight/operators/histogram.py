@@ -70,3 +70,46 @@ def amount_histogram(df: DataFrame, bins: int = 50, column: str = "final_amount"
         edge(F.col("bucket") + 1).alias("bucket_high"),
         "n",
     ).orderBy("bucket")
+
+
+#: Steps that read well, in cents: 1, 2 or 5 times a power of ten.
+NICE_STEPS = tuple(d * 10**k for k in range(17) for d in (1, 2, 5))
+
+
+def amount_histogram_nice(df: DataFrame, bins: int = 50, column: str = "final_amount") -> DataFrame:
+    """At most ``bins`` buckets of a step that reads well: bucket, bucket_low, bucket_high, n.
+
+    The step is the smallest of ``NICE_STEPS`` that covers [min, max] with at most
+    ``bins`` buckets, each of which starts at a multiple of the step. Every bucket
+    from the one of the smallest to the one of the largest value is there,
+    numbered from 0; equal values give one bucket of one cent, no values no rows.
+    """
+    if bins < 1:
+        raise ValueError("bins must be >= 1")
+    vals = df.select(cents(F.col(column)).alias("_c")).where(F.col("_c").isNotNull())
+    ends = vals.agg(F.min("_c").alias("lo"), F.max("_c").alias("hi"))
+
+    def place(value, step):
+        """The number of the step that ``value`` falls into, rounded down also below zero."""
+        return ((value - F.pmod(value, step)) / step).cast("bigint")
+
+    fits = F.filter(
+        F.array(*[F.lit(s).cast("bigint") for s in NICE_STEPS]),
+        lambda s: place(F.col("hi"), s) - place(F.col("lo"), s) < bins,
+    )
+    chosen = ends.where(F.col("lo").isNotNull()).select("lo", "hi", F.array_min(fits).alias("step"))
+    step = chosen.select("step").scalar()
+    counts = vals.select("_c", step.alias("_s")).groupBy(place(F.col("_c"), F.col("_s")).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    first, last = (place(F.col(c), F.col("step")) for c in ("lo", "hi"))
+    grid = chosen.select("step", first.alias("first"), F.explode(F.sequence(first, last)).alias("at"))
+    cent = lambda c: c.cast("double") / 100
+    return (
+        grid.join(counts, "at", "left")
+        .select(
+            (F.col("at") - F.col("first")).alias("bucket"),
+            cent(F.col("at") * F.col("step")).alias("bucket_low"),
+            cent((F.col("at") + 1) * F.col("step")).alias("bucket_high"),
+            F.coalesce("n", F.lit(0)).alias("n"),
+        )
+        .orderBy("bucket")
+    )

@@ -26,11 +26,16 @@ from ordersight.operators.filters import (
     filter_options,
     in_predicate,
 )
-from ordersight.operators.histogram import amount_histogram
+from ordersight.operators.customers import customer_value_bands
+from ordersight.operators.geography import geo_rollup
+from ordersight.operators.histogram import amount_histogram, amount_histogram_nice
+from ordersight.operators.recommend import co_purchases
+from ordersight.operators.seasonal import seasonal_trend
+from ordersight.operators.selection import first_n
 from ordersight.operators.tables import default_columns, first_rows, project_columns, table_view
 from ordersight.schema import COLUMN_NAMES, MONEY_COLUMNS, ORDERS_SCHEMA
 from ordersight.session import scratch_path
-from ordersight.sinks.files import append_orders, read_csv, write_csv, write_sample
+from ordersight.sinks.files import append_orders, export_lake, read_csv, read_lake, write_csv, write_sample, write_verified
 from ordersight.sources.parquet import file_inventory, file_summary, folder_rows, read_many, read_orders
 from ordersight.sources.star import line_order_id, orders_from_star, read_table
 from ordersight.sources.synth import synthesize
@@ -54,6 +59,13 @@ PROJECTION = ("order_id", "order_date", "product_category", "final_amount", "ord
 UNION_STATUS = "F"
 NAN_EVERY = 10
 APPEND_SPLIT_DATE = "1998-01-01"
+FIRST_ROWS = 50_000
+VALUE_BANDS = 10
+PARTNERS = 5
+MIN_TOGETHER = 2
+# Months that the lake's rerun replaces, and those that are then read.
+RERUN_MONTHS = ("1996-01", "1996-12")
+LAKE_MONTHS = ("1995-07", "1997-06")
 
 OrderQuery = Callable[[DataFrame], DataFrame]
 TableQuery = Callable[[SparkSession, str], DataFrame]
@@ -76,9 +88,14 @@ ORDER_QUERIES: dict[str, OrderQuery] = {
     "category_revenue_chart": charts.category_revenue_chart,
     "top_products": charts.top_products,
     "amount_histogram": amount_histogram,
+    "amount_histogram_nice": amount_histogram_nice,
     "daily_trend": charts.daily_trend,
     "top_states_orders": charts.top_states_orders,
     "top_states_revenue": charts.top_states_revenue,
+    # analyses
+    "co_purchase_top": lambda df: co_purchases(df, PARTNERS, MIN_TOGETHER),
+    "seasonal_trend": seasonal_trend,
+    "geo_rollup": geo_rollup,
     # scans, projections, limits
     "first_rows": lambda df: first_rows(df, SAMPLE_ROWS),
     "project_columns": lambda df: project_columns(df, PROJECTION),
@@ -112,6 +129,8 @@ NULL_EVERY = {
     "order_id": 19,
     "product_category": 23,
     "shipping_state": 29,
+    "shipping_country": 37,
+    "product_id": 41,
     "customer_id": 31,
 }
 
@@ -125,6 +144,7 @@ NULL_QUERIES = (
     "orders_by_status", "category_revenue", "monthly_trend", "payment_distribution", "top_states",
     "kpis", "status_share", "payment_counts", "category_revenue_chart", "daily_trend",
     "top_states_orders", "amount_histogram", "filter_options", "filter_bounds", "filter_all",
+    "amount_histogram_nice", "co_purchase_top", "seasonal_trend", "geo_rollup",
 )
 ORDER_QUERIES |= {f"nulls_{name}": lambda df, fn=ORDER_QUERIES[name]: fn(with_nulls(df)) for name in NULL_QUERIES}
 
@@ -152,13 +172,50 @@ def _synth(profile: str) -> TableQuery:
 
 
 def _scan_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = orders_from_star(spark, sf_dir)
+    wide = _stored_orders(spark, sf_dir)
     a, b = scratch_path(spark, "union-a"), scratch_path(spark, "union-b")
     wide.write.parquet(a)
     wide.where(F.col("order_status") == UNION_STATUS).write.parquet(b)
     return read_many(spark, [a, scratch_path(spark, "union-missing"), b])
 
 
+def _stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "orders")
+    orders_from_star(spark, sf_dir).write.parquet(path)
+    return read_orders(spark, path)
+
+
+def _first_50000(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_n(_stored_orders(spark, sf_dir), FIRST_ROWS)
+
+
+def _value_bands(prepare: Callable[[DataFrame], DataFrame]) -> TableQuery:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ranked = customer_value_bands(prepare(orders_from_star(spark, sf_dir)), VALUE_BANDS)
+        dates = {c: F.date_format(c, "yyyy-MM-dd") for c in ("first_order", "last_order")}
+        return ranked.withColumns(dates | {"lifetime_value": F.col("lifetime_value").cast("double")})
+
+    return run
+
+
+def _verified_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per status of a write whose files were compared with what went in; the verified row count beside them."""
+    path = scratch_path(spark, "verified")
+    verified = write_verified(orders_from_star(spark, sf_dir), path)
+    counts = read_orders(spark, path).groupBy("order_status").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.withColumn("verified_rows", verified.select("rows").scalar())
+
+
+def _export_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months are written with a wrong status, some of them once more as they should be; then a span is read."""
+    wide, path = _stored_orders(spark, sf_dir), scratch_path(spark, "lake")
+    export_lake(wide.withColumn("order_status", F.lit("?")), path)
+    month = F.date_format("order_date", "yyyy-MM")
+    export_lake(wide.where(month.between(*RERUN_MONTHS)), path)
+    found = read_lake(spark, path, *LAKE_MONTHS)
+    return found.groupBy("order_month", "order_status").agg(F.count(F.lit(1)).alias("order_count"), F.sum("final_amount").cast("double").alias("revenue"))
+
+
 def _export_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_sample(orders_from_star(spark, sf_dir), scratch_path(spark, "sample"), SAMPLE_ROWS)
     return read_orders(spark, path)
@@ -184,7 +241,7 @@ def _export_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = orders_from_star(spark, sf_dir)
+    wide = _stored_orders(spark, sf_dir)
     path = scratch_path(spark, "append")
     older = F.col("order_date") < F.lit(APPEND_SPLIT_DATE).cast("date")
     append_orders(wide.where(older), path)
@@ -194,7 +251,7 @@ def _append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders as foreign files hold them (money as double with NaN, int quantity), read and conformed."""
-    wide, path = orders_from_star(spark, sf_dir), scratch_path(spark, "foreign")
+    wide, path = _stored_orders(spark, sf_dir), scratch_path(spark, "foreign")
     nan = F.when(F.col("store_id") % NAN_EVERY == 0, F.lit(float("nan")))
     raw = {c: F.col(c).cast("double") for c in MONEY_COLUMNS} | {"quantity": F.col("quantity").cast("int")}
     raw["tax_amount"] = F.coalesce(nan, raw["tax_amount"])
@@ -216,7 +273,7 @@ def _stream_orders_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders land in two file batches; the running report folds in each."""
     from ordersight.streaming.incremental import refresh
 
-    wide = orders_from_star(spark, sf_dir)
+    wide = _stored_orders(spark, sf_dir)
     source, snap, ckpt = (scratch_path(spark, x) for x in ("stream-src", "stream-snap", "stream-ckpt"))
     older = F.col("order_date") < F.lit(APPEND_SPLIT_DATE).cast("date")
     append_orders(wide.where(older), source)
@@ -226,6 +283,11 @@ def _stream_orders_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TABLE_QUERIES: dict[str, TableQuery] = {
+    "first_50000": _first_50000,
+    "customer_value_bands": _value_bands(lambda df: df),
+    "nulls_customer_value_bands": _value_bands(with_nulls),
+    "verified_write": _verified_write,
+    "export_lake": _export_lake,
     "stream_orders_by_status": _stream_orders_by_status,
     "price_components": _price_components,
     "synth_orders": _synth("full"),

@@ -11,6 +11,8 @@ then records it as complete; readers take the newest complete one.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,13 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ordersight.functions.dates import month_label, month_start
 from ordersight.operators.reports import average
 from ordersight.schema import conform
-from ordersight.session import scratch_path
+from ordersight.sources.parquet import PARQUET_GLOB
 
 
 def stream_orders(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Conformed streaming orders; the file schema is taken from the folder."""
-    schema = spark.read.parquet(source_dir).schema
-    reader = spark.readStream.schema(schema)
+    """Conformed streaming orders from the parquet files of a folder, which also give the schema; other files are not looked at."""
+    schema = spark.read.option("pathGlobFilter", PARQUET_GLOB).parquet(source_dir).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", PARQUET_GLOB)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return conform(reader.parquet(source_dir))
@@ -83,14 +85,19 @@ def start_snapshot(
     """Write the complete current result under ``snapshot_path`` every batch, one folder per epoch.
 
     ``available_now`` processes every file present at start, then stops
-    (an incremental batch job); otherwise it runs on ``processing_time``.
+    (an incremental batch job); otherwise it runs on ``processing_time``. The
+    checkpoint lies beside the snapshots unless the caller names another; one
+    that starts over gives snapshots of all files again, and these are read.
     """
     spark = running.sparkSession
-    checkpoint_location = checkpoint_location or scratch_path(spark, "stream-ckpt")
+    checkpoint_location = checkpoint_location or f"{snapshot_path}/checkpoint"
+    # Epochs restart with a new checkpoint, and the run that starts last is the one to read.
+    started = time.time_ns()
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{snapshot_path}/epoch-{epoch_id}")
-        done = spark.range(1).select(F.lit(epoch_id).cast("bigint").alias("epoch"))
+        name = f"epoch-{started}-{epoch_id}"
+        batch.write.mode("overwrite").parquet(f"{snapshot_path}/{name}")
+        done = spark.range(1).select(F.lit(started).cast("bigint").alias("started"), F.lit(epoch_id).cast("bigint").alias("epoch"))
         done.write.mode("append").parquet(_complete(snapshot_path))
 
     writer = (
@@ -108,15 +115,16 @@ def _complete(snapshot_path: str) -> str:
 
 def read_snapshot(spark: SparkSession, snapshot_path: str) -> DataFrame:
     """The newest snapshot that was written whole."""
-    epoch = spark.read.parquet(_complete(snapshot_path)).agg(F.max("epoch")).first()[0]
-    return spark.read.parquet(f"{snapshot_path}/epoch-{epoch}")
+    done = spark.read.schema("started bigint, epoch bigint").parquet(_complete(snapshot_path))
+    newest = done.agg(F.max(F.struct("started", "epoch")).alias("at")).first()["at"]
+    return spark.read.parquet(f"{snapshot_path}/epoch-{newest['started']}-{newest['epoch']}")
 
 
 def refresh(
     spark: SparkSession,
     source_dir: str,
     snapshot_path: str,
-    checkpoint_location: str,
+    checkpoint_location: str | None = None,
     report: str = "orders_by_status",
 ) -> DataFrame:
     """Fold any new files into the running report and return the snapshot."""
