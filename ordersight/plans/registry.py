@@ -31,12 +31,11 @@ from ordersight.operators.geography import geo_rollup
 from ordersight.operators.histogram import amount_histogram, amount_histogram_nice
 from ordersight.operators.recommend import co_purchases
 from ordersight.operators.seasonal import seasonal_trend
-from ordersight.operators.selection import first_n
 from ordersight.operators.tables import default_columns, first_rows, project_columns, table_view
 from ordersight.schema import COLUMN_NAMES, MONEY_COLUMNS, ORDERS_SCHEMA
 from ordersight.session import scratch_path
 from ordersight.sinks.files import append_orders, export_lake, read_csv, read_lake, write_csv, write_sample, write_verified
-from ordersight.sources.parquet import file_inventory, file_summary, folder_rows, read_many, read_orders
+from ordersight.sources.parquet import file_inventory, file_summary, folder_rows, read_first, read_many, read_orders
 from ordersight.sources.star import line_order_id, orders_from_star, read_table
 from ordersight.sources.synth import synthesize
 
@@ -186,7 +185,9 @@ def _stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_50000(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_n(_stored_orders(spark, sf_dir), FIRST_ROWS)
+    path = scratch_path(spark, "orders")
+    orders_from_star(spark, sf_dir).write.parquet(path)
+    return read_first(spark, FIRST_ROWS, path)
 
 
 def _value_bands(prepare: Callable[[DataFrame], DataFrame]) -> TableQuery:
@@ -217,7 +218,7 @@ def _export_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _export_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_sample(orders_from_star(spark, sf_dir), scratch_path(spark, "sample"), SAMPLE_ROWS)
+    path = write_sample(_stored_orders(spark, sf_dir), scratch_path(spark, "sample"), SAMPLE_ROWS)
     return read_orders(spark, path)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordersight.functions.dates import month_label
-from ordersight.operators.ordering import ordered_limit
+from ordersight.operators.selection import first_n
 from ordersight.operators.tables import project_columns
 from ordersight.session import scratch_path
 from ordersight.sources.parquet import file_inventory
@@ -30,8 +30,12 @@ def export_file_name(prefix: str = "filtered_orders_data", suffix: str = ".csv",
 
 
 def write_sample(df: DataFrame, path: str, n: int = 100, key: str = "order_id") -> str:
-    """First ``n`` rows (in ``key`` order) as one parquet file, overwriting."""
-    ordered_limit(df, n, key).coalesce(1).write.mode("overwrite").parquet(path)
+    """First ``n`` rows (in ``key`` order) as one parquet file, overwriting.
+
+    The ``n``-th key is searched first (``first_n``), so the writing task reads ``n`` rows
+    and no more; ``df`` should be a stored table or a scan.
+    """
+    first_n(df, n, key).coalesce(1).sortWithinPartitions(F.asc_nulls_last(key)).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordersight.operators.selection import first_n
 from ordersight.schema import SchemaMismatch, conform
 
 
@@ -68,6 +69,11 @@ def read_orders(
     return conform(df, strict=strict) if conform_schema else df
 
 
+def read_first(spark: SparkSession, n: int, *paths: str, key: str = "order_id", **options) -> DataFrame:
+    """``read_orders`` capped at its first ``n`` rows in ``key`` order; the others are not loaded."""
+    return first_n(read_orders(spark, *paths, **options), n, key)
+
+
 def read_many(
     spark: SparkSession,
     paths: list[str] | tuple[str, ...],

@@ -1,0 +1,145 @@
+"""Co-purchases, value bands, seasons, geography and nice bins: edge cases beside the oracle queries."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections import Counter
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from ordersight.operators.customers import customer_value_bands
+from ordersight.operators.geography import geo_rollup
+from ordersight.operators.histogram import amount_histogram_nice
+from ordersight.operators.recommend import baskets, co_purchases, pair_counts
+from ordersight.operators.seasonal import seasonal_trend
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _purchases(spark):
+    """300 customers with a few products each, and one that bought 200 products in a third of all rows."""
+    small = spark.range(900).select((F.col("id") % 300).cast("string").alias("customer_id"), F.concat(F.lit("p"), F.pmod(F.xxhash64("id"), F.lit(40))).alias("product_id"))
+    hot = spark.range(450).select(F.lit("hot").alias("customer_id"), F.concat(F.lit("p"), F.col("id") % 200).alias("product_id"))
+    return small.unionByName(hot)
+
+
+def _plain_pairs(df) -> Counter:
+    bought = {}
+    for r in df.collect():
+        bought.setdefault(r["customer_id"], set()).add(r["product_id"])
+    return Counter(p for some in bought.values() for p in combinations(sorted(some), 2))
+
+
+@pytest.mark.parametrize("block", [1, 7, 256])
+def test_pairs_of_a_hot_customer_are_all_counted_in_blocks(spark, block):
+    df = _purchases(spark)
+    got = {(r["a"], r["b"]): r["together"] for r in pair_counts(baskets(df), block).collect()}
+    assert got == _plain_pairs(df)
+
+
+def test_baskets_meet_by_key_and_block(spark):
+    plan = _plan(pair_counts(baskets(_purchases(spark)), 10))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_partners_are_ranked_by_lift_and_cut_before_the_shuffle(spark):
+    df = _purchases(spark)
+    pairs, sold = _plain_pairs(df), Counter()
+    customers = set()
+    for r in df.select("customer_id", "product_id").distinct().collect():
+        sold[r["product_id"]] += 1
+        customers.add(r["customer_id"])
+    want = {}
+    for (a, b), n in pairs.items():
+        if n >= 2:
+            lift = n * len(customers) / (sold[a] * sold[b])
+            want.setdefault(a, []).append((-lift, -n, b))
+            want.setdefault(b, []).append((-lift, -n, a))
+    want = {(p, i + 1): (x[2], -x[1], -x[0]) for p, some in want.items() for i, x in enumerate(sorted(some)[:3])}
+    best = co_purchases(df, k=3)
+    assert {(r["product"], r["rank"]): (r["partner"], r["together"], r["lift"]) for r in best.collect()} == want
+    assert "WindowGroupLimit" in _plan(best)
+
+
+def test_co_purchases_of_nothing(spark):
+    assert co_purchases(spark.createDataFrame([("a", None), (None, "p"), ("b", "q")], "customer_id string, product_id string")).collect() == []
+    with pytest.raises(ValueError):
+        pair_counts(spark.createDataFrame([], "customer string, product string"), 0)
+
+
+def test_value_bands_are_exact_with_ties_and_missing_amounts(orders):
+    rows = [{"customer_id": f"c{i:02d}", "final_amount": "10.00" if i % 3 else "20.00"} for i in range(23)]
+    rows += [{"customer_id": "none", "final_amount": None}, {"customer_id": None, "final_amount": "999.00"}]
+    got = sorted(customer_value_bands(orders(rows), 5).collect(), key=lambda r: r["value_rank"])
+    assert [r["value_rank"] for r in got] == list(range(1, 25))
+    assert [r["value_band"] for r in got] == [1] * 5 + [2] * 5 + [3] * 5 + [4] * 5 + [5] * 4
+    assert [r["customer_id"] for r in got[:8]] == [f"c{i:02d}" for i in range(0, 23, 3)]
+    assert (got[-1]["customer_id"], got[-1]["lifetime_value"], got[-1]["avg_order_value"]) == ("none", 0, None)
+
+
+def test_value_bands_use_no_one_task_window(orders):
+    plan = _plan(customer_value_bands(orders([{}, {"customer_id": "c2"}]), 2))
+    assert "SinglePartition" not in plan
+
+
+def test_months_without_orders_are_in_the_seasonal_trend(orders):
+    rows = [{"order_date": dt.date(2022, 11, 3), "final_amount": "10.00"}, {"order_date": dt.date(2023, 11, 5), "final_amount": "15.00"}, {"order_date": dt.date(2023, 11, 30), "final_amount": "5.00"}, {"order_date": None}]
+    got = [tuple(r) for r in seasonal_trend(orders(rows)).collect()]
+    assert [r[0] for r in got] == [f"2022-{m}" for m in (11, 12)] + [f"2023-{m:02d}" for m in range(1, 12)]
+    assert got[0] == ("2022-11", 1, 10.0, None, None, 15.0 * 13 / 30.0)
+    assert got[1] == ("2022-12", 0, 0.0, None, None, 0.0)
+    assert got[-1] == ("2023-11", 2, 20.0, 10.0, 1.0, 15.0 * 13 / 30.0)
+
+
+def test_seasonal_trend_of_nothing_and_of_zero(orders):
+    assert seasonal_trend(orders([{"order_date": None}])).collect() == []
+    [row] = seasonal_trend(orders([{"final_amount": None}])).collect()
+    assert (row["revenue"], row["seasonal_index"]) == (0.0, None)
+
+
+def test_geography_keeps_null_places_apart_from_totals(orders):
+    rows = [
+        {"shipping_country": "A", "shipping_state": "x", "final_amount": "30.00"},
+        {"shipping_country": "A", "shipping_state": None, "final_amount": "10.00"},
+        {"shipping_country": None, "shipping_state": None, "final_amount": "40.00", "customer_id": "c2"},
+        {"shipping_country": None, "shipping_state": "x", "final_amount": "0.00"},
+    ]
+    got = {(r["level"], r["shipping_country"], r["shipping_state"]): (r["order_count"], r["customers"], r["revenue"], r["share_of_parent"]) for r in geo_rollup(orders(rows)).collect()}
+    assert got == {
+        ("state", "A", "x"): (1, 1, 30.0, 0.75),
+        ("state", "A", None): (1, 1, 10.0, 0.25),
+        ("state", None, None): (1, 1, 40.0, 1.0),
+        ("state", None, "x"): (1, 1, 0.0, 0.0),
+        ("country", "A", None): (2, 1, 40.0, 0.5),
+        ("country", None, None): (2, 2, 40.0, 0.5),
+        ("total", None, None): (4, 2, 80.0, None),
+    }
+
+
+@pytest.mark.parametrize(
+    "amounts, bins, want",
+    [
+        (["0.00", "49.99"], 50, (0.0, 1.0, 50)),
+        (["0.00", "50.00"], 50, (0.0, 2.0, 26)),
+        (["-3.00", "7.00"], 4, (-5.0, 5.0, 3)),
+        (["12.34", "12.34"], 50, (12.34, 0.01, 1)),
+        (["10.00", "99999.00"], 50, (0.0, 2000.0, 50)),
+    ],
+)
+def test_nice_bins(orders, amounts, bins, want):
+    got = amount_histogram_nice(orders([{"final_amount": a} for a in amounts]), bins).collect()
+    low, step, n = want
+    assert len(got) == n <= bins
+    assert (got[0]["bucket_low"], round(got[0]["bucket_high"] - got[0]["bucket_low"], 9)) == (low, step)
+    assert sum(r["n"] for r in got) == len(amounts)
+    assert [r["bucket"] for r in got] == list(range(n))
+
+
+def test_nice_bins_of_nothing(orders):
+    assert amount_histogram_nice(orders([{"final_amount": None}])).collect() == []
+    with pytest.raises(ValueError):
+        amount_histogram_nice(orders([{}]), 0)

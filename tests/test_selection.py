@@ -62,3 +62,11 @@ def test_empty_negative_and_only_nulls(spark):
         first_n(empty, -1, "key")
     nulls = spark.range(100).select(F.lit(None).cast("string").alias("key"), "id")
     assert first_n(nulls, 30, "key").count() == 30
+
+
+def test_large_limits_search_and_stay_sorted(rows):
+    from ordersight.operators.ordering import ordered_limit
+
+    got = [r["key"] for r in ordered_limit(rows, 2_500, "key").collect()]
+    want = [r["key"] for r in rows.orderBy(F.asc_nulls_last("key")).limit(2_500).collect()]
+    assert got == want

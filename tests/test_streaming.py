@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ordersight.operators import reports
 from ordersight.sinks.files import append_orders
 from ordersight.sources.parquet import read_orders
@@ -66,5 +68,31 @@ def test_a_broken_snapshot_is_never_read(spark, tmp_dir):
     src, snap = tmp_dir + "/src", tmp_dir + "/snap"
     append_orders(generate_orders(spark, 60, seed=9), src)
     refresh(spark, src, snap, tmp_dir + "/ckpt")
-    spark.range(3).write.parquet(snap + "/epoch-99")  # written, but never recorded as complete
+    spark.range(3).write.parquet(snap + "/epoch-9999999999999999999-99")  # written, but never recorded as complete
     assert sum(r["order_count"] for r in read_snapshot(spark, snap).collect()) == 60
+
+
+def test_a_run_with_a_fresh_checkpoint_is_the_one_that_is_read(spark, tmp_dir):
+    src, snap = tmp_dir + "/src", tmp_dir + "/snap"
+    total = lambda df: sum(r["order_count"] for r in df.collect())
+    for n, seed in ((100, 1), (50, 2)):
+        append_orders(generate_orders(spark, n, seed=seed), src)
+        got = refresh(spark, src, snap, tmp_dir + "/ckpt")
+    assert total(got) == 150
+    append_orders(generate_orders(spark, 25, seed=3), src)
+    assert total(refresh(spark, src, snap, tmp_dir + "/other")) == 175
+
+
+def test_the_checkpoint_lies_beside_the_snapshots(spark, tmp_dir):
+    src, snap = tmp_dir + "/src", tmp_dir + "/snap"
+    for n in (30, 20):
+        append_orders(generate_orders(spark, n, seed=n), src)
+        got = refresh(spark, src, snap)
+    assert sum(r["order_count"] for r in got.collect()) == 50
+
+
+def test_other_files_in_the_folder_are_not_read(spark, tmp_dir):
+    src = tmp_dir + "/src"
+    append_orders(generate_orders(spark, 30), src)
+    spark.range(1).select(F.lit("not parquet").alias("value")).write.mode("append").text(src)
+    assert sum(r["order_count"] for r in refresh(spark, src, tmp_dir + "/snap").collect()) == 30
