@@ -28,7 +28,6 @@ MAGIC = b"\x1f\x8b\x08"
 LEAST_BYTES = 100
 SPLIT_BYTES = 16 << 20
 READ_BYTES = 1 << 20
-MAX_HEADER = 64 << 10
 LEVEL = 4
 DATE = "1970-01-01T00:00:00Z"
 
@@ -76,8 +75,10 @@ def _fields(head: bytes) -> dict[str, str]:
 
 def decode_record(data: bytes) -> dict:
     """The parts of one inflated record; ``payload`` is None for a revisit."""
-    head, _, rest = data.partition(b"\r\n\r\n")
+    head, end, rest = data.partition(b"\r\n\r\n")
     warc = _fields(head)
+    if not end or "content-length" not in warc:
+        raise ValueError("WARC record without a whole header")
     block = rest[: int(warc["content-length"])]
     if len(block) != int(warc["content-length"]):
         raise ValueError("WARC record ends early")
@@ -99,7 +100,7 @@ def decode_record(data: bytes) -> dict:
 
 def _member(read, at: int) -> tuple[bytes, int] | None:
     """The inflated record of the gzip member at ``at`` and where it ends; None if none starts there."""
-    inflate, out, size, pos, sure = zlib.decompressobj(31), [], 0, at, False
+    inflate, out, pos, sure = zlib.decompressobj(31), [], at, False
     while not inflate.eof:
         data = read(pos, 16 << 10 if not sure else READ_BYTES)
         if not data:
@@ -113,13 +114,11 @@ def _member(read, at: int) -> tuple[bytes, int] | None:
                 raise
             return None
         pos += len(data)
-        size += len(out[-1])
         if not sure:
+            # What begins like a record is one, however long its header is: it ends properly or is an error.
             start = b"".join(out)
-            if not (b"WARC/1.".startswith(start[:7]) if len(start) < 7 else start.startswith(b"WARC/1.")):
-                return None
-            sure = b"\r\n\r\n" in start
-            if not sure and (size > MAX_HEADER or inflate.eof):
+            sure = start.startswith(b"WARC/1.")
+            if not sure and (inflate.eof or not b"WARC/1.".startswith(start)):
                 return None
     return b"".join(out), pos - len(inflate.unused_data)
 
@@ -194,7 +193,8 @@ def write_archives(df: DataFrame, folder: str, id_col: str, url_col: str, html_c
 
     Null html is an empty payload; a null URL leaves out its field. Pages
     without an id, and all pages that share the smallest id of a payload, are
-    responses. An empty table writes no file.
+    responses. URLs and payloads of any length are kept whole; a record is one
+    member, and a task holds one at a time. An empty table writes no file.
     """
     fs, name = file_system(folder)
     fs.create_dir(name, recursive=True)

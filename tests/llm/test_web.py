@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 
 from ordersight.llm import urls, warc
 from ordersight.llm.queries import op4_warc, op5_url_filter
@@ -70,6 +71,27 @@ def test_warc_query_equals_brute_force(spark, tmp_path):
         assert sorted(map(tuple, op4_warc(spark, path).collect()), key=str) == _brute_warc(some)
 
 
+def test_records_with_very_long_urls_are_kept(spark, tmp_path):
+    draw = random.Random(8)
+    long = "http://a.org/" + "".join(draw.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(400_000))
+    rows = [(1, "http://a.org/", "one" * 50), (2, long, "two" * 50), (3, long + "x", "two" * 50), (4, None, "four")]
+    path = str(tmp_path / "sf")
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{path}/pages.parquet")
+    got = {r["page_id"]: (r["payload_bytes"], r["record_type"], r["refers_to"]) for r in op4_warc(spark, path).collect()}
+    assert got == {1: (150, "response", None), 2: (150, "response", None), 3: (150, "revisit", 2), 4: (4, "response", None)}
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w"), "page_id", "url", "html")
+    for split in (1 << 16, 1 << 24):
+        assert {r["url"] for r in warc.read_archives(spark, str(tmp_path / "w"), split).collect()} == {r[1] for r in rows}
+
+
+def test_a_record_without_a_whole_header_is_an_error():
+    broken = zlib.compressobj(4, zlib.DEFLATED, 31)
+    data = broken.compress(b"WARC/1.1\r\nWARC-Type: response") + broken.flush()
+    [(_, record)] = warc.records_in(lambda at, n: data[at : at + n], 0, len(data))
+    with pytest.raises(ValueError):
+        warc.decode_record(record)
+
+
 def test_small_ranges_read_the_same(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"page {i} " * 50) for i in range(120)]
     warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3), str(tmp_path / "w"), "page_id", "url", "html")
