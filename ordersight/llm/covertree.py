@@ -3,8 +3,8 @@
 Vectors are dealt to blocks of bounded size around pivots, and each block, of
 data or of queries, gets a cover tree. For a query node with centre ``p`` and
 covering radius ``a`` and a data node with centre ``c`` and radius ``b`` no inner
-product exceeds ``p.c + |p| b + |c| a + a b``. A pair of nodes is pruned when that
-is below the worst kth score of the node's queries; equal scores are kept, as
+product exceeds ``p.c + |p| b + |c| a + a b``, nor what the same says of their means
+and spreads. A pair of nodes is pruned when that is below the worst kth score of the node's queries; equal scores are kept, as
 ties go by id. The same bound prunes pairs of whole blocks: each query block
 first meets the data block around its own pivot, which sets its worst kth
 score, then only those blocks that may still hold better ones.
@@ -32,9 +32,8 @@ LEAF = 96
 PIVOTS = 32
 #: Vectors among which the pivots are chosen, at most.
 PIVOT_SAMPLE = 1024
-#: A level's covering radius is this much smaller than its parent's, unless FAN children do not reach it.
+#: The children of a node cover it within its radius divided by this, and lie farther apart than that.
 BASE = 1.3
-FAN = 8
 #: No score (its negative is a long too), no id.
 NONE, NO_ID = -(2**63 - 1), 2**63 - 1
 
@@ -45,47 +44,63 @@ NONE, NO_ID = -(2**63 - 1), 2**63 - 1
 class CoverTree:
     """Nodes with a centre, a covering radius, children and, at the leaves, rows.
 
-    The children of a node gather around a net of its points: farthest-first
-    until every point lies within radius / BASE of a net point, or FAN points.
+    Centres are points. The children of a node of radius r form a net of its
+    points: its own centre, then always the point farthest from the net, until
+    all lie within r / BASE of it. So children cover their node within that
+    distance (covering), their centres are farther apart (separation), one of
+    them has the node's centre (nesting), and each point belongs to the nearest.
+    A node with at most LEAF rows, or of radius 0, is a leaf. The mean of a
+    node's points and their spread around it bound scores as well, often closer.
     """
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        self.ids, self.rows = ids, rows
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, keys: np.ndarray | None = None):
+        #: ``keys`` tell rows apart that share an id.
+        self.ids, self.rows, self.keys = ids, rows, ids if keys is None else keys
         self.points: list[np.ndarray] = []
         self.children: list[list[int]] = []
         centre: list[np.ndarray] = []
         radius: list[float] = []
+        mean: list[np.ndarray] = []
+        spread: list[float] = []
         exact = rows.astype(np.float64)
-        stack = [(np.arange(len(ids)), -1)] if len(ids) else []
+        stack = []
+        if len(ids):
+            middle = exact.mean(0)
+            stack = [(np.arange(len(ids)), int(((exact - middle) ** 2).sum(1).argmin()), -1)]
         while stack:
-            at, parent = stack.pop()
+            at, first, parent = stack.pop()
             if parent >= 0:
                 self.children[parent].append(len(self.points))
             points = exact[at]
-            middle = points.mean(0)
-            far = np.sqrt(((points - middle) ** 2).sum(1))
-            centre.append(middle)
+            far = np.sqrt(((points - exact[first]) ** 2).sum(1))
+            centre.append(exact[first])
             radius.append(float(far.max()))
+            mean.append(points.mean(0))
+            spread.append(float(np.sqrt(((points - mean[-1]) ** 2).sum(1).max())))
             self.points.append(at)
             self.children.append([])
             if len(at) > LEAF and radius[-1] > 0:
-                node, owner = len(self.points) - 1, self._net(points, int(far.argmax()), radius[-1])
-                if owner.max():
-                    stack += [(at[owner == k], node) for k in range(owner.max() + 1)]
+                node = len(self.points) - 1
+                picks, owner = self._net(points, far, int(np.flatnonzero(at == first)[0]), radius[-1] / BASE)
+                stack += [(at[owner == k], int(at[pick]), node) for k, pick in enumerate(picks)]
         self.centres = np.array(centre).reshape(len(centre), -1)
         self.radii = np.array(radius)
         self.norms = np.sqrt((self.centres**2).sum(1))
+        self.means = np.array(mean).reshape(len(mean), -1)
+        self.spreads = np.array(spread)
+        self.mean_norms = np.sqrt((self.means**2).sum(1))
 
     @staticmethod
-    def _net(points: np.ndarray, first: int, radius: float) -> np.ndarray:
-        """For each point the number of the net point that it is nearest to."""
-        nearest, owner, n, pick = np.full(len(points), np.inf), np.zeros(len(points), np.int64), 0, first
-        while nearest.max() > radius / BASE and n < FAN:
-            d = np.sqrt(((points - points[pick]) ** 2).sum(1))
-            owner[d < nearest] = n
-            nearest, n = np.minimum(nearest, d), n + 1
+    def _net(points: np.ndarray, far: np.ndarray, first: int, cover: float) -> tuple[list[int], np.ndarray]:
+        """The net points, and for each point the number of the one that it is nearest to; ``far``: distances to ``first``."""
+        picks, nearest, owner = [first], far.copy(), np.zeros(len(points), np.int64)
+        while nearest.max() > cover:
             pick = int(nearest.argmax())
-        return np.unique(owner, return_inverse=True)[1]
+            d = np.sqrt(((points - points[pick]) ** 2).sum(1))
+            owner[d < nearest] = len(picks)
+            nearest = np.minimum(nearest, d)
+            picks.append(pick)
+        return picks, owner
 
     @property
     def width(self) -> int:
@@ -95,7 +110,7 @@ class CoverTree:
         """The same tree with zeros for missing components."""
         if self.width == width:
             return self
-        return CoverTree(self.ids, np.pad(self.rows, ((0, 0), (0, width - self.width))))
+        return CoverTree(self.ids, np.pad(self.rows, ((0, 0), (0, width - self.width))), self.keys)
 
 
 class TopK:
@@ -138,9 +153,13 @@ def search(q: CoverTree, d: CoverTree, best: TopK) -> int:
         return 0
 
     def bounds(a: int, nodes: list[int]) -> np.ndarray:
-        c = d.centres[nodes]
-        exact = c @ q.centres[a] + q.norms[a] * d.radii[nodes] + q.radii[a] * d.norms[nodes] + q.radii[a] * d.radii[nodes]
-        return exact + 1e-9 * (1 + np.abs(exact) + q.norms[a] * d.norms[nodes])
+        """No score of a query in ``a`` and a row in one of ``nodes`` exceeds these."""
+        c, r, n = d.centres[nodes], d.radii[nodes], d.norms[nodes]
+        cover = c @ q.centres[a] + q.norms[a] * r + q.radii[a] * n + q.radii[a] * r
+        m, s, l = d.means[nodes], d.spreads[nodes], d.mean_norms[nodes]
+        around = m @ q.means[a] + q.mean_norms[a] * s + q.spreads[a] * l + q.spreads[a] * s
+        exact = np.minimum(cover, around)
+        return exact + 1e-9 * (1 + np.abs(exact) + q.norms[a] * n)
 
     compared, count = 0, 0
     heap = [(-float(bounds(0, [0])[0]), 0, 0, 0)]
@@ -157,7 +176,7 @@ def search(q: CoverTree, d: CoverTree, best: TopK) -> int:
         else:
             at, of = q.points[a], d.points[b]
             scores = _products(q, at, d, of)
-            scores[q.ids[at][:, None] == d.ids[of][None, :]] = NONE
+            scores[q.keys[at][:, None] == d.keys[of][None, :]] = NONE
             best.offer(at, scores, d.ids[of])
             compared += 1
             continue
@@ -172,16 +191,15 @@ def search(q: CoverTree, d: CoverTree, best: TopK) -> int:
 
 
 def whole_vectors(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """(id, v): floor(scale * x) of every component, as longs.
+    """(id, key, v): floor(scale * x) of every component, as longs; ``key`` tells rows apart.
 
     Vectors that are null, or hold null or non-finite components, and rows
-    without an id are left out. Rows that share an id count once, by their
-    smallest vector.
+    without an id are left out. Rows that share an id all count. Store the
+    result before use, so that each row keeps its key.
     """
     ok = F.col("x").isNotNull() & F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("x")).filter(F.col("id").isNotNull() & F.coalesce(ok, F.lit(False)))
-    whole = rows.select("id", F.transform("x", lambda c: F.floor(c * F.lit(scale))).alias("v"))
-    return whole.groupBy("id").agg(F.min("v").alias("v"))
+    return rows.select("id", F.monotonically_increasing_id().alias("key"), F.transform("x", lambda c: F.floor(c * F.lit(scale))).alias("v"))
 
 
 def _padded(vectors) -> np.ndarray:
@@ -195,7 +213,7 @@ def _padded(vectors) -> np.ndarray:
 
 def pivots(rows: DataFrame, n: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> np.ndarray:
     """Up to ``n`` far-apart vectors among the ``sample`` with the smallest id hashes."""
-    got = sorted(hashed_sample(rows, ["id"], sample).collect(), key=lambda r: r["id"])
+    got = sorted(hashed_sample(rows.select("id", "v"), ["id", "v"], sample).collect(), key=lambda r: (r["id"], r["v"]))
     points = _padded([r["v"] for r in got]).astype(np.float64)
     if not len(points):
         return points
@@ -223,24 +241,24 @@ _BLOCK = "pivot long, part long, size long, centre array<double>, radius double,
 
 
 def _blocks(rows: DataFrame, most: int) -> DataFrame:
-    """Blocks of about ``most`` rows of one pivot at most, each with its tree; a crowded pivot fills several, by id hash."""
+    """Blocks of about ``most`` rows of one pivot at most, each with its tree; a crowded pivot fills several, by row hash."""
     sizes = rows.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
-    placed = rows.join(sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    placed = rows.join(sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
 
     def pack(block: pa.Table) -> pa.Table:
-        ids = block.column("id").to_numpy()
-        order = np.argsort(ids, kind="stable")
+        ids, keys = (block.column(c).to_numpy().astype(np.int64) for c in ("id", "key"))
+        order = np.lexsort((keys, ids))
         matrix = _padded(block.column("v").to_pylist())[order]
         small = next(t for t in (np.int16, np.int32, np.int64) if not len(matrix) or np.iinfo(t).min <= matrix.min(initial=0) and matrix.max(initial=0) <= np.iinfo(t).max)
-        tree = CoverTree(ids[order].astype(np.int64), matrix.astype(small))
-        columns = {"size": [len(ids)], "centre": pa.array([tree.centres[0].tolist()], pa.list_(pa.float64())), "radius": [float(tree.radii[0])], "tree": pa.array([pickle.dumps(tree)], pa.binary())}
+        tree = CoverTree(ids[order], matrix.astype(small), keys[order])
+        columns = {"size": [len(ids)], "centre": pa.array([tree.means[0].tolist()], pa.list_(pa.float64())), "radius": [float(tree.spreads[0])], "tree": pa.array([pickle.dumps(tree)], pa.binary())}
         return pa.table({"pivot": block.column("pivot")[:1], "part": block.column("part")[:1], **columns})
 
-    return placed.select("pivot", "part", "id", "v").groupBy("pivot", "part").applyInArrow(pack, _BLOCK)
+    return placed.select("pivot", "part", "id", "key", "v").groupBy("pivot", "part").applyInArrow(pack, _BLOCK)
 
 
 def _searched(pairs: DataFrame, k: int) -> DataFrame:
-    """Up to k results (query_id, vec_id, score) per query and pair of blocks: (query, floors, data)."""
+    """Up to k results (query, query_id, vec_id, score) per query row and pair of blocks: (query, floors, data)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,12 +266,12 @@ def _searched(pairs: DataFrame, k: int) -> DataFrame:
                 q, d = pickle.loads(query.as_buffer()), pickle.loads(data.as_buffer())
                 width = max(q.width, d.width)
                 known = dict(floors.as_py() or [])
-                best = TopK(len(q.ids), k, np.array([known.get(i, -np.inf) for i in q.ids.tolist()], np.float64))
+                best = TopK(len(q.ids), k, np.array([known.get(i, -np.inf) for i in q.keys.tolist()], np.float64))
                 search(q.widened(width), d.widened(width), best)
                 row, col = np.nonzero(best.ids != NO_ID)
-                yield pa.RecordBatch.from_arrays([pa.array(q.ids[row]), pa.array(best.ids[row, col]), pa.array(best.scores[row, col])], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (q.keys[row], q.ids[row], best.ids[row, col], best.scores[row, col])], names=["query", "query_id", "vec_id", "score"])
 
-    return pairs.select("query", "floors", "data").mapInArrow(run, "query_id long, vec_id long, score long")
+    return pairs.select("query", "floors", "data").mapInArrow(run, "query long, query_id long, vec_id long, score long")
 
 
 def _bound() -> Column:
@@ -268,8 +286,10 @@ def top_k(df: DataFrame, id_col: str, vec_col: str, is_query: Callable[[Column],
     """(query_id, rank, vec_id, score): the k largest inner products of each query with all other vectors.
 
     Components count as floor(scale * x). ``is_query`` tells queries by their
-    id. Equal scores rank by the smaller id; a query with fewer than k other
-    vectors gets them all; see ``whole_vectors`` for rows that take no part.
+    id. Every row but the query's own is a candidate, also rows of the same id;
+    rows that share a query id are queries of their own. Equal scores rank by the
+    smaller id; a query with fewer than k other vectors gets them all; see
+    ``whole_vectors`` for rows that take no part.
     Shorter vectors are filled up with zeros. Empty tables give no rows.
     Block pairs are formed from the blocks' centres and radii alone, and only
     those that the bound leaves are joined with the vectors.
@@ -285,16 +305,16 @@ def top_k(df: DataFrame, id_col: str, vec_col: str, is_query: Callable[[Column],
     first = queries.join(data, home).withColumn("floors", F.lit(None).cast(floor))
     near = stored(_searched(first, k), "topk-near")
 
-    reached = near.groupBy("query_id").agg(F.count(F.lit(1)).alias("m"), F.min("score").alias("floor")).filter(F.col("m") == k)
-    own = placed.filter(is_query(F.col("id"))).select(F.col("id").alias("query_id"), F.col("pivot").alias("qp"))
+    reached = near.groupBy("query").agg(F.count(F.lit(1)).alias("m"), F.min("score").alias("floor")).filter(F.col("m") == k)
+    own = placed.filter(is_query(F.col("id"))).select(F.col("key").alias("query"), F.col("pivot").alias("qp"))
     parts = queries.groupBy("qp").agg(F.count(F.lit(1)).alias("qparts"))
-    own = own.join(parts, "qp").select("query_id", "qp", F.pmod(F.xxhash64("query_id"), F.col("qparts")).alias("qn"))
-    floors = own.join(reached, "query_id").groupBy("qp", "qn").agg(F.map_from_entries(F.collect_list(F.struct("query_id", "floor"))).alias("floors"), F.min("floor").alias("least"), F.count(F.lit(1)).alias("known"))
+    own = own.join(parts, "qp").select("query", "qp", F.pmod(F.xxhash64("query"), F.col("qparts")).alias("qn"))
+    floors = own.join(reached, "query").groupBy("qp", "qn").agg(F.map_from_entries(F.collect_list(F.struct("query", "floor"))).alias("floors"), F.min("floor").alias("least"), F.count(F.lit(1)).alias("known"))
     groups = queries.join(floors, ["qp", "qn"], "left").withColumn("least", F.when(F.col("known") == F.col("n"), F.col("least")))
 
     meet = groups.select("qp", "qn", "c", "r", "least").crossJoin(data.select("pivot", "part", "centre", "radius"))
     left = meet.filter(~home & (F.col("least").isNull() | (_bound() >= F.col("least")))).select("qp", "qn", "pivot", "part")
     far = left.join(groups.select("qp", "qn", "query", "floors"), ["qp", "qn"]).join(data.select("pivot", "part", "data"), ["pivot", "part"])
     found = near.union(_searched(far, k))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -8,16 +8,17 @@ from ordersight.llm.queries import op10_top_k
 
 
 def _brute(rows, k=5, step=50):
-    seen = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            w = [math.floor(256 * float(np.float32(x))) for x in v]
-            seen[i] = min(seen.get(i, w), w)
+    """Every row is a candidate of every other row, whatever their ids."""
+    whole = [
+        (i, [math.floor(256 * float(np.float32(x))) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q in seen:
+    for n, (q, v) in enumerate(whole):
         if q % step == 0:
-            best = sorted((-sum(a * b for a, b in zip(seen[q], v)), i) for i, v in seen.items() if i != q)[:k]
-            out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for m, (i, w) in enumerate(whole) if m != n)[:k]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     return sorted(out)
 
 
@@ -28,6 +29,23 @@ def _vectors(seed, n, d=16, clusters=6):
     return [(int(i), [float(x) for x in v]) for i, v in zip(rng.permutation(2 * n)[:n], rows)]
 
 
+def _assert_cover_tree(t, rows):
+    """Centres are points; radii cover; children cover within radius / BASE, lie farther apart, and one keeps the centre."""
+    assert sorted(x for node, c in zip(t.points, t.children) if not c for x in node) == list(range(len(rows)))
+    for node, (points, children) in enumerate(zip(t.points, t.children)):
+        assert np.all(np.linalg.norm(rows[points] - t.centres[node], axis=1) <= t.radii[node] + 1e-6)
+        assert (rows[points] == t.centres[node]).all(1).any()
+        if children:
+            cover = t.radii[node] / ct.BASE
+            assert np.all(t.radii[children] <= cover + 1e-6)
+            centres = t.centres[children]
+            apart = np.linalg.norm(centres[:, None] - centres[None], axis=2) + np.eye(len(children)) * 1e18
+            assert apart.min() > cover - 1e-6
+            assert (centres == t.centres[node]).all(1).any()
+        else:
+            assert len(points) <= ct.LEAF or t.radii[node] == 0
+
+
 @pytest.mark.parametrize("seed,n,d", [(1, 300, 3), (2, 900, 16), (3, 900, 64)])
 def test_dual_search_equals_brute_force_and_prunes(seed, n, d, monkeypatch):
     monkeypatch.setattr(ct, "LEAF", 16)
@@ -36,8 +54,7 @@ def test_dual_search_equals_brute_force_and_prunes(seed, n, d, monkeypatch):
     rows[: n // 10] = rows[0]  # ties
     ids = rng.permutation(n).astype(np.int64)
     q, t = ct.CoverTree(ids[::7], rows[::7]), ct.CoverTree(ids, rows)
-    for node in range(len(t.points)):
-        assert np.all(np.linalg.norm(rows[t.points[node]] - t.centres[node], axis=1) <= t.radii[node] + 1e-6)
+    _assert_cover_tree(t, rows)
     best = ct.TopK(len(q.ids), 5)
     compared = ct.search(q, t, best)
     for i, (qid, v) in enumerate(zip(q.ids, q.rows)):
@@ -63,7 +80,7 @@ def test_query_equals_brute_force(spark, tmp_path, block, monkeypatch):
     assert sorted(map(tuple, got.collect())) == _brute(rows)
 
 
-@pytest.mark.parametrize("rows", [[], [(50, [1.0, 2.0])], [(50, [1.0]), (3, [2.0]), (100, [-1.0])], [(7, [1.0])]])
+@pytest.mark.parametrize("rows", [[], [(50, [1.0, 2.0])], [(50, [1.0]), (3, [2.0]), (100, [-1.0])], [(7, [1.0])], [(50, [1.0]), (3, [1.0]), (3, [2.0]), (4, [0.5])], [(50, [1.0]), (50, [2.0]), (50, [2.0]), (3, [1.0])]])
 def test_tiny_tables(spark, tmp_path, rows):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     assert sorted(map(tuple, op10_top_k(spark, str(tmp_path)).collect())) == _brute(rows)
