@@ -38,7 +38,7 @@ WORDS = 5
 SIMILARITY = 0.8
 SAMPLES, BANDS = 64, 16
 #: Sketch agreement below which a pair is not verified: more than four deviations under SIMILARITY, where the screen loses far less than the bands.
-AGREEMENT = 0.58
+AGREEMENT = 0.5
 #: idf runs from 1 (in every document) to 1 + IDF_RANGE (in at most FREQUENT of them).
 IDF_RANGE = 0.25
 FREQUENT = 0.02
@@ -543,7 +543,11 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, similarity: float
 def without_near_duplicates(df: DataFrame, id_col: str, text_col: str, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``df`` that stand for their class, one to a class, with all its columns."""
     keepers = classes(df, id_col, text_col, similarity).filter((F.col("id") == F.col("class_id")) & (F.col("node") == F.col("keeper"))).select("id", "node").distinct()
-    keepers = stored(keepers.select(F.col("id").alias("__id"), F.col("node").alias("__node")), "neardup-keepers")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marked = df.withColumn("__id", _row_key(id_col)).withColumn("__node", F.unhex(F.md5(text)))
-    return marked.join(keepers, ["__id", "__node"], "left_semi").dropDuplicates(["__id", "__node"]).select(*df.columns)
+    keepers = stored(keepers, "neardup-keepers")
+    # The row travels as one column, so that no name of its own can clash; of
+    # rows that share id and text the one with the least hash of all columns stays.
+    own = [F.col(f"`{c}`") for c in df.columns]
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    marked = df.select(_row_key(id_col).alias("id"), F.unhex(F.md5(text)).alias("node"), F.struct(*own).alias("row"), F.xxhash64(*own).alias("first"))
+    kept = marked.join(keepers, ["id", "node"], "left_semi").groupBy("id", "node").agg(F.min_by("row", "first").alias("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in df.columns])

@@ -134,3 +134,18 @@ def test_screen_loses_far_less_than_the_bands():
         hit, need = similarity + (1 - similarity) / 256, math.ceil(nd.AGREEMENT * nd.SAMPLES)
         screen = sum(math.comb(nd.SAMPLES, k) * hit**k * (1 - hit) ** (nd.SAMPLES - k) for k in range(need))
         assert screen < 0.25 * (1 - similarity ** (nd.SAMPLES // nd.BANDS)) ** nd.BANDS
+
+
+def test_rows_that_stay_keep_all_their_columns(spark):
+    text = " ".join(f"word{i}" for i in range(200))
+    rows = [(1, text, "mine", "keep", 5), (2, text + " more", "mine", "gone", 6), (3, "another text of its own altogether here", "mine", "keep", 7), (3, "another text of its own altogether here", "mine", "keep", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __id string, node string, row int")
+    assert sorted(map(tuple, nd.without_near_duplicates(df, "doc_id", "text").collect())) == [rows[0], rows[2]]
+    assert nd.without_near_duplicates(df, "doc_id", "text").columns == df.columns
+
+
+def test_which_of_two_equal_texts_stays_does_not_depend_on_their_order(spark):
+    text = " ".join(f"word{i}" for i in range(50))
+    rows = [(1, text, i) for i in range(20)]
+    left = {tuple(map(tuple, nd.without_near_duplicates(spark.createDataFrame(some, "doc_id long, text string, x int").repartition(n), "doc_id", "text").collect())) for n, some in ((1, rows), (5, rows[::-1]))}
+    assert len(left) == 1
