@@ -178,8 +178,10 @@ def held_out(id_col: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = SAMPLE_ROWS) -> RuleModel:
     """Train on the ``rows`` labelled rows with the smallest id hashes that are not held out.
 
-    Rows without id or label, or without a document, do not count. The driver
-    gets the statistics of the sample, never its texts.
+    Rows without id or label, or without a document, do not count; of documents
+    that share a labelled id only the text with the least hash does. So the
+    driver gets the statistics of at most ``rows`` texts, and never the texts.
+    With no labelled rows at all every text scores alike.
     """
     picked = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
@@ -187,8 +189,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     )
     picked = hashed_sample(picked, ["id", "y"], rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(picked), "id").select("id", "y", statistics(F.col("text")).alias("s")).select("id", "y", "s.*")
-    got = sorted(map(tuple, sample.collect()))
+    # Statistics are computed where the texts are; one row a label is shuffled.
+    found = texts.join(F.broadcast(picked), "id").select("id", "y", F.xxhash64("text").alias("h"), F.octet_length(F.coalesce("text", F.lit(""))).alias("n"), statistics(F.col("text")).alias("s"))
+    sample = found.groupBy("id", "y").agg(F.min(F.struct("h", "n", "s")).alias("one")).select("id", "y", "one.s.*")
+    got = sorted(map(tuple, sample.limit(rows).collect()))
     data = np.array([r[1:] for r in got], np.float64).reshape(-1, len(STATISTICS) + 1)
     return train(data[:, 1:], data[:, 0])
 

@@ -76,3 +76,19 @@ def test_odd_tables(spark, tmp_path):
     assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
     by = {r["doc_id"]: r["predicted"] for r in got}
     assert by[11] == 1 and by[10] == 0
+
+
+def test_documents_that_share_a_labelled_id_send_one_row(spark, monkeypatch):
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 != 0, F.lit(3)).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("some words of text "), F.col("id")).alias("text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 600, 3)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda x, y: seen.append((len(x), len(y))))
+    quality.fit(docs, labels, "doc_id", "text", "quality")
+    want = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(0, 600, 3))
+    assert seen == [(want, want)]
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert op6_quality(spark, str(tmp_path)).collect() == []
