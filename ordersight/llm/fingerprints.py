@@ -12,6 +12,7 @@ size, and 0 if the signatures share no run of four letters.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -121,43 +122,65 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 _LEAST = -(1 << 63)
+#: Text of one range, the slots of the sample from which ranges are cut, and the characters of a text that cuts look at.
+RANGE_BYTES = 64 << 20
+SLOTS = 8192
+HEAD_CHARS = 128
+
+
+def _ordered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(down, head, id, text): ``down`` ascends where ids descend, null ids last; ``head`` is how the text begins."""
+    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    down = F.bitwise_not(F.coalesce("id", F.lit(_LEAST)))
+    return rows.select(down.alias("down"), F.substring("text", 1, HEAD_CHARS).alias("head"), "id", "text")
+
+
+def _cuts(rows: DataFrame) -> list[tuple[int, str]]:
+    """Upper ends (down, head) of ranges of about RANGE_BYTES or less, at least one a shuffle partition.
+
+    They come from an even sample of the different (down, head): the one with
+    the smallest hash in each of SLOTS slots, whatever the size of the table.
+    """
+    mixed = rows.select("down", "head", F.octet_length("text").alias("n"), F.xxhash64("down", "head").alias("h"))
+    slots = mixed.groupBy(F.pmod("h", F.lit(SLOTS)).alias("slot")).agg(F.sum("n").alias("n"), F.min(F.struct("h", "down", "head")).alias("one"))
+    size, sample = slots.agg(F.sum("n"), F.sort_array(F.collect_list(F.struct("one.down", "one.head")))).first()
+    n = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size or 0) // RANGE_BYTES), 1)
+    return sorted({tuple(sample[len(sample) * i // n - 1]) for i in range(1, n) if len(sample) * i // n})
 
 
 def with_next(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows ``(bucket, closing, key, id, text)`` dealt and sorted so that each row's successor in
+    """Rows (bucket, closing, down, id, text) dealt and sorted so that each row's successor in
     descending id follows it in its task.
 
-    Ids are cut into ranges, one per shuffle partition. The first row of a
-    range is also sent, as a closing row, to the range whose last row precedes
-    it; so no task needs another's rows and no task holds more than a range.
-    To the driver go one bound and one largest id per range.
+    Rows are cut into ranges by id and how the text begins, so rows that share an id,
+    or have none, spread as well. The first row of a range is also sent, as a
+    closing row, to the range whose last row precedes it; so no task needs
+    another's rows and no task holds more than a range. To the driver go the
+    sample of the cuts and one first row's (down, head) per range.
     """
-    spark = df.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST)).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    at = [i / n for i in range(1, n)]
-    cut = rows.agg(F.percentile_approx("key", at, 20 * n)).first()[0] if at else []
-    bounds = np.unique(np.array(cut or [], np.int64))
+    rows = _ordered(df, id_col, text_col)
+    cuts = _cuts(rows)
+
+    def own(down: pd.Series, head: pd.Series) -> list[int]:
+        return [bisect_left(cuts, pair) for pair in zip(down.tolist(), head.tolist())]
 
     @F.pandas_udf("long")
-    def bucket(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, key.to_numpy(np.int64), side="left"))
+    def bucket(down: pd.Series, head: pd.Series) -> pd.Series:
+        return pd.Series(own(down, head), dtype="int64")
 
-    heads = sorted(map(tuple, rows.select("key").withColumn("bucket", bucket("key")).groupBy("bucket").agg(F.max("key")).collect()))
-    before = {head: heads[(i + 1) % len(heads)][0] for i, (_, head) in enumerate(heads)}
-    first_keys = np.array(sorted(before), np.int64)
-    closes = np.array([before[k] for k in first_keys.tolist()], np.int64)
+    # Rows that begin a range with the same id and head all go to the range before; the first in order closes it.
+    firsts = rows.select("down", "head", bucket("down", "head").alias("bucket")).groupBy("bucket").agg(F.min(F.struct("down", "head")).alias("first"))
+    heads = sorted((r["bucket"], tuple(r["first"])) for r in firsts.collect())
+    closes = {first: heads[i - 1][0] for i, (_, first) in enumerate(heads)}
 
     @F.pandas_udf("array<long>")
-    def buckets(key: pd.Series) -> pd.Series:
-        keys = key.to_numpy(np.int64)
-        own = np.searchsorted(bounds, keys, side="left")
-        i = np.minimum(np.searchsorted(first_keys, keys), max(len(first_keys) - 1, 0))
-        head = first_keys[i] == keys if len(first_keys) else np.zeros(len(keys), bool)
-        return pd.Series([[b, closes[j]] if h else [b] for b, j, h in zip(own.tolist(), i.tolist(), head.tolist())])
-
-    dealt = rows.select("*", F.posexplode(buckets("key")).alias("closing", "bucket"))
-    return dealt.select("bucket", "closing", "key", "id", "text").repartition(n, "bucket").sortWithinPartitions("bucket", "closing", F.desc("key"), "text")
+    def buckets(down: pd.Series, head: pd.Series) -> pd.Series:
+        pairs = zip(down.tolist(), head.tolist())
+        return pd.Series([[b, closes[p]] if p in closes else [b] for p, b in zip(pairs, own(down, head))])
+
+    dealt = rows.select("*", F.posexplode(buckets("down", "head")).alias("closing", "bucket"))
+    dealt = dealt.select("bucket", "closing", "down", "id", "text").repartitionById(max(len(cuts) + 1, 1), F.col("bucket").cast("int"))
+    return dealt.sortWithinPartitions("bucket", "closing", "down", "text")
 
 
 def neighbour_fingerprints(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

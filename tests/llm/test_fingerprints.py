@@ -61,3 +61,24 @@ def test_query_equals_brute_force(spark, tmp_path):
         path = str(tmp_path / name)
         spark.createDataFrame([(*r, "z") for r in some], "doc_id long, text string, n_chars string").repartition(3).write.parquet(f"{path}/documents.parquet")
         assert sorted(map(tuple, op8_fingerprints(spark, path).collect()), key=str) == _brute(some)
+
+
+def test_an_id_with_a_third_of_the_rows_spreads(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(7 if i % 3 == 0 else i, f"{_words(i, 3)} {i}") for i in range(6000)] + [(None, _words(i, 3)) for i in range(500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = fp.with_next(df, "doc_id", "text")
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert sum(sizes) <= len(rows) + len(sizes)
+
+
+def test_ranges_follow_the_size_of_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(fp, "RANGE_BYTES", 2_000)
+    rows = [(i, _words(i, 40)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(fp._cuts(fp._ordered(df, "doc_id", "text"))) > 20
+    got = sorted((r["doc_id"], r["near_next"]) for r in fp.neighbour_fingerprints(df, "doc_id", "text").collect())
+    assert got == [(r[0], r[6]) for r in sorted(_brute(rows))]
