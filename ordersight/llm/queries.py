@@ -16,15 +16,13 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode it again, return digests of both."""
     with open(vocabulary("byte_bpe_multi_50k.tiktoken"), "rb") as f:
         ranks = f.read()
-    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), "doc_id", "text", ranks, public_tokenizers.PATTERN)
-    digests = encoded.select(
+    coded = bpe.encode_documents(table(spark, sf_dir, "documents"), "doc_id", "text", ranks, public_tokenizers.PATTERN, decoded=True)
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode_documents(digests, ["doc_id", "n_tokens", "ids_sha256"], "ids", ranks, public_tokenizers.PATTERN)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,15 +151,15 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)""",
     "op10_top_k": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+  SELECT q.vec_id AS query_id, q.r AS r, d.vec_id AS vec_id,
          CAST(list_sum(list_transform(list_zip(q.w, d.w), lambda z: coalesce(z[1] * z[2], 0))) AS BIGINT) AS score
-  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
-), r AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.r <> q.r
+), b AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
 )
-SELECT * FROM r WHERE rank <= 5""",
+SELECT * FROM b WHERE rank <= 5""",
 }
