@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import struct
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,6 +41,20 @@ MARKS = "|~^{}\\<>_="
 # with any other white space or separator goes through the tokenizer whole.
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 
+# A stretch of letters, then stops: the tokenizer lowers these letters one by
+# one and cuts before the stops, so both parts are pre-tokens of their own.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([-!\"#$%&()*+,./:;=?@\\[\\\\\\]^_`{|}~]*)").fullmatch
+
+
+def _byte_chars() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it can be seen, else the next one from 256 on."""
+    seen = {*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)}
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+_BYTE_CHARS = _byte_chars()
+
 Piece = tuple[int, int, int]
 
 
@@ -55,11 +70,13 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(data)
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([_ODD_SPACE.pattern, *map(re.escape, added)]))
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = np.array([end_id], "<u4").tobytes()
         self.memo: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        #: Ids of lower-case letter runs and of runs of stops, from which those of a new stretch may follow.
+        self.parts: dict[str, bytes] = {}
+        self.before_parts: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -75,9 +92,37 @@ class WordTokenizer:
         data = ids.tobytes()
         return {w: data[4 * a : 4 * b] for w, a, b in zip(words, [0, *(e + 1 for e in ends)], [*ends, len(ids)])}
 
+    def _part(self, part: str) -> bytes:
+        """Ids of one pre-token, lower-case letters or stops, straight from the merges."""
+        found = self.before_parts.get(part)
+        if found is None:
+            spelt = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_CHARS)
+            ids = [t.id for t in self.tokenizer.model.tokenize(spelt)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self.parts[part] = found
+        return found
+
+    def _composed(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new stretches: of letters and stops apart, whose ids depend on nothing beside them; others as they are."""
+        parts, found, odd = self.parts, {}, []
+        for w in words:
+            plain = _PLAIN(w)
+            if plain is None:
+                odd.append(w)
+                continue
+            letters, stops = plain.groups()
+            letters = letters.lower()
+            ids = parts.get(letters) or self._part(letters)
+            found[w] = ids + (parts.get(stops) or self._part(stops)) if stops else ids
+        if odd:
+            found.update(self._learn(odd))
+        if len(parts) >= MEMO:
+            self.parts, self.before_parts = {}, parts
+        return found
+
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` and the end id, as little-endian unsigned 32-bit words."""
-        if self.whole.search(text):
+        if _ODD_SPACE.search(text) or any(a in text for a in self.added):
             return self._ids(text).tobytes() + self.end
         words = text.split()
         memo, before = self.memo, self.before
@@ -88,8 +133,7 @@ class WordTokenizer:
             else:
                 new.append(w)
         if new:
-            found = self._learn(new)
-            memo.update(found)
+            memo.update(self._composed(new))
         out = b"".join(map(memo.__getitem__, words)) + self.end
         if new:
             for w in new:
