@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordersight.llm import bpe, conversations, covertree, fingerprints, merkle, neardup, packing, pii, quality, secrets, simhash, spans, urls, warc
+from ordersight.llm import bpe, conversations, covertree, fingerprints, merkle, neardup, oracles, packing, pii, quality, secrets, simhash, spans, urls, warc
 from ordersight.llm.common import scratch, table, vocabulary
 
 
@@ -162,4 +162,6 @@ WITH v AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
 )
 SELECT * FROM b WHERE rank <= 5""",
+    "op11_merkle": oracles.MERKLE,
+    "op13_conversations": oracles.CONVERSATIONS,
 }
