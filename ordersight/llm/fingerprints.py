@@ -190,7 +190,7 @@ def neighbour_fingerprints(df: DataFrame, id_col: str, text_col: str) -> DataFra
     ids last, equal ids in the order of their texts; after the last row comes
     the first, and a lone row follows itself). The edited text is the text with
     its last floor(n/2) code points replaced by the first as many of the next
-    text, or all of it. Rows: id_col, n_chars, edited (the text), fingerprint,
+    text, or all of it. Texts of any length are hashed whole, in stretches. Rows: id_col, n_chars, edited (the text), fingerprint,
     edited_fingerprint, near_edited, near_next. A null text counts as empty.
     """
     out = "id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

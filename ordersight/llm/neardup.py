@@ -498,7 +498,8 @@ def classes(df: DataFrame, id_col: str, text_col: str, similarity: float = SIMIL
     (null counts as empty) are always one class. ``keeper`` is the node of the
     row that stands for the class. Null ids sort first, as the least long.
     Texts of one to four words are one shingle; texts without words link only
-    to equal texts. Rows that share an id but not the text are apart.
+    to equal texts. Rows that share an id but not the text are apart. Very long
+    texts count with all their shingles. An empty table gives no rows.
     """
     weights = learn_weights(df, text_col)
     rows = stored(sketched(df, id_col, text_col, weights), "neardup-rows")

@@ -225,7 +225,8 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, tokenizer_file: by
     or repeated id are documents of their own. ``sequence_id`` and
     ``step_group`` carry the task's partition in their upper 32 bits, so a
     task that runs again after a lost executor gives the same numbers.
-    An empty table gives no rows.
+    A very long text is tokenized whole and cut into windows of its own. An
+    empty table gives no rows.
     """
     sent = df.sparkSession.sparkContext.broadcast(tokenizer_file)
     kind = df.schema[id_col].dataType

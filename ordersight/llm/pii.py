@@ -444,7 +444,8 @@ def find_personal_data(df: DataFrame, id_col: str, text_col: str, model: Model,
 
     Spans are in code points, end exclusive, sorted by start and kind. A null
     text counts as empty; each row is a document, also with a null or repeated
-    id; no rows give no rows.
+    id; no rows give no rows. Very long texts are read whole; a task holds the
+    mentions of one text at a time.
     """
     item = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.int32())]))
     kind = "array<struct<start:long,end:long,kind:int>>"

@@ -33,7 +33,7 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def statistics(text: Column) -> Column:
-    """Struct of the STATISTICS of one text; all are finite, also for null (as empty) and blank texts."""
+    """Struct of the STATISTICS of one text; all are finite, also for null (as empty), blank and very long texts, which are read whole."""
     part = lambda a, b: a.cast("double") / F.greatest(b, F.lit(1)).cast("double")
     left = lambda t, pattern: F.length(F.regexp_replace(t, pattern, ""))
 

@@ -116,7 +116,8 @@ def find_secrets(df: DataFrame, id_col: str, text_col: str, owner_col: str, max_
     Columns: ``base`` and ``spans`` (array<struct<start,end,kind>>, kind as an
     index into KINDS), ``n_live``, ``n_example``. A null text counts as empty;
     rows that share an id stay rows of their own, but are one repository; a row
-    without an id is a repository of its own; no rows give no rows.
+    without an id is a repository of its own; no rows give no rows. Very long
+    texts are searched whole, also for matches of any length.
     """
     scanned = stored(candidates(df, id_col, text_col, owner_col).withColumn("row", F.monotonically_increasing_id()), "secret-candidates")
     # Without an id the row stands in for it.

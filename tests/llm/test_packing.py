@@ -11,7 +11,6 @@ from ordersight.llm.queries import op9_packing
 
 PATH = P.path("word_bpe_49k.json")
 LIB = Tokenizer.from_file(PATH)
-LIB.encode_special_tokens = True
 CODER = packing.WordTokenizer(open(PATH, "rb").read(), 2)
 
 

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+from pyspark.sql.functions import lit
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
@@ -51,7 +52,6 @@ def test_stages_against_brute_force(spark):
 
     pieces = C.packed(spark, clean, SF).collect()
     lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
-    lib.encode_special_tokens = True
     ids = {i: np.array([*lib.encode(r["text"], add_special_tokens=False).ids, 2], "<u4") for i, r in texts.items()}
     total = dict.fromkeys(ids, 0)
     for p in pieces:
@@ -66,7 +66,41 @@ def test_stages_against_brute_force(spark):
     assert facts(E.queries()["pipeline"](spark, SF)) == sorted((i, len(x)) for i, x in ids.items())
 
 
+def test_nulls_repeated_rows_and_clashing_names(spark, tmp_path):
+    good = [r for r in table(spark, SF, "documents").orderBy("doc_id").limit(30).collect()]
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in good]
+    rows += rows[:5] + [(None, None, None, None, None), (None, rows[7][1], "en", "s", 1), (3, "", None, "s", 0), (3, rows[9][1], "en", None, None)]
+    path = str(tmp_path / "odd")
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = ("id", "node", "row", "first", "score", "bands", "key", "ids", "__id")
+    for c in extra:
+        df = df.withColumn(c, lit("mine"))
+    df.write.parquet(f"{path}/documents.parquet")
+    table(spark, SF, "labels").write.parquet(f"{path}/labels.parquet")
+    docs, left = table(spark, path, "documents"), None
+    for _, stage in C.STAGES[:-1]:
+        docs = stored(stage(spark, docs, path), "t")
+        assert docs.columns == df.columns
+        now = docs.collect()
+        assert all(r[c] == "mine" for r in now for c in extra)
+        assert left is None or len(now) <= left
+        left = len(now)
+    pairs = [(r["doc_id"], r["text"]) for r in now]
+    assert len(pairs) == len(set(pairs)) > 0
+    pieces = C.packed(spark, docs, path).collect()
+    assert len({(p["doc_id"], p["doc_tokens"]) for p in pieces}) > 0
+    totals = sum(p["length"] for p in pieces)
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    assert totals == sum(len(lib.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in pairs)
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert C.run(spark, str(tmp_path)).collect() == []
+
+
 def test_every_operator_is_registered():
     names = E.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
     assert [n for n, _ in C.STAGES] == ["quality classifier", "near-duplicates", "personal data", "packing"]
