@@ -7,7 +7,7 @@ that a rule decides serve as labels, a bounded sample of each verdict.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +26,8 @@ RULES = (
 )
 BUCKETS = 1 << 14
 GRAMS = (3, 4, 5)
+#: Characters of URLs that are hashed together.
+STRETCH = 1 << 20
 #: Labelled URLs of each verdict in the training table, at most.
 SAMPLE_URLS = 1500
 
@@ -65,6 +67,37 @@ def gram_buckets(host_text: str, path_text: str, buckets: int = BUCKETS) -> np.n
     return np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
 
 
+def all_gram_buckets(hosts: Sequence[str], paths: Sequence[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket) of the n-grams of many URLs, hashed together; what ``gram_buckets`` gives for each."""
+    marks = (b"\x01", b"\x02")
+    framed = [mark + text.encode("utf-8", "replace") + mark for pair in zip(hosts, paths) for mark, text in zip(marks, pair)]
+    code = np.frombuffer(b"".join(framed), np.uint8).astype(np.uint64)
+    part = np.repeat(np.arange(len(framed)), [len(f) for f in framed])
+    mark = (part % 2 + 1).astype(np.uint64) * np.uint64(7)
+    rows, found = [], []
+    for n in GRAMS:
+        m = max(len(code) - n + 1, 0)
+        whole = np.flatnonzero(part[:m] == part[n - 1 : n - 1 + m])
+        h = mark[whole] + np.uint64(n)
+        for j in range(n):
+            h = (h ^ code[whole + j]) * np.uint64(0x100000001B3)
+        rows.append(part[whole] // 2)
+        found.append(((h ^ (h >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64))
+    return np.concatenate(rows), np.concatenate(found)
+
+
+def _stretches(hosts: Sequence[str], paths: Sequence[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of URLs of about STRETCH characters together, or of one longer URL."""
+    start = held = 0
+    for i, (h, p) in enumerate(zip(hosts, paths)):
+        if held and held + len(h) + len(p) > STRETCH:
+            yield start, i
+            start, held = i, 0
+        held += len(h) + len(p) + 4
+    if start < len(hosts):
+        yield start, len(hosts)
+
+
 @dataclass(frozen=True)
 class UrlModel:
     intercept: float
@@ -76,6 +109,16 @@ class UrlModel:
         score = self.intercept + (self.weights[at].sum() / len(at) ** 0.5 if len(at) else 0.0)
         return float(1 / (1 + np.exp(-score)))
 
+    def blocks_all(self, hosts: Sequence[str], paths: Sequence[str]) -> np.ndarray:
+        """``blocks`` of many URLs at once."""
+        out = [np.empty(0)]
+        for a, b in _stretches(hosts, paths):
+            row, at = all_gram_buckets(hosts[a:b], paths[a:b], len(self.weights))
+            n = np.maximum(np.bincount(row, minlength=b - a), 1)
+            score = self.intercept + np.bincount(row, self.weights[at], b - a) / n**0.5
+            out.append(1 / (1 + np.exp(-score)))
+        return np.concatenate(out)
+
 
 def train(rows: Sequence[tuple[str, str, int]], steps: int = 200, rate: float = 0.5, shrink: float = 1e-3) -> UrlModel:
     """Weights from (host, path, 1 to block or 0) by full gradient steps. Without rows nothing is blocked."""
@@ -115,12 +158,13 @@ def judge(df: DataFrame, id_col: str, url_col: str, model: UrlModel, rules: Sequ
     """id_col, host, path, rule, verdict and probability (that the model would block) of every row.
 
     A null URL, or one without ``://``, has an empty host and path; no rule
-    fits it and the model judges it. Rows pass one by one, repeated or not.
+    fits it and the model judges it. Rows pass one by one, repeated or not; a
+    URL of any length counts whole. An empty table gives no rows.
     """
 
     @F.pandas_udf("double")
     def blocks(hosts: pd.Series, paths: pd.Series) -> pd.Series:
-        return pd.Series([model.blocks(h, p) for h, p in zip(hosts, paths)], dtype="float64")
+        return pd.Series(model.blocks_all(hosts.tolist(), paths.tolist()), dtype="float64")
 
     rows = df.select(F.col(id_col), host(F.col(url_col)).alias("host"), path(F.col(url_col)).alias("path"))
     judged = rows.select(id_col, "host", "path", rule_index(F.col("host"), F.col("path"), rules).alias("at"), blocks("host", "path").alias("probability"))

@@ -152,6 +152,19 @@ def test_model_on_unseen_urls():
     assert np.mean([(model.blocks(h, p) > 0.5) == bool(y) for h, p, y in (make(i % 3 == 0) for i in range(200))]) > 0.97
 
 
+def test_urls_judged_together_equal_urls_judged_alone(monkeypatch):
+    draw = random.Random(4)
+    pairs = [("", ""), ("a", ""), ("", "/"), ("é.org", "/ü"), ("x" * 3000, "/y" * 900)]
+    pairs += [("".join(draw.choice("abc.é") for _ in range(draw.randrange(12))), "/" + "".join(draw.choice("xyz/") for _ in range(draw.randrange(30)))) for _ in range(200)]
+    hosts, paths = map(list, zip(*pairs))
+    model = urls.UrlModel(0.3, np.random.default_rng(2).normal(size=urls.BUCKETS))
+    alone = [model.blocks(h, p) for h, p in pairs]
+    for stretch in (1, 50, 1 << 20):
+        monkeypatch.setattr(urls, "STRETCH", stretch)
+        assert np.allclose(model.blocks_all(hosts, paths), alone, rtol=1e-12)
+    assert model.blocks_all([], []).tolist() == []
+
+
 def test_copies_of_a_url_count_once_in_the_labelled_table(spark):
     addresses = [f"http://x{i}.{'net' if i % 2 else 'example.com'}/de/{i}" for i in range(200)]
     once = spark.createDataFrame([(u,) for u in addresses], "url string")
