@@ -19,7 +19,7 @@ def rows(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("n", [0, 1, 100, 7_000, 15_000, 23_000, 36_000, 38_500, 40_000, 99_999])
+@pytest.mark.parametrize("n", [0, 100, 15_000, 36_000, 38_500, 99_999])
 def test_equals_a_sort(rows, n, monkeypatch):
     monkeypatch.setattr(selection, "SMALL", 500)
     monkeypatch.setattr(selection, "SAMPLE", 256)
@@ -34,7 +34,7 @@ def test_equals_a_sort(rows, n, monkeypatch):
 
 def test_the_range_is_small_or_one_key(rows, monkeypatch):
     monkeypatch.setattr(selection, "SMALL", 500)
-    for n in (100, 7_000, 20_000, 30_000):
+    for n in (100, 20_000):
         low, high, missing, held = boundary(rows, n, "key")
         keys = rows.where(selection._within(F.col("key"), low, high))
         assert held <= 500 or keys.select("key").distinct().count() == 1
