@@ -367,45 +367,52 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _in_blocks(members: DataFrame, columns: list[str]) -> DataFrame:
-    """``members`` (key, n, node, ...) dealt so that any two of a bucket meet in a place (key, i, j).
+    """``members`` (key, node, few, ...) dealt so that the few of a bucket meet all of it in places (key, i, j).
 
-    A bucket of n texts is cut into blocks of about BLOCK by hash; block i meets
-    block j once, so no place holds more than two blocks, however large n is.
+    ``few`` marks the texts that may still have something to find: those that
+    most of the bucket does not account for. They are cut into blocks of about
+    BLOCK by hash, and so is the whole bucket; block i of the few meets block j
+    of all once. No place holds more than two blocks, however large the bucket,
+    and a bucket with few of the few is dealt once or twice, not by its square.
     """
-    cut = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long"))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    placed = cut.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", *columns)
-    return placed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node")
-
-
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[tuple]]]:
-    """(whether one block meets itself, its rows from ``own`` on) place by place, as dealt by ``_in_blocks``."""
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("few").alias("r")).filter("n > 1 and r > 0")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("long")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    cut = members.join(counts.select("key", blocks("n").alias("all_blocks"), blocks("r").alias("few_blocks")), "key")
+    own = lambda c: F.pmod(F.xxhash64("node"), F.col(c))
+    asking = cut.filter("few").select("key", own("few_blocks").alias("i"), every("all_blocks").alias("j"), F.lit(True).alias("asks"), *columns)
+    asked = cut.select("key", every("few_blocks").alias("i"), own("all_blocks").alias("j"), F.lit(False).alias("asks"), *columns)
+    return asking.unionByName(asked).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "node", "asks")
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows from ``asks`` on, place by place, as dealt by ``_in_blocks``."""
     place, held = None, []
     for batch in batches:
         for key, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
             if (key, i, j) != place:
                 if len(held) > 1:
-                    yield place[1] == place[2], held
+                    yield held
                 place, held = (key, i, j), []
             held.append(tuple(row))
     if len(held) > 1:
-        yield place[1] == place[2], held
+        yield held
 
 
 def _in_company(members: DataFrame) -> DataFrame:
-    """Nodes of ``members`` (key, n, node, sketch) whose sketch agrees with that of another one in their bucket."""
+    """Those of the few in ``members`` (key, few, node, sketch) whose sketch agrees with that of another one in their bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _places(batches):
+        for rows in _places(batches):
             sketch = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
-            found = np.zeros(len(rows), bool)
-            for x in range(len(rows) - 1):
-                rest = np.arange(x + 1, len(rows)) if not found[x] else x + 1 + np.flatnonzero(~found[x + 1 :])
-                near = rest[(sketch[rest] == sketch[x]).mean(1) >= AGREEMENT]
-                found[near] = True
-                found[x] |= len(near) > 0
-            yield pa.RecordBatch.from_arrays([pa.array([r[1] for r, f in zip(rows, found) if f], pa.binary())], names=["node"])
+            asks = np.array([r[0] for r in rows])
+            name = np.unique([r[1].hex() for r in rows], return_inverse=True)[1]
+            found = []
+            for x in np.flatnonzero(asks).tolist():
+                rest = np.flatnonzero(~asks & (name != name[x]))
+                if ((sketch[rest] == sketch[x]).mean(1) >= AGREEMENT).any():
+                    found.append(rows[x][1])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["node"])
 
     return _in_blocks(members, ["node", "sketch"]).mapInArrow(run, "node binary").distinct()
 
@@ -413,23 +420,23 @@ def _in_company(members: DataFrame) -> DataFrame:
 def _across_classes(members: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) that join different classes of a bucket, verified where its blocks meet.
 
-    ``members``: key, n, node, component, sketch, keys, weights. Texts of one class
-    are not compared, and a link joins their classes in that place at once, so
-    a place gives fewer links than it has texts, and no pairs.
+    ``members``: key, few, node, component, sketch, keys, weights; ``few`` are those
+    outside the bucket's main class, so of two texts of different classes one is
+    among them. Texts of one class are not compared, and a link joins their
+    classes in that place at once, so a place gives fewer links than it has
+    texts, and no pairs.
     """
 
-    def joined(inside: bool, rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        own = np.array([r[0] for r in rows])
+    def joined(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        asks = np.array([r[0] for r in rows])
         of = np.unique([r[2].hex() for r in rows], return_inverse=True)[1]
         if of.max() == 0:
             return
         sketch = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(len(rows), -1)
         bags: dict[int, _Bag] = {}
         bag = lambda x: bags.get(x) or bags.setdefault(x, _Bag(*rows[x][4:6]))
-        for x in range(len(rows) - 1):
-            rest = np.flatnonzero(of[x + 1 :] != of[x]) + x + 1
-            if not inside:
-                rest = rest[own[rest] != own[x]]
+        for x in np.flatnonzero(asks).tolist():
+            rest = np.flatnonzero(~asks & (of != of[x]))
             share = (sketch[rest] == sketch[x]).mean(1)
             for y in rest[np.argsort(-share, kind="stable")][: int((share >= AGREEMENT).sum())].tolist():
                 if of[y] != of[x] and bag(x).similar(bag(y), similarity):
@@ -437,8 +444,8 @@ def _across_classes(members: DataFrame, similarity: float) -> DataFrame:
                     yield tuple(sorted((rows[x][1], rows[y][1])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for inside, rows in _places(batches):
-            found = list(joined(inside, rows))
+        for rows in _places(batches):
+            found = list(joined(rows))
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
 
     return _in_blocks(members, ["node", "component", "sketch", "keys", "weights"]).mapInArrow(run, "a binary, b binary").distinct()
@@ -513,7 +520,12 @@ def classes(df: DataFrame, id_col: str, text_col: str, similarity: float = SIMIL
     stars = stored(_alike(pairs, nodes), "neardup-pairs")
 
     sketches = nodes.select("node", "sketch")
-    company = _in_company(members.filter("n > 2").select("key", "n", "node").join(sketches, "node"))
+    # Who agrees with the leader of a bucket is compared anyway; the others look at the whole bucket.
+    ends = F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")
+    crowd = members.filter("n > 2").select("key", "node", "leader", *ends)
+    crowd = crowd.join(stars.withColumn("near", F.lit(True)), ["a", "b"], "left")
+    crowd = crowd.select("key", "node", ((F.col("leader") != F.col("node")) & F.col("near").isNull()).alias("few"))
+    company = _in_company(crowd.join(sketches, "node"))
     wanted = stars.select(F.explode(F.array("a", "b")).alias("node")).union(company).distinct()
     wanted = stored(wanted.join(nodes.select("node", "id"), "node"), "neardup-wanted")
     bags = stored(vectors(wanted, docs, weights), "neardup-vectors")
@@ -524,8 +536,10 @@ def classes(df: DataFrame, id_col: str, text_col: str, similarity: float = SIMIL
         # are left in different classes when all bands are looked at.
         labelled = _labelled(wanted.select("node"), groups)
         open_ = members.filter((F.col("n") > 2) & (F.col("band") <= last_band)).select("key", "node").join(labelled, "node")
-        mixed = open_.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("key", "n")
-        meeting = open_.join(mixed, "key").join(sketches, "node").join(bags, "node")
+        sizes = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+        mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "component")).alias("main")).filter("classes > 1").select("key", F.col("main.component").alias("main"))
+        meeting = open_.join(mixed, "key").withColumn("few", F.col("component") != F.col("main")).drop("main")
+        meeting = meeting.join(sketches, "node").join(bags, "node")
         groups = _grown(groups, _across_classes(meeting, similarity))
 
     final = stored(_labelled(nodes.select("node", "id"), groups), "neardup-classes")
