@@ -34,6 +34,8 @@ PIVOTS = 32
 PIVOT_SAMPLE = 1024
 #: The children of a node cover it within its radius divided by this, and lie farther apart than that.
 BASE = 1.3
+#: Points that would need a net of more than FAN have no structure at this scale: they stay one leaf.
+FAN = 64
 #: No score (its negative is a long too), no id.
 NONE, NO_ID = -(2**63 - 1), 2**63 - 1
 
@@ -49,7 +51,8 @@ class CoverTree:
     all lie within r / BASE of it. So children cover their node within that
     distance (covering), their centres are farther apart (separation), one of
     them has the node's centre (nesting), and each point belongs to the nearest.
-    A node with at most LEAF rows, or of radius 0, is a leaf. The mean of a
+    A node with at most LEAF rows, of radius 0 or with a net of over FAN points
+    is a leaf, whose rows are compared by one matrix product. The mean of a
     node's points and their spread around it bound scores as well, often closer.
     """
 
@@ -82,7 +85,8 @@ class CoverTree:
             if len(at) > LEAF and radius[-1] > 0:
                 node = len(self.points) - 1
                 picks, owner = self._net(points, far, int(np.flatnonzero(at == first)[0]), radius[-1] / BASE)
-                stack += [(at[owner == k], int(at[pick]), node) for k, pick in enumerate(picks)]
+                if len(picks) <= FAN:
+                    stack += [(at[owner == k], int(at[pick]), node) for k, pick in enumerate(picks)]
         self.centres = np.array(centre).reshape(len(centre), -1)
         self.radii = np.array(radius)
         self.norms = np.sqrt((self.centres**2).sum(1))
@@ -94,7 +98,7 @@ class CoverTree:
     def _net(points: np.ndarray, far: np.ndarray, first: int, cover: float) -> tuple[list[int], np.ndarray]:
         """The net points, and for each point the number of the one that it is nearest to; ``far``: distances to ``first``."""
         picks, nearest, owner = [first], far.copy(), np.zeros(len(points), np.int64)
-        while nearest.max() > cover:
+        while nearest.max() > cover and len(picks) <= FAN:
             pick = int(nearest.argmax())
             d = np.sqrt(((points - points[pick]) ** 2).sum(1))
             owner[d < nearest] = len(picks)

@@ -29,6 +29,14 @@ def _vectors(seed, n, d=16, clusters=6):
     return [(int(i), [float(x) for x in v]) for i, v in zip(rng.permutation(2 * n)[:n], rows)]
 
 
+def _net_size(points, centre, cover):
+    """Points of a farthest-first net from ``centre`` that covers all within ``cover``."""
+    nearest, n = np.linalg.norm(points - centre, axis=1), 1
+    while nearest.max() > cover:
+        nearest, n = np.minimum(nearest, np.linalg.norm(points - points[nearest.argmax()], axis=1)), n + 1
+    return n
+
+
 def _assert_cover_tree(t, rows):
     """Centres are points; radii cover; children cover within radius / BASE, lie farther apart, and one keeps the centre."""
     assert sorted(x for node, c in zip(t.points, t.children) if not c for x in node) == list(range(len(rows)))
@@ -43,7 +51,7 @@ def _assert_cover_tree(t, rows):
             assert apart.min() > cover - 1e-6
             assert (centres == t.centres[node]).all(1).any()
         else:
-            assert len(points) <= ct.LEAF or t.radii[node] == 0
+            assert len(points) <= ct.LEAF or t.radii[node] == 0 or _net_size(rows[points], t.centres[node], t.radii[node] / ct.BASE) > ct.FAN
 
 
 @pytest.mark.parametrize("seed,n,d", [(1, 300, 3), (2, 900, 16), (3, 900, 64)])
