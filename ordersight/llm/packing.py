@@ -31,8 +31,9 @@ TIERS = (512, 1024, 2048, 4096)
 #: Tokens packed together, and tokens of one training step.
 BLOCK_TOKENS = 1_500_000
 STEP_TOKENS = 65_536
-#: White-space-free stretches a worker remembers (in each of two generations), and the longest one worth it.
-MEMO = 400_000
+#: White-space-free stretches, and their parts, that a worker remembers (in each of two generations), and the longest stretch worth it.
+MEMO = 150_000
+PARTS_MEMO = 150_000
 MEMO_CHARS = 48
 #: Characters whose ids are one token each, one of which can part words in a text.
 MARKS = "|~^{}\\<>_="
@@ -116,7 +117,7 @@ class WordTokenizer:
             found[w] = ids + (parts.get(stops) or self._part(stops)) if stops else ids
         if odd:
             found.update(self._learn(odd))
-        if len(parts) >= MEMO:
+        if len(parts) >= PARTS_MEMO:
             self.parts, self.before_parts = {}, parts
         return found
 
