@@ -1,19 +1,35 @@
 """Products bought by the same customers, ranked by lift.
 
+Products are numbered by their buyers, the rarest first. A basket gives every
+product in it the list of those with larger numbers, so that what travels is
+one row a purchase and four bytes a pair; a task has all lists of its products,
+counts their pairs by sorting numbers, and passes on those seen often enough.
 A customer with many products would list all pairs of them in one task, so
 baskets are cut into blocks of products: two blocks of one customer meet in a
-place of their own, which sees at most BLOCK x BLOCK pairs. Pairs are counted
-where they arise before they are shuffled, and each task keeps only the best
-partners of a product before the final ranking (a window group limit).
+place of their own, which sees at most BLOCK x BLOCK pairs. A product with very
+many buyers is counted in several places, by its partners' numbers. Each task
+keeps only the best partners of a product before the final ranking (a window
+group limit).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordersight.session import scratch_path
+
 #: Products of one block of a basket.
 BLOCK = 256
+#: Pairs that a task counts, and buyers of a product that one place takes.
+TASK_PAIRS = 1 << 22
+PLACE_BUYERS = 1 << 20
+#: Pairs that are listed, or held uncounted, at once.
+LISTED_PAIRS = 1 << 18
 
 
 def baskets(df: DataFrame, customer: str = "customer_id", product: str = "product_id") -> DataFrame:
@@ -22,23 +38,161 @@ def baskets(df: DataFrame, customer: str = "customer_id", product: str = "produc
     return rows.where(F.col("customer").isNotNull() & F.col("product").isNotNull()).distinct()
 
 
-def pair_counts(bought: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(a, b, together) with a < b: how many customers bought both."""
-    if block < 1:
-        raise ValueError("block must be >= 1")
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(bought: DataFrame) -> DataFrame:
+    """(product, buyers, number): products by rising buyers, then by name, numbered from 0."""
+    sold = bought.groupBy("product").agg(F.count(F.lit(1)).alias("buyers"))
+    # The id holds the task in its upper bits, the row in the lower 33.
+    ids = _stored(sold.orderBy("buyers", "product").withColumn("id", F.monotonically_increasing_id()), "products")
+    task = F.shiftright("id", 33).cast("int")
+    starts, n = [], 0
+    for row in ids.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect():
+        starts.append((row["task"], n))
+        n += row["n"]
+    if n >= 1 << 31:
+        raise ValueError("products are numbered by 31 bits")
+    first = ids.sparkSession.createDataFrame(starts, "task int, start long")
+    return (
+        ids.withColumn("task", task).join(F.broadcast(first), "task")
+        .select("product", "buyers", (F.col("start") + F.col("id") - F.shiftleft(F.col("task").cast("long"), 33)).cast("int").alias("number"))
+    )
+
+
+def _places(bought: DataFrame, products: DataFrame, block: int) -> DataFrame:
+    """(customer, i, j, low, high): the numbers of two blocks of one basket; of a block with itself ``high`` is empty."""
     blocks = bought.groupBy("customer").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 1")
     # Only heavy baskets are in ``blocks``; the others are one block.
-    cut = bought.join(blocks, "customer", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("product"), F.col("blocks")).cast("int"))
+    cut = bought.join(products, "product").select("customer", "number").join(blocks, "customer", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("number"), F.col("blocks")).cast("int"))
+    met = cut.select("customer", "number", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    return met.groupBy("customer", "i", "j").agg(
+        F.collect_list(F.when(F.expr("own = i"), F.col("number"))).alias("low"), F.collect_list(F.when(F.expr("own > i"), F.col("number"))).alias("high")
+    )
+
+
+def _partner_lists(places: DataFrame, buyers_of) -> DataFrame:
+    """(owner, slot, partners): the products of a place with larger numbers than their owner, as little-endian 32-bit numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        owners, slots, lists, listed = [], [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(owners, pa.int32()), pa.array(slots, pa.int32()), pa.array(lists, pa.binary())], names=["owner", "slot", "partners"])
+
+        def pairs(same: bool, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            """(products, partners, where the partners of each product begin)."""
+            if same:
+                yield low, low, np.arange(1, len(low) + 1)
+            else:
+                yield low, high, np.searchsorted(high, low)
+                yield high, low, np.searchsorted(low, high)
+
+        for some in batches:
+            for same, low, high in zip(*(c.to_pylist() for c in some.columns)):
+                low, high = (np.sort(np.array(x, "<i4")) for x in (low, high))
+                for own, others, begins in pairs(same, low, high):
+                    data = others.tobytes()
+                    ways = 1 + buyers_of(own) // PLACE_BUYERS
+                    for owner, begin, n in zip(own.tolist(), begins.tolist(), ways.tolist()):
+                        if begin == len(others):
+                            continue
+                        for slot in range(n):
+                            rest = data[4 * begin :] if n == 1 else others[begin:][others[begin:] % n == slot].tobytes()
+                            if rest:
+                                owners.append(owner)
+                                slots.append(slot)
+                                lists.append(rest)
+                        listed += len(others) - begin
+                if listed >= LISTED_PAIRS:
+                    yield batch()
+                    owners, slots, lists, listed = [], [], [], 0
+        if owners:
+            yield batch()
+
+    return places.select(F.expr("i = j"), "low", "high").mapInArrow(run, "owner int, slot int, partners binary")
+
 
-    def side(name: str, i, j) -> DataFrame:
-        places = cut.select("customer", "own", F.col("product").alias(name), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        return places.select("customer", i.alias("i"), j.alias("j"), name)
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in rising order and the sums of their counts."""
+    key = np.concatenate(keys)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key[starts], np.add.reduceat(np.concatenate(counts)[order], starts)
 
-    lower = side("x", F.col("own"), F.col("other")).where("i <= j")
-    upper = side("y", F.col("other"), F.col("own")).where("i <= j")
-    met = lower.join(upper, ["customer", "i", "j"]).where("x != y and (i < j or x < y)")
-    return met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.count(F.lit(1)).alias("together"))
+
+def _counted(lists: DataFrame, min_together: int, buyers_of) -> DataFrame:
+    """(a, b, together, na, nb) by number, a < b, with the buyers of both, of pairs listed at least ``min_together`` times; ``lists`` are dealt by owner and slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, new, held = [], [], [], 0
+
+        def settle() -> None:
+            """Count what is held; ``keys`` and ``counts`` are then one array each."""
+            nonlocal keys, counts, new, held
+            key = np.concatenate(new)
+            key.sort()
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            keys.append(key[starts])
+            counts.append(np.diff(np.r_[starts, len(key)]))
+            if len(keys) > 1:
+                key, count = _merged(keys, counts)
+                keys, counts = [key], [count]
+            new, held = [], 0
+
+        for some in batches:
+            lists = some.column(2)
+            ends = np.frombuffer(lists.buffers()[1], "<i4")[lists.offset : lists.offset + len(lists) + 1] // 4
+            sizes, partners = np.diff(ends), np.frombuffer(lists.buffers()[2], "<i4", ends[-1] - ends[0], 4 * ends[0])
+            new.append(np.repeat(np.asarray(some.column(0)).astype(np.int64) << 32, sizes) | partners)
+            held += len(partners)
+            # Counting again what was counted pays once as much is new.
+            if held >= TASK_PAIRS + (len(keys[0]) if keys else 0):
+                settle()
+        if new:
+            settle()
+        for key, count in zip(keys, counts):
+            often = count >= min_together
+            key, count = key[often], count[often]
+            for at in range(0, len(key), LISTED_PAIRS):
+                a, b = key[at : at + LISTED_PAIRS] >> 32, key[at : at + LISTED_PAIRS] & 0x7FFFFFFF
+                columns = [a.astype("i4"), b.astype("i4"), count[at : at + LISTED_PAIRS].astype("i8"), buyers_of(a), buyers_of(b)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "together", "na", "nb"])
+
+    return lists.mapInArrow(run, "a int, b int, together long, na long, nb long")
+
+
+def _numbered_pairs(bought: DataFrame, block: int, min_together: int) -> tuple[DataFrame, DataFrame, int]:
+    """(a, b, together, na, nb) by number, the numbered products, and how many customers there are; ``bought`` is read several times."""
+    products = numbered(bought)
+    sizes = bought.groupBy("customer").agg(F.count(F.lit(1)).cast("decimal(20,0)").alias("n"))
+    customers, pairs = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.expr("n * (n - 1) / 2")), F.lit(0)).cast("double")).first()
+    # As many rows as there are different numbers of buyers: below the square root of twice the purchases.
+    steps = products.groupBy("buyers").agg((F.max("number") + 1).alias("end")).orderBy("buyers").collect()
+    values, ends = np.array([r["buyers"] for r in steps], "i8"), np.array([r["end"] for r in steps], "i8")
+
+    def buyers_of(numbers: np.ndarray) -> np.ndarray:
+        return values[np.searchsorted(ends, numbers, side="right")]
+
+    lists = _partner_lists(_places(bought, products, block), buyers_of)
+    dealt = lists.repartition(1 + int(pairs // TASK_PAIRS), "owner", "slot")
+    return _counted(dealt, min_together, buyers_of), products, customers
+
+
+def pair_counts(bought: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b, together) with a < b: how many customers bought both."""
+    if block < 1:
+        raise ValueError("block must be >= 1")
+    pairs, products, _ = _numbered_pairs(_stored(bought, "bought"), block, 1)
+    for number, name in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(products.select(F.col("number").alias(number), F.col("product").alias(name)), number)
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "together")
 
 
 def co_purchases(
@@ -51,14 +205,15 @@ def co_purchases(
     Pairs with fewer than ``min_together`` common customers are not ranked. Ties
     go to the pair seen more often, then to the smaller partner.
     """
-    bought = baskets(df, customer, product)
-    buyers = bought.groupBy("product").agg(F.count(F.lit(1)).alias("buyers"))
-    customers = bought.agg(F.count_distinct("customer")).scalar()
-    pairs = pair_counts(bought, block).where(F.col("together") >= min_together)
-    ways = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("product"), F.col("b").alias("partner")), F.struct(F.col("b").alias("product"), F.col("a").alias("partner")))).alias("way"), "together")
-    ways = ways.select("way.product", "way.partner", "together").join(buyers, "product")
-    ways = ways.join(buyers.select(F.col("product").alias("partner"), F.col("buyers").alias("partner_buyers")), "partner")
+    if block < 1:
+        raise ValueError("block must be >= 1")
+    pairs, products, customers = _numbered_pairs(_stored(baskets(df, customer, product), "bought"), block, min_together)
+    ways = pairs.select("together", F.explode(F.expr("array(struct(a AS number, na AS buyers, b AS partner, nb AS partner_buyers), struct(b AS number, nb AS buyers, a AS partner, na AS partner_buyers))")).alias("way")).select("together", "way.*")
     chance = (F.col("buyers") * F.col("partner_buyers")).cast("double")
-    ways = ways.withColumn("lift", (F.col("together") * customers).cast("double") / chance)
-    best = Window.partitionBy("product").orderBy(F.desc("lift"), F.desc("together"), "partner")
-    return ways.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("product", "partner", "rank", "together", "lift")
+    ways = ways.select("number", "partner", "together", ((F.col("together") * customers).cast("double") / chance).alias("lift"))
+    # Partners with equal lift and count have equal buyers, and those are numbered by name.
+    best = Window.partitionBy("number").orderBy(F.desc("lift"), F.desc("together"), "partner")
+    ranked = ways.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    for number, name in (("number", "product"), ("partner", "partner_name")):
+        ranked = ranked.join(products.select(F.col("number").alias(number), F.col("product").alias(name)), number)
+    return ranked.select("product", F.col("partner_name").alias("partner"), "rank", "together", "lift")

@@ -9,6 +9,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
+from ordersight.operators import recommend
 from ordersight.operators.customers import customer_value_bands
 from ordersight.operators.geography import geo_rollup
 from ordersight.operators.histogram import amount_histogram_nice
@@ -143,3 +144,24 @@ def test_nice_bins_of_nothing(orders):
     assert amount_histogram_nice(orders([{"final_amount": None}])).collect() == []
     with pytest.raises(ValueError):
         amount_histogram_nice(orders([{}]), 0)
+
+
+def test_pairs_travel_as_lists_of_numbers_one_row_a_purchase(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "TASK_PAIRS", 500)
+    df = baskets(_purchases(spark))
+    plan = _plan(pair_counts(df, 10))
+    assert "partners" in plan and "hashpartitioning(owner" in plan
+    products = recommend.numbered(df)
+    assert sorted(r["number"] for r in products.collect()) == list(range(200))
+    rows = [(r["buyers"], r["product"]) for r in products.orderBy("number").collect()]
+    assert rows == sorted(rows)
+
+
+@pytest.mark.parametrize("block", [7, 256])
+def test_products_of_many_buyers_are_counted_in_several_places(spark, monkeypatch, block):
+    monkeypatch.setattr(recommend, "PLACE_BUYERS", 3)
+    monkeypatch.setattr(recommend, "TASK_PAIRS", 500)
+    monkeypatch.setattr(recommend, "LISTED_PAIRS", 50)
+    df = _purchases(spark)
+    got = {(r["a"], r["b"]): r["together"] for r in pair_counts(baskets(df), block).collect()}
+    assert got == _plain_pairs(df)
