@@ -223,16 +223,19 @@ def write_verified(df: DataFrame, path: str, mode: str = "overwrite") -> DataFra
 LAKE_KEY = "order_month"
 
 
-def export_lake(df: DataFrame, path: str) -> str:
+def export_lake(df: DataFrame, path: str, gathered: bool = False) -> str:
     """Write orders under ``order_month=yyyy-MM`` folders, replacing the months that ``df`` holds and no others.
 
     A rerun over some months leaves the rest as it is (dynamic partition
     overwrite). Rows are gathered by month first, so that a month is a few
     files; a large month is split by size (``REBALANCE``). Orders without a
-    date go to Spark's folder for NULL.
+    date go to Spark's folder for NULL. ``gathered`` says that the files of ``df``
+    hold a few months each already, so that nothing is shuffled.
     """
     dated = df.withColumn(LAKE_KEY, month_label(F.col("order_date")))
-    dated.hint("rebalance", F.col(LAKE_KEY)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(LAKE_KEY).parquet(path)
+    if not gathered:
+        dated = dated.hint("rebalance", F.col(LAKE_KEY))
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(LAKE_KEY).parquet(path)
     return path
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordersight.functions.dates import month_label
 from ordersight.functions.money import money, rate, round_money
 
 STAR_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -38,8 +39,13 @@ def line_order_id() -> Column:
     )
 
 
-def orders_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 25-column orders table, already in ``ORDERS_SCHEMA`` types."""
+def orders_from_star(spark: SparkSession, sf_dir: str, by_month: bool = False) -> DataFrame:
+    """The 25-column orders table, already in ``ORDERS_SCHEMA`` types.
+
+    With ``by_month`` rows are gathered by the month of the order, a large
+    month split by size (``REBALANCE``), before the columns that follow from
+    others are written out, so that these are not shuffled.
+    """
     li = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders")
     customer = read_table(spark, sf_dir, "customer")
@@ -55,6 +61,9 @@ def orders_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_cust = orders.join(cust, orders.o_custkey == cust.c_custkey)
     wide = li.join(order_cust, li.l_orderkey == order_cust.o_orderkey).join(part, li.l_partkey == part.p_partkey)
 
+    if by_month:
+        wide = wide.withColumn("month", month_label(F.to_date("o_orderdate"))).hint("rebalance", F.col("month"))
+
     total = money(F.col("l_extendedprice"))
     discount = round_money(total * rate(F.col("l_discount"), 4, 2))
     tax = round_money(total * rate(F.col("l_tax"), 4, 2))
