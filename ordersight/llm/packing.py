@@ -73,6 +73,8 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_buffer(data)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = np.array([end_id], "<u4").tobytes()
+        #: Every id as bytes.
+        self.words = [struct.pack("<I", i) for i in range(1 + max(self.tokenizer.get_vocab().values(), default=-1))]
         self.memo: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         #: Ids of lower-case letter runs and of runs of stops, from which those of a new stretch may follow.
@@ -98,8 +100,8 @@ class WordTokenizer:
         found = self.before_parts.get(part)
         if found is None:
             spelt = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTE_CHARS)
-            ids = [t.id for t in self.tokenizer.model.tokenize(spelt)]
-            found = struct.pack(f"<{len(ids)}I", *ids)
+            words = self.words
+            found = b"".join([words[t.id] for t in self.tokenizer.model.tokenize(spelt)])
         self.parts[part] = found
         return found
 
@@ -107,6 +109,10 @@ class WordTokenizer:
         """Ids of new stretches: of letters and stops apart, whose ids depend on nothing beside them; others as they are."""
         parts, found, odd = self.parts, {}, []
         for w in words:
+            if w.isalpha() and w.isascii():  # most words; their stops are none
+                letters = w.lower()
+                found[w] = parts.get(letters) or self._part(letters)
+                continue
             plain = _PLAIN(w)
             if plain is None:
                 odd.append(w)

@@ -100,3 +100,10 @@ def test_added_tokens_equal_the_default_library(text):
 
 def test_added_tokens_have_their_ids():
     assert np.frombuffer(CODER.encode("a<|endoftext|>b <|startoftext|>"), "<u4").tolist()[1::2] == [49407, 49406]
+
+
+def test_words_of_plain_letters_need_no_pattern(monkeypatch):
+    monkeypatch.setattr(packing, "_PLAIN", None)
+    coder = packing.WordTokenizer(open(PATH, "rb").read(), 2)
+    text = "Hello big World unheardofword ABC x"
+    assert np.frombuffer(coder.encode(text), "<u4").tolist() == _reference(text)
