@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordersight.session import scratch_path
@@ -27,7 +27,7 @@ from ordersight.session import scratch_path
 BLOCK = 256
 #: Pairs that a task counts, and buyers of a product that one place takes.
 TASK_PAIRS = 1 << 22
-PLACE_BUYERS = 1 << 20
+PLACE_BUYERS = 1 << 16
 #: Pairs that are listed, or held uncounted, at once.
 LISTED_PAIRS = 1 << 18
 
@@ -49,34 +49,33 @@ def numbered(bought: DataFrame) -> DataFrame:
     sold = bought.groupBy("product").agg(F.count(F.lit(1)).alias("buyers"))
     # The id holds the task in its upper bits, the row in the lower 33.
     ids = _stored(sold.orderBy("buyers", "product").withColumn("id", F.monotonically_increasing_id()), "products")
-    task = F.shiftright("id", 33).cast("int")
-    starts, n = [], 0
-    for row in ids.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect():
-        starts.append((row["task"], n))
-        n += row["n"]
-    if n >= 1 << 31:
-        raise ValueError("products are numbered by 31 bits")
-    first = ids.sparkSession.createDataFrame(starts, "task int, start long")
-    return (
-        ids.withColumn("task", task).join(F.broadcast(first), "task")
-        .select("product", "buyers", (F.col("start") + F.col("id") - F.shiftleft(F.col("task").cast("long"), 33)).cast("int").alias("number"))
-    )
+    ids = ids.withColumn("task", F.shiftright("id", 33))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    first = ids.groupBy("task").agg(F.count(F.lit(1)).alias("n")).select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return ids.join(first, "task").select("product", "buyers", F.expr("int(start + id - shiftleft(task, 33))").alias("number"))
 
 
 def _places(bought: DataFrame, products: DataFrame, block: int) -> DataFrame:
-    """(customer, i, j, low, high): the numbers of two blocks of one basket; of a block with itself ``high`` is empty."""
+    """(customer, i, j, low, high): two blocks of one basket; of a block with itself ``high`` is empty. Above a number's 31 bits is the count of its places."""
     blocks = bought.groupBy("customer").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks")).where("blocks > 1")
     # Only heavy baskets are in ``blocks``; the others are one block.
-    cut = bought.join(products, "product").select("customer", "number").join(blocks, "customer", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    cut = bought.join(products, "product").select("customer", "number", F.expr(f"number + shiftleft(1 + buyers div {PLACE_BUYERS}, 31)").alias("packed")).join(blocks, "customer", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     cut = cut.withColumn("own", F.pmod(F.xxhash64("number"), F.col("blocks")).cast("int"))
-    met = cut.select("customer", "number", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = cut.select("customer", "packed", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     met = met.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     return met.groupBy("customer", "i", "j").agg(
-        F.collect_list(F.when(F.expr("own = i"), F.col("number"))).alias("low"), F.collect_list(F.when(F.expr("own > i"), F.col("number"))).alias("high")
+        F.collect_list(F.when(F.expr("own = i"), F.col("packed"))).alias("low"), F.collect_list(F.when(F.expr("own > i"), F.col("packed"))).alias("high")
     )
 
 
-def _partner_lists(places: DataFrame, buyers_of) -> DataFrame:
+def _by_number(packed: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers in rising order, in how many places each is counted)."""
+    packed = np.array(packed, "i8")
+    packed = packed[np.argsort(packed & 0x7FFFFFFF)]
+    return (packed & 0x7FFFFFFF).astype("<i4"), packed >> 31
+
+
+def _partner_lists(places: DataFrame) -> DataFrame:
     """(owner, slot, partners): the products of a place with larger numbers than their owner, as little-endian 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,20 +84,19 @@ def _partner_lists(places: DataFrame, buyers_of) -> DataFrame:
         def batch() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(owners, pa.int32()), pa.array(slots, pa.int32()), pa.array(lists, pa.binary())], names=["owner", "slot", "partners"])
 
-        def pairs(same: bool, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        def pairs(same: bool, low: tuple, high: tuple) -> Iterator[tuple[tuple, np.ndarray, np.ndarray]]:
             """(products, partners, where the partners of each product begin)."""
             if same:
-                yield low, low, np.arange(1, len(low) + 1)
+                yield low, low[0], np.arange(1, len(low[0]) + 1)
             else:
-                yield low, high, np.searchsorted(high, low)
-                yield high, low, np.searchsorted(low, high)
+                yield low, high[0], np.searchsorted(high[0], low[0])
+                yield high, low[0], np.searchsorted(low[0], high[0])
 
         for some in batches:
             for same, low, high in zip(*(c.to_pylist() for c in some.columns)):
-                low, high = (np.sort(np.array(x, "<i4")) for x in (low, high))
-                for own, others, begins in pairs(same, low, high):
+                low, high = (_by_number(x) for x in (low, high))
+                for (own, ways), others, begins in pairs(same, low, high):
                     data = others.tobytes()
-                    ways = 1 + buyers_of(own) // PLACE_BUYERS
                     for owner, begin, n in zip(own.tolist(), begins.tolist(), ways.tolist()):
                         if begin == len(others):
                             continue
@@ -127,10 +125,10 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[starts], np.add.reduceat(np.concatenate(counts)[order], starts)
 
 
-def _counted(lists: DataFrame, min_together: int, buyers_of) -> DataFrame:
-    """(a, b, together, na, nb) by number, a < b, with the buyers of both, of pairs listed at least ``min_together`` times; ``lists`` are dealt by owner and slot."""
+def _counted(lists: DataFrame, parts: Column, min_together: int) -> DataFrame:
+    """(a, b, together) by number, a < b, of pairs listed at least ``min_together`` times; lists of one owner and slot meet in one of ``parts`` groups."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(table: pa.Table) -> pa.Table:
         keys, counts, new, held = [], [], [], 0
 
         def settle() -> None:
@@ -146,8 +144,8 @@ def _counted(lists: DataFrame, min_together: int, buyers_of) -> DataFrame:
                 keys, counts = [key], [count]
             new, held = [], 0
 
-        for some in batches:
-            lists = some.column(2)
+        for some in table.to_batches():
+            lists = some.column(1)
             ends = np.frombuffer(lists.buffers()[1], "<i4")[lists.offset : lists.offset + len(lists) + 1] // 4
             sizes, partners = np.diff(ends), np.frombuffer(lists.buffers()[2], "<i4", ends[-1] - ends[0], 4 * ends[0])
             new.append(np.repeat(np.asarray(some.column(0)).astype(np.int64) << 32, sizes) | partners)
@@ -157,39 +155,28 @@ def _counted(lists: DataFrame, min_together: int, buyers_of) -> DataFrame:
                 settle()
         if new:
             settle()
-        for key, count in zip(keys, counts):
-            often = count >= min_together
-            key, count = key[often], count[often]
-            for at in range(0, len(key), LISTED_PAIRS):
-                a, b = key[at : at + LISTED_PAIRS] >> 32, key[at : at + LISTED_PAIRS] & 0x7FFFFFFF
-                columns = [a.astype("i4"), b.astype("i4"), count[at : at + LISTED_PAIRS].astype("i8"), buyers_of(a), buyers_of(b)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "together", "na", "nb"])
+        key, count = (keys[0], counts[0]) if keys else (np.zeros(0, "i8"), np.zeros(0, "i8"))
+        often = count >= min_together
+        columns = [(key[often] >> 32).astype("i4"), (key[often] & 0x7FFFFFFF).astype("i4"), count[often].astype("i8")]
+        return pa.table([pa.array(c) for c in columns], names=["a", "b", "together"])
 
-    return lists.mapInArrow(run, "a int, b int, together long, na long, nb long")
+    dealt = lists.select("owner", "partners", F.pmod(F.xxhash64("owner", "slot"), parts).alias("part"))
+    return dealt.groupBy("part").applyInArrow(run, "a int, b int, together long")
 
 
-def _numbered_pairs(bought: DataFrame, block: int, min_together: int) -> tuple[DataFrame, DataFrame, int]:
-    """(a, b, together, na, nb) by number, the numbered products, and how many customers there are; ``bought`` is read several times."""
+def _numbered_pairs(bought: DataFrame, block: int, min_together: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, together) by number, and the numbered products; ``bought`` is read several times."""
     products = numbered(bought)
-    sizes = bought.groupBy("customer").agg(F.count(F.lit(1)).cast("decimal(20,0)").alias("n"))
-    customers, pairs = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.expr("n * (n - 1) / 2")), F.lit(0)).cast("double")).first()
-    # As many rows as there are different numbers of buyers: below the square root of twice the purchases.
-    steps = products.groupBy("buyers").agg((F.max("number") + 1).alias("end")).orderBy("buyers").collect()
-    values, ends = np.array([r["buyers"] for r in steps], "i8"), np.array([r["end"] for r in steps], "i8")
-
-    def buyers_of(numbers: np.ndarray) -> np.ndarray:
-        return values[np.searchsorted(ends, numbers, side="right")]
-
-    lists = _partner_lists(_places(bought, products, block), buyers_of)
-    dealt = lists.repartition(1 + int(pairs // TASK_PAIRS), "owner", "slot")
-    return _counted(dealt, min_together, buyers_of), products, customers
+    sizes = bought.groupBy("customer").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    parts = sizes.agg(F.expr(f"1 + bigint(coalesce(sum(n * (n - 1) / 2), 0) / {TASK_PAIRS})")).scalar()
+    return _counted(_partner_lists(_places(bought, products, block)), parts, min_together), products
 
 
 def pair_counts(bought: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b, together) with a < b: how many customers bought both."""
     if block < 1:
         raise ValueError("block must be >= 1")
-    pairs, products, _ = _numbered_pairs(_stored(bought, "bought"), block, 1)
+    pairs, products = _numbered_pairs(_stored(bought, "bought"), block, 1)
     for number, name in (("a", "x"), ("b", "y")):
         pairs = pairs.join(products.select(F.col("number").alias(number), F.col("product").alias(name)), number)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "together")
@@ -207,7 +194,11 @@ def co_purchases(
     """
     if block < 1:
         raise ValueError("block must be >= 1")
-    pairs, products, customers = _numbered_pairs(_stored(baskets(df, customer, product), "bought"), block, min_together)
+    bought = _stored(baskets(df, customer, product), "bought")
+    customers = bought.agg(F.count_distinct("customer")).scalar()
+    pairs, products = _numbered_pairs(bought, block, min_together)
+    for number, buyers in (("a", "na"), ("b", "nb")):
+        pairs = pairs.join(products.select(F.col("number").alias(number), F.col("buyers").alias(buyers)), number)
     ways = pairs.select("together", F.explode(F.expr("array(struct(a AS number, na AS buyers, b AS partner, nb AS partner_buyers), struct(b AS number, nb AS buyers, a AS partner, na AS partner_buyers))")).alias("way")).select("together", "way.*")
     chance = (F.col("buyers") * F.col("partner_buyers")).cast("double")
     ways = ways.select("number", "partner", "together", ((F.col("together") * customers).cast("double") / chance).alias("lift"))

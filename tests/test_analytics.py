@@ -150,7 +150,7 @@ def test_pairs_travel_as_lists_of_numbers_one_row_a_purchase(spark, monkeypatch)
     monkeypatch.setattr(recommend, "TASK_PAIRS", 500)
     df = baskets(_purchases(spark))
     plan = _plan(pair_counts(df, 10))
-    assert "partners" in plan and "hashpartitioning(owner" in plan
+    assert "partners" in plan and "FlatMapGroupsInArrow" in plan
     products = recommend.numbered(df)
     assert sorted(r["number"] for r in products.collect()) == list(range(200))
     rows = [(r["buyers"], r["product"]) for r in products.orderBy("number").collect()]
