@@ -8,6 +8,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +40,20 @@ def build_session(
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while; those of before come back after."""
+    conf = spark.conf
+    before = {k: conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+
+
 class NoSharedFolder(RuntimeError):
     """``spark.checkpoint.dir`` is unset on a cluster."""
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ordersight.functions.dates import month_label
 from ordersight.operators.selection import first_n
 from ordersight.operators.tables import project_columns
-from ordersight.session import scratch_path
+from ordersight.session import scratch_path, settings
 from ordersight.sources.parquet import file_inventory
 
 # Fixed format: NULL is an empty field, an empty string is "", blanks stay.
@@ -124,17 +124,10 @@ _REBALANCE = {
 
 
 def _rebalanced(df: DataFrame, path: str, advisory: int, files: int) -> None:
-    """Write ``df`` by ``REBALANCE`` with an advisory size in shuffled bytes; the session's settings come back after."""
-    conf = df.sparkSession.conf
+    """Write ``df`` by ``REBALANCE`` with an advisory size in shuffled bytes."""
     wanted = _REBALANCE | {_ADVISORY: str(max(advisory, 1)), "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(max(PIECES * files, 1))}
-    before = {k: conf.get(k, None) for k in wanted}
-    try:
-        for k, v in wanted.items():
-            conf.set(k, v)
+    with settings(df.sparkSession, wanted):
         df.hint("rebalance").write.mode("overwrite").parquet(path)
-    finally:
-        for k, v in before.items():
-            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def _written(spark: SparkSession, path: str) -> tuple[int, int]:
@@ -221,6 +214,8 @@ def write_verified(df: DataFrame, path: str, mode: str = "overwrite") -> DataFra
 # -- a lake by month ----------------------------------------------------------------------
 
 LAKE_KEY = "order_month"
+#: Months that a task writes side by side, without sorting its rows by month first; the rows of further months are sorted.
+OPEN_MONTHS = 32
 
 
 def export_lake(df: DataFrame, path: str, gathered: bool = False) -> str:
@@ -235,7 +230,8 @@ def export_lake(df: DataFrame, path: str, gathered: bool = False) -> str:
     dated = df.withColumn(LAKE_KEY, month_label(F.col("order_date")))
     if not gathered:
         dated = dated.hint("rebalance", F.col(LAKE_KEY))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(LAKE_KEY).parquet(path)
+    with settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_MONTHS)}):
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(LAKE_KEY).parquet(path)
     return path
 
 

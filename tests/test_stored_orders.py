@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 from collections import Counter
 
 import pytest
 
 from ordersight.plans import registry as R
+from ordersight.sinks import files
 from ordersight.sinks.files import export_lake, read_lake
-from ordersight.sources.star import orders_from_star
+from ordersight.sources.star import STAR_COLUMNS, orders_from_star, star_rows
 
 DATES = [dt.date(1995, 8, 3), dt.date(1996, 2, 5), dt.date(1996, 2, 9), dt.date(1998, 3, 1), None]
 
@@ -79,3 +81,43 @@ def test_gathered_months_are_written_as_they_are(spark, star, tmp_path):
     a, b = (sorted(map(str, read_lake(spark, f"{tmp_path}/{name}").collect())) for name in "ab")
     assert a == b and len(a) == 15
     assert {len([f for f in files if f.endswith(".parquet")]) for where, _, files in os.walk(f"{tmp_path}/b") if "order_month=" in where} == {1}
+
+
+def test_what_follows_from_other_columns_is_not_stored_by_month(spark, star, monkeypatch):
+    paths, plain = [], R.scratch_path
+    monkeypatch.setattr(R, "scratch_path", lambda spark, label: paths.append(plain(spark, label)) or paths[-1])
+    before = {k: spark.conf.get(k, None) for k in R.SHUFFLES_GO}
+    wide = R._stored_orders(spark, star, by_month=True)
+    assert spark.read.parquet(*paths).columns == list(STAR_COLUMNS)
+    assert before == {k: spark.conf.get(k, None) for k in R.SHUFFLES_GO}
+    plain_orders = orders_from_star(spark, star)
+    assert wide.dtypes == plain_orders.dtypes
+    assert sorted(wide.collect(), key=str) == sorted(plain_orders.collect(), key=str)
+
+
+def test_rows_meet_parts_then_orders_and_are_gathered_with_the_columns_of_an_order_first(spark, star):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = star_rows(spark, star, by_month=True)._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set(key, old)
+    shuffles = [re.search(r"hashpartitioning\((l_\w+key|month)", line) for line in plan]
+    assert [m.group(1) for m in shuffles if m] == ["month", "l_orderkey", "l_partkey"]
+    gathered = next(i for i, line in enumerate(plan) if "hashpartitioning(month" in line)
+    assert re.findall(r"[a-z]_\w+?(?=#|,)", plan[gathered + 1])[:3] == ["o_orderdate", "l_orderkey", "o_custkey"]
+
+
+def test_a_task_writes_several_months_side_by_side(spark, star, tmp_path, monkeypatch):
+    orders = orders_from_star(spark, star).coalesce(1)
+    seen, plain = [], files.settings
+    for most in (32, 1, 0):
+        path = f"{tmp_path}/{most}"
+        monkeypatch.setattr(files, "OPEN_MONTHS", most)
+        monkeypatch.setattr(files, "settings", lambda spark, wanted: seen.append(wanted) or plain(spark, wanted))
+        export_lake(orders, path, gathered=True)
+        assert seen.pop() == {"spark.sql.maxConcurrentOutputFileWriters": str(most)}
+        got = Counter(r["order_month"] for r in read_lake(spark, path).collect())
+        assert got == {"1995-08": 3, "1996-02": 6, "1998-03": 3, None: 3}
+        assert {len([f for f in names if f.endswith(".parquet")]) for where, _, names in os.walk(path) if "order_month=" in where} == {1}
